@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
 from docspark.functions.html import html_to_text
-from docspark.functions.text import decode_text, let, normalize_newlines
+from docspark.functions.text import decode_bytes, decode_text, let, normalize_newlines
+
+ENTRIES = "array<struct<key:string,value:string>>"
 
 # Multipart inside multipart is opened this many times; anything deeper stays one whole
 # part of type multipart/*, which the next unpacking level opens.
@@ -38,10 +40,10 @@ def to_bytes(text: Column) -> Column:
     return F.encode(text, "ISO-8859-1")
 
 
-def header(head: Column, name: str) -> Column:
-    """First value of a header, NULL when absent."""
-    value = F.regexp_extract(head, rf"(?im)^{name}:[ \t]*(.*)$", 1)
-    return decode_words(F.nullif(F.rtrim(value), F.lit("")))
+def header_values(head: Column, names: list[str]) -> Column:
+    """Array with the first value of each header, NULL where absent."""
+    values = F.array(*[F.regexp_extract(head, rf"(?im)^{name}:[ \t]*(.*)$", 1) for name in names])
+    return F.transform(values, lambda v: decode_words(F.nullif(F.rtrim(v), F.lit(""))))
 
 
 def parameter(value: Column, name: str) -> Column:
@@ -80,7 +82,7 @@ def decode_words(value: Column) -> Column:
             .when(kind == "Q", quoted_printable(F.translate(text, "_", " ")))
             .otherwise(to_bytes(part))
         )
-        return let(content, decode_text)
+        return let(content, decode_bytes)
 
     def decoded(value: Column) -> Column:
         joined = F.regexp_replace(value, r"(\?=)[ \t]+(=\?)", "$1$2")
@@ -140,11 +142,8 @@ def _entities(message: Column) -> Column:
 
 
 def _part(entity: Column) -> Column:
-    def fields(head: Column) -> Column:
-        names = ["Content-Type", "Content-Disposition", "Content-Transfer-Encoding", "Content-ID"]
-        return F.array(*[header(head, name) for name in names])
-
-    headers = let(_head(entity), fields)
+    names = ["Content-Type", "Content-Disposition", "Content-Transfer-Encoding", "Content-ID"]
+    headers = let(_head(entity), lambda head: header_values(head, names))
     return let(headers, lambda h: _decoded_part(entity, h[0], h[1], h[2], h[3]))
 
 
@@ -162,7 +161,7 @@ def _decoded_part(entity: Column, content_type: Column, disposition: Column, enc
     )
     identifier = F.regexp_extract(content_id, "^<?([^>]*)>?$", 1)
     return F.struct(
-        decode_words(name).alias("name"),
+        name.alias("name"),
         F.nullif(identifier, F.lit("")).alias("relationship_id"),
         F.coalesce(F.nullif(media_type, F.lit("")), F.lit(V.TEXT_PLAIN)).alias("media_type"),
         F.coalesce(decoded, to_bytes(body)).alias("content"),
@@ -189,20 +188,27 @@ def mail_text(parts: Column) -> Column:
 
     def first(media_type: str) -> Column:
         match = F.filter(parts, lambda p: (p["media_type"] == media_type) & p["content"].isNotNull())
-        return let(F.try_element_at(match, F.lit(1))["content"], decode_text)
+        return F.try_element_at(match, F.lit(1))
+
+    def text(part: Column) -> Column:
+        return let(let(part["content"], decode_text), lambda t: F.when(
+            part["media_type"] == V.TEXT_HTML, html_to_text(t)).otherwise(t))
 
-    text = F.coalesce(first(V.TEXT_PLAIN), html_to_text(first(V.TEXT_HTML)))
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\n+\z", "")
+    chosen = let(F.coalesce(first(V.TEXT_PLAIN), first(V.TEXT_HTML)), text)
+    return F.regexp_replace(F.coalesce(chosen, F.lit("")), r"\n+\z", "")
 
 
 def message_fields(content: Column) -> Column:
     """Array of (raw metadata key, value) of a message."""
 
     def fields(head: Column) -> Column:
-        values = [(key, header(head, name)) for name, key in V.MESSAGE_HEADERS]
+        names = [name for name, _ in V.MESSAGE_HEADERS]
+        known = F.arrays_zip(F.lit([key for _, key in V.MESSAGE_HEADERS]).alias("key"),
+                             header_values(head, names).alias("value"))
         content_type = F.regexp_extract(head, r"(?im)^content-type:[ \t]*(multipart/.*)$", 1)
         subtype = F.nullif(F.regexp_extract(F.lower(content_type), r"^multipart/([^\s;]+)", 1), F.lit(""))
-        values += [("Multipart-Subtype", subtype), ("Multipart-Boundary", parameter(content_type, "boundary"))]
-        return F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values])
+        extra = [("Multipart-Subtype", subtype), ("Multipart-Boundary", parameter(content_type, "boundary"))]
+        more = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in extra])
+        return F.concat(known.cast(ENTRIES), more.cast(ENTRIES))
 
     return let(_head(message_text(content)), fields)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
-from docspark.functions.text import let
+from docspark.functions.text import let, lookup
 
 MagicRule = tuple[str, str, int]
 
@@ -48,16 +48,11 @@ def extensions(name: Column) -> list[Column]:
 def glob_type(name: Column, globs: Sequence[tuple[str, Sequence[str]]] = V.GLOBS) -> Column:
     """Media type by extension; NULL name has no opinion."""
 
-    def lookup(extension: Column, dotted: bool) -> Column:
-        case = F
-        for media_type, suffixes in globs:
-            suffixes = [s for s in suffixes if ("." in s) == dotted]
-            if suffixes:
-                case = case.when(extension.isin(suffixes), media_type)
-        return case.otherwise(None) if case is not F else F.lit(None).cast("string")
-
+    table = {suffix.lower(): media_type for media_type, suffixes in globs for suffix in suffixes}
+    dotted = {s: t for s, t in table.items() if "." in s}
     double, single = extensions(name)
-    return F.coalesce(lookup(double, True), lookup(single, False))
+    found = lookup({s: t for s, t in table.items() if "." not in s}, single)
+    return F.coalesce(lookup(dotted, double), found) if dotted else found
 
 
 def sniff_type(content: Column) -> Column:
@@ -102,11 +97,11 @@ def container_type(content: Column) -> Column:
 
 def supertype(media_type: Column) -> Column:
     """Next broader type."""
-    case = F.when(media_type == V.OCTET_STREAM, None)
-    for child, parent in V.SUPERTYPES:
-        case = case.when(media_type == child, parent)
+    listed = lookup(dict(V.SUPERTYPES), media_type)
     return (
-        case.when(F.endswith(media_type, F.lit("+xml")), V.XML)
+        F.when(media_type == V.OCTET_STREAM, None)
+        .when(listed.isNotNull(), listed)
+        .when(F.endswith(media_type, F.lit("+xml")), V.XML)
         .when(F.startswith(media_type, F.lit("text/")), V.TEXT_PLAIN)
         .otherwise(V.OCTET_STREAM)
     )
@@ -126,7 +121,8 @@ def _ancestor_pairs() -> list[str]:
 
 def specializes(media_type: Column, current: Column) -> Column:
     """Whether ``media_type`` is a proper descendant of ``current``."""
-    listed = F.concat(media_type, F.lit(">"), current).isin(_ancestor_pairs())
+    pairs = F.split(F.lit(",".join(_ancestor_pairs())), ",")
+    listed = F.array_contains(pairs, F.concat(media_type, F.lit(">"), current))
     any_xml = F.endswith(media_type, F.lit("+xml")) & current.isin(V.XML, V.TEXT_PLAIN)
     any_text = F.startswith(media_type, F.lit("text/")) & (current == V.TEXT_PLAIN)
     return (media_type != current) & ((current == V.OCTET_STREAM) | listed | any_xml | any_text)

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
 from docspark.functions.html import html_charset, html_language, html_meta, html_title
-from docspark.functions.mail import first_entries, message_fields
+from docspark.functions.mail import ENTRIES, first_entries, message_fields
 from docspark.functions.text import let, unescape_entities
 
 EMPTY_MAP = "map<string,string>"
-ENTRIES = "array<struct<key:string,value:string>>"
 
 
 def entries_of(fields: list[tuple[str, Column]]) -> Column:
@@ -55,68 +54,66 @@ def mail_fields(content: Column) -> Column:
     return F.filter(message_fields(content), lambda e: e["value"].isNotNull())
 
 
-def _element(xml: Column, name: str) -> Column:
-    value = F.regexp_extract(xml, rf"(?s)<{name}(?:\s[^>]*)?>([^<]*)</{name}>", 1)
-    return F.nullif(unescape_entities(F.trim(value)), F.lit(""))
-
-
 def package_fields(core_xml: Column, app_xml: Column) -> Column:
     def fields(table: list[tuple[str, str]]):
-        return lambda xml: entries_of([(key, _element(xml, name)) for name, key in table])
+        patterns = [rf"(?s)<{name}(?:\s[^>]*)?>([^<]*)</{name}>" for name, _ in table]
+        return lambda xml: F.transform(
+            F.arrays_zip(F.lit([key for _, key in table]).alias("key"),
+                         F.array(*[F.trim(F.regexp_extract(xml, p, 1)) for p in patterns]).alias("value")),
+            lambda e: F.struct(e["key"].alias("key"),
+                               F.nullif(unescape_entities(e["value"]), F.lit("")).alias("value")))
 
     empty = F.array().cast(ENTRIES)
-    return F.concat(F.coalesce(let(core_xml, fields(V.CORE_PROPERTIES)), empty),
+    both = F.concat(F.coalesce(let(core_xml, fields(V.CORE_PROPERTIES)), empty),
                     F.coalesce(let(app_xml, fields(V.APP_PROPERTIES)), empty))
+    return F.filter(both, lambda e: e["value"].isNotNull())
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
-def raw_value(raw: Column, keys: list[str]) -> Column:
-    """Value under the first key that is present, even when that value is empty."""
+def raw_value(raw: str, keys: list[str]) -> str:
+    """SQL for the value under the first key that is present, even when it is empty."""
     if len(keys) == 1:
-        return F.try_element_at(raw, F.lit(keys[0]))
-    case = F
-    for key in keys:
-        case = case.when(F.map_contains_key(raw, key), F.try_element_at(raw, F.lit(key)))
-    return case.otherwise(None)
+        return f"try_element_at({raw}, {_quoted(keys[0])})"
+    cases = " ".join(f"WHEN map_contains_key({raw}, {_quoted(k)}) THEN {raw}[{_quoted(k)}]" for k in keys)
+    return f"CASE {cases} END"
 
 
-def coerce(value: Column, data_type: str) -> Column:
-    """Typed value; empty text and zero become NULL, text that fails to convert too."""
-    if data_type == "bigint":
-        return F.nullif(_integer(value), F.lit(0).cast("bigint"))
-    if data_type == "double":
-        return F.nullif(_floating(value), F.lit(0.0))
-    if data_type == "array<string>":
-        items = F.transform(F.split(value, ","), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-        return F.when(value != "", items)
-    return F.nullif(value, F.lit(""))
+# Number texts that convert: single underscores may stand between digits.
+INTEGER = r"^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$"
+FLOATING = (r"(?i)^\\s*[+-]?(([0-9]+(_[0-9]+)*\\.?([0-9]+(_[0-9]+)*)?|\\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+)?"
+            r"|inf|infinity|nan)\\s*$")
 
 
-def _integer(value: Column) -> Column:
-    """Whole number as text: sign, digits, single underscores between digits."""
-    stripped = F.regexp_replace(value, r"^\s+|\s+$", "")
-    digits = F.when(stripped.rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(stripped, F.lit("_"), F.lit("")))
-    return digits.try_cast("bigint")
+def _number(value: str, kind: str) -> str:
+    pattern = INTEGER if kind == "bigint" else FLOATING
+    return f"CASE WHEN {value} RLIKE '{pattern}' THEN try_cast(replace({value}, '_', '') AS {kind}) END"
 
 
-def _floating(value: Column) -> Column:
-    stripped = F.regexp_replace(value, r"^\s+|\s+$", "")
-    number = r"(?i)^[+-]?(?:(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)" \
-             r"(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
-    return F.when(stripped.rlike(number), F.replace(stripped, F.lit("_"), F.lit(""))).try_cast("double")
+def coerced(value: str, kind: str) -> str:
+    """SQL for the typed value; empty text and zero become NULL, text that fails to convert too."""
+    if kind in ("bigint", "double"):
+        return f"nullif({_number(value, kind)}, CAST(0 AS {kind}))"
+    if kind == "array<string>":
+        trimmed = f"transform(split({value}, ','), x -> regexp_replace(x, '^\\\\s+|\\\\s+$', ''))"
+        return f"CASE WHEN {value} <> '' THEN {trimmed} END"
+    return f"nullif({value}, '')"
 
 
-def normalized(raw: Column) -> Column:
-    """Struct of the normalised fields."""
-    fields = [coerce(raw_value(raw, keys), kind).cast(kind).alias(name) for name, kind, keys in V.METADATA_FIELDS]
-    return F.struct(*fields, *[F.lit(None).cast(kind).alias(name) for name, kind in V.UNMAPPED_FIELDS])
+def normalized(raw: str) -> Column:
+    """Struct of the normalised fields of the raw map in column ``raw``."""
+    fields = [(name, kind, coerced(raw_value(raw, keys), kind)) for name, kind, keys in V.METADATA_FIELDS]
+    fields += [(name, kind, "NULL") for name, kind in V.UNMAPPED_FIELDS]
+    return F.expr("named_struct(" + ", ".join(f"'{n}', CAST({v} AS {k})" for n, k, v in fields) + ")")
 
 
-def unparsed(raw: Column) -> Column:
+def unparsed(raw: str) -> Column:
     """Map of numeric fields whose text did not convert."""
-    fields = []
+    pairs = []
     for name, kind, keys in V.METADATA_FIELDS:
         if kind in ("bigint", "double"):
             value = raw_value(raw, keys)
-            parsed = _integer(value) if kind == "bigint" else _floating(value)
-            fields.append((name, F.when((value != "") & parsed.isNull(), value)))
-    return field_map(fields)
+            pairs.append(f"'{name}', CASE WHEN {value} <> '' AND {_number(value, kind)} IS NULL THEN {value} END")
+    return F.expr(f"map_filter(map({', '.join(pairs)}), (k, v) -> v IS NOT NULL)")

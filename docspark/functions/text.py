@@ -20,6 +20,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def lookup(table: dict[str, str], key: Column) -> Column:
+    """Value of a key in a constant table, NULL when absent.
+
+    The table is one literal that folds to a map, where a CASE or ``create_map`` would put
+    hundreds of nodes into every plan that uses it.
+    """
+    text = "\x02".join(f"{k}\x01{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x01")), key)
+
+
 def _starts(content: Column, prefix: bytes) -> Column:
     return F.substring(content, 1, len(prefix)) == F.lit(prefix)
 
@@ -46,32 +56,32 @@ def normalize_newlines(text: Column) -> Column:
 
 def decode_text(content: Column) -> Column:
     """Decode bytes by :func:`text_encoding`, drop the mark and normalise line ends."""
-    # An odd trailing byte of UTF-16 is no character; decode() would raise on it.
-    even = F.substring(content, F.lit(3), ((F.octet_length(content) - 2) / 2).cast("int") * 2)
+    utf8 = F.regexp_replace(content.cast("string"), "^\uFEFF", "")
     text = (
-        F.when(_starts(content, UTF8_BOM) & F.is_valid_utf8(content.cast("string")),
-               after(content, 3).cast("string"))
-        .when(_starts(content, UTF16_LE_BOM), utf16(even, "UTF-16LE"))
-        .when(_starts(content, UTF16_BE_BOM), utf16(even, "UTF-16BE"))
-        .when(F.is_valid_utf8(content.cast("string")), content.cast("string"))
+        F.when(_starts(content, UTF16_LE_BOM) | _starts(content, UTF16_BE_BOM), _utf16(content))
+        .when(F.is_valid_utf8(content.cast("string")), utf8)
         .otherwise(F.decode(content, "ISO-8859-1"))
     )
     return normalize_newlines(text)
 
 
-def utf16(content: Column, charset: str) -> Column:
-    """Decode UTF-16, or fall back to Latin-1 when a surrogate has no partner."""
-    units = F.regexp_extract_all(F.hex(content), F.lit(".{4}"), F.lit(0))
-    lead = 1 if charset == "UTF-16BE" else 3
+def decode_bytes(content: Column) -> Column:
+    """Short byte strings without a mark, such as header values: UTF-8 if valid, else Latin-1."""
+    text = content.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content, "ISO-8859-1"))
 
-    def kind(unit: Column) -> Column:
-        byte = F.substring(unit, lead, 2)
-        return F.when(byte.between("D8", "DB"), "h").when(byte.between("DC", "DF"), "l").otherwise("")
 
-    # One letter per surrogate and a dash per other unit: a pair is "hl".
-    kinds = F.array_join(F.transform(units, lambda u: F.coalesce(F.nullif(kind(u), F.lit("")), F.lit("-"))), "")
-    lone = kinds.rlike("h(?!l)|(?<!h)l")
-    return F.when(lone, F.decode(content, "ISO-8859-1")).otherwise(F.decode(content, charset))
+def _utf16(content: Column) -> Column:
+    """Decode UTF-16 by its mark, or as Latin-1 when a surrogate has no partner."""
+    # An odd trailing byte is no character; decode() would raise on it.
+    even = F.substring(content, F.lit(1), (F.octet_length(content) / 2).cast("int") * 2)
+    lead = F.when(_starts(content, UTF16_BE_BOM), 1).otherwise(3)
+    units = F.regexp_extract_all(F.hex(even), F.lit(".{4}"), F.lit(0))
+    # One letter per unit: a surrogate pair is "hl".
+    kinds = F.array_join(F.transform(units, lambda u: F.regexp_replace(
+        F.regexp_replace(F.substring(u, lead, F.lit(2)), "^D[89AB]", "h"), "^D[C-F]", "l")), " ")
+    lone = kinds.rlike("h(?! l)|(?<!h )l")
+    return F.when(lone, F.decode(content, "ISO-8859-1")).otherwise(F.decode(even, "UTF-16"))
 
 
 def _code_point(number: Column) -> Column:
@@ -83,9 +93,8 @@ def _code_point(number: Column) -> Column:
 def _entity(name: Column) -> Column:
     common = ["amp", "lt", "gt", "quot", "nbsp"]
     table = {name: chr(code) for name, code in name2codepoint.items()}
-    entries = [(n, table[n]) for n in common] + [("apos", "'")]
-    entries += [(n, c) for n, c in table.items() if n not in common]
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in entries for x in pair]), name)
+    # Frequent names first: the search runs through the table.
+    named = lookup({n: table[n] for n in common} | {"apos": "'"} | table, name)
     # Longer digit strings cannot be code points; the guard keeps the casts from overflowing.
     decimal = F.regexp_extract(name, r"^#([0-9]{1,7})$", 1)
     hexadecimal = F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1)

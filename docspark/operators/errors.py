@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark import fixed_values as V
+from docspark.session import materialize
 
 ERROR_TYPE = "struct<error_class:string,message:string>"
 
@@ -44,8 +45,15 @@ def validate_input(df: DataFrame, content: str = "content", path: str | None = N
     return df.withColumn("error", error)
 
 
-def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows). The filters read the cheap error column alone."""
+def split_errors(df: DataFrame, error: str = "error", written: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows).
+
+    The rows are written once and both sides read the table. Without that, Catalyst would
+    push the filter on ``error`` below the projections that compute it, and every parser
+    would run for each side and again for the filter. Pass ``written=True`` for a table
+    that is stored already.
+    """
+    df = df if written else materialize(df, "parsed")
     return df.filter(F.col(error).isNull()).drop(error), df.filter(F.col(error).isNotNull())
 
 

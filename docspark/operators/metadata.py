@@ -59,13 +59,12 @@ def embedded_metadata(df: DataFrame, raw: str = "raw_metadata", depth: str = "de
 
 def select_metadata(df: DataFrame, raw: str = "raw_metadata") -> DataFrame:
     """One text column per field, by the first present key and before any conversion."""
-    values = [M.raw_value(F.col(raw), keys).alias(name) for name, _, keys in V.METADATA_FIELDS]
-    return df.select("*", *[v for v in values])
+    return df.select("*", *[F.expr(M.raw_value(raw, keys)).alias(name) for name, _, keys in V.METADATA_FIELDS])
 
 
 def normalize_metadata(df: DataFrame, raw: str = "raw_metadata", output: str = "metadata") -> DataFrame:
     """Add the struct of typed fields."""
-    return df.withColumn(output, M.normalized(F.col(raw)))
+    return df.withColumn(output, M.normalized(raw))
 
 
 def coerce_metadata(df: DataFrame, raw: str = "raw_metadata", strict: bool = False) -> DataFrame:
@@ -73,7 +72,7 @@ def coerce_metadata(df: DataFrame, raw: str = "raw_metadata", strict: bool = Fal
 
     With ``strict`` a numeric field that fails to convert fails the job.
     """
-    df = normalize_metadata(df, raw).withColumn("metadata_unparsed", M.unparsed(F.col(raw)))
+    df = normalize_metadata(df, raw).withColumn("metadata_unparsed", M.unparsed(raw))
     if strict:
         bad = F.size("metadata_unparsed") > 0
         message = F.concat(F.lit(f"{V.PARSE_ERROR}: "), F.to_json("metadata_unparsed"))

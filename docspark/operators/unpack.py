@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from docspark import fixed_values as V
 from docspark.functions.html import html_embedded
 from docspark.functions.mail import mime_parts
-from docspark.functions.text import decode_text
+from docspark.functions.text import decode_text, lookup
 from docspark.operators.errors import ERROR_TYPE
 from docspark.operators.media_types import media_type_column
 from docspark.session import materialize
@@ -107,24 +107,34 @@ def _is_package_part(name: Column) -> Column:
     return ~name.rlike(r"(?i)/(?:media|embeddings)/[^/]+$")
 
 
+def _container_kind(media_type: Column) -> Column:
+    """How a document is opened, NULL for one without children."""
+    kinds = {t: "archive" for t in ARCHIVE_TYPES} | {t: "office" for t in OOXML_TYPES}
+    kinds |= {t: "markup" for t in MARKUP_TYPES} | {V.MESSAGE: "mail"}
+    multipart = F.regexp_replace(media_type, "^multipart/.*$", V.MESSAGE)
+    return lookup(kinds, multipart)
+
+
 def _next_level(frontier: DataFrame) -> DataFrame:
     """Children of one level. Each branch filters on the type before it opens the content."""
     base = frontier.select(
         "root_id", F.col("depth").alias("_depth"), F.col("ord_path").alias("_path"),
-        F.col("name").alias("parent_name"), F.col("media_type").alias("_parent_type"), "content",
+        F.col("name").alias("parent_name"), "content",
+        _container_kind(F.col("media_type")).alias("_kind"),
     )
-    parent_type = F.col("_parent_type")
-    is_mail = (parent_type == V.MESSAGE) | F.startswith(parent_type, F.lit("multipart/"))
+    # One column tells how to open a row. Catalyst copies it into each filter, so the
+    # filters read it once instead of naming the detected type several times.
+    is_mail = F.col("_kind") == "mail"
     # One explode serves both kinds that are opened by expressions.
     parts = F.when(is_mail, mime_parts(F.col("content"))).otherwise(html_embedded(decode_text(F.col("content"))))
-    keep = ["root_id", "_depth", "_path", "parent_name", "_parent_type"]
-    marked_up = _explode_parts(base.filter(is_mail | parent_type.isin(*MARKUP_TYPES)), parts, keep)
-    archived = unpack_archive(base.filter(parent_type.isin(*ARCHIVE_TYPES))).filter(
-        ~(parent_type.isin(*OOXML_TYPES) & _is_package_part(F.col("name"))) | F.col("name").isNull()
+    keep = ["root_id", "_depth", "_path", "parent_name", "_kind"]
+    marked_up = _explode_parts(base.filter(F.col("_kind").isin("mail", "markup")), parts, keep)
+    in_office = F.col("_kind") == "office"
+    archived = unpack_archive(base.filter(F.col("_kind").isin("archive", "office"))).filter(
+        ~(in_office & _is_package_part(F.col("name"))) | F.col("name").isNull()
     )
     members = archived.withColumn(
-        "name", F.when(parent_type.isin(*OOXML_TYPES), F.regexp_extract("name", r"([^/]+)$", 1))
-        .otherwise(F.col("name"))
+        "name", F.when(in_office, F.regexp_extract("name", r"([^/]+)$", 1)).otherwise(F.col("name"))
     )
     children = marked_up.unionByName(members).select(
         "root_id",

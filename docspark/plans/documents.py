@@ -89,7 +89,7 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
 
     by = F.coalesce("parsed_by", F.when(F.col("error").isNull(), "DefaultParser"))
     raw = raw_metadata_column(kind, F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"), parts, by)
-    docs = docs.withColumn("raw_metadata", raw).withColumn("metadata", M.normalized(F.col("raw_metadata")))
+    docs = docs.withColumn("raw_metadata", raw).withColumn("metadata", M.normalized("raw_metadata"))
     rendered = F.col("text")
     if output_format == "xhtml":
         rendered = to_xhtml(F.col("text"), F.col("metadata.title"), F.col("raw_metadata"))
