@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docspark.functions.text import after
+
 
 def fold_letters(text: Column) -> Column:
     """Lower case, with every run of characters other than letters as one ``_``."""
@@ -20,7 +22,7 @@ def ngrams(text: Column, n: int = 3) -> Column:
     """
     folded = fold_letters(text)
     cuts = [
-        F.regexp_extract_all(F.substring(folded, F.lit(i + 1), F.length(folded)), F.lit(f".{{{n}}}"), F.lit(0))
+        F.regexp_extract_all(after(folded, i), F.lit(f".{{{n}}}"), F.lit(0))
         for i in range(n)
     ]
     return F.flatten(F.array(*cuts))

@@ -77,11 +77,14 @@ def _utf16(content: Column) -> Column:
     even = F.substring(content, F.lit(1), (F.octet_length(content) / 2).cast("int") * 2)
     lead = F.when(_starts(content, UTF16_BE_BOM), 1).otherwise(3)
     units = F.regexp_extract_all(F.hex(even), F.lit(".{4}"), F.lit(0))
+    # Most texts have no surrogates, which one search over the aligned units tells.
+    some = F.when(_starts(content, UTF16_BE_BOM), F.hex(even).rlike("^(?:....)*?D[89A-F]")) \
+        .otherwise(F.hex(even).rlike("^(?:....)*?..D[89A-F]"))
     # One letter per unit: a surrogate pair is "hl".
     kinds = F.array_join(F.transform(units, lambda u: F.regexp_replace(
         F.regexp_replace(F.substring(u, lead, F.lit(2)), "^D[89AB]", "h"), "^D[C-F]", "l")), " ")
     lone = kinds.rlike("h(?! l)|(?<!h )l")
-    return F.when(lone, F.decode(content, "ISO-8859-1")).otherwise(F.decode(even, "UTF-16"))
+    return F.when(F.when(some, lone).otherwise(False), F.decode(content, "ISO-8859-1")).otherwise(F.decode(even, "UTF-16"))
 
 
 def _code_point(number: Column) -> Column:

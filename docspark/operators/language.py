@@ -24,8 +24,9 @@ def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang
     whatever the share of one language. The counts are written once, because three
     aggregates read them. The weight is the add-one smoothed log probability.
     """
+    labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
     counts = materialize(
-        df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+        labelled
         .select(F.col(lang).alias("lang"), F.explode(ngrams(F.col(text), n)).alias("gram"))
         .groupBy("gram", "lang").agg(F.count("*").alias("n")),
         "gram-counts",

@@ -27,6 +27,10 @@ from docspark.session import materialize
 # A BINARY cell must stay below 2 GiB; a member past this size becomes an error row.
 MAX_MEMBER_BYTES = 1 << 30
 
+# Output batches of the archive reader close at either bound.
+BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1000
+
 ARCHIVE_TYPES = (V.ZIP, V.OOXML, V.DOCX, V.XLSX, V.PPTX, V.EPUB)
 OOXML_TYPES = (V.OOXML, V.DOCX, V.XLSX, V.PPTX)
 MARKUP_TYPES = (V.TEXT_HTML, V.XHTML)
@@ -58,14 +62,21 @@ def unpack_html(df: DataFrame, content: str = "content") -> DataFrame:
 
 
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Members of each archive, one at a time, so that memory holds a single member."""
+    """Members of each archive in output batches of bounded rows and bytes."""
     for batch in batches:
-        fixed = batch.columns.drop("content")
-        for i in range(len(batch)):
-            base = {c: [batch[c].iloc[i]] for c in fixed}
-            for ord_, name, data, message in _members_of(batch["content"].iloc[i]):
+        fixed = [c for c in batch.columns if c != "content"]
+        columns = [*fixed, "ord", "name", "content", "error"]
+        rows, size = [], 0
+        for *base, blob in batch[[*fixed, "content"]].itertuples(index=False, name=None):
+            for ord_, name, data, message in _members_of(blob):
                 error = None if message is None else {"error_class": V.PARSE_ERROR, "message": message}
-                yield pd.DataFrame({**base, "ord": [ord_], "name": [name], "content": [data], "error": [error]})
+                rows.append((*base, ord_, name, data, error))
+                size += len(data or b"")
+                if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
 
 def _members_of(blob: bytes) -> Iterator[tuple[int, str | None, bytes | None, str | None]]:

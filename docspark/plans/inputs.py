@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.html import escape_markup
+from docspark.session import spread
 
 # Kind, signature bytes in hex, text in place of the row's text, extension.
 FILE_KINDS = [
@@ -43,7 +44,7 @@ FILE_KINDS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
