@@ -210,16 +210,26 @@ def safe_name(name: Column) -> Column:
     return F.nullif(F.array_join(segments, "/"), F.lit(""))
 
 
-def embedded_name(children: DataFrame) -> DataFrame:
+def embedded_name(children: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Add ``child_name`` and ``safe_name``: resource name, else relationship id, else ``embedded_<n>``.
 
-    ``n`` counts the children of the root that come before in document order. Only roots
-    with an unnamed child are numbered, and content takes no part in it. A root is counted
-    in blocks of its top-level positions, so that one with very many children is spread
-    over tasks: rows are ranked inside a block and the sizes of earlier blocks are added.
+    ``n`` counts the children of the root that come before in document order. At
+    ``max_depth=1`` that is the child's own position and no row moves. Otherwise only blocks
+    with an unnamed child are numbered, and of the content only that of unnamed children
+    takes part. A root is counted in blocks of its top-level positions, so that one with very
+    many children is spread over tasks: rows are ranked inside a block and the sizes of
+    earlier blocks are added.
     """
     given = F.coalesce(F.nullif("name", F.lit("")), F.nullif("relationship_id", F.lit("")))
     named = children.withColumn("child_name", given)
+    if max_depth == 1:
+        # Parts without a name come from messages and pages, whose positions have no gaps.
+        position = F.concat(F.lit("embedded_"), F.element_at("ord_path", 1).cast("string"))
+        return _with_safe_name(named.withColumn("child_name", F.coalesce("child_name", position)))
+    return _with_safe_name(_number_unnamed(named))
+
+
+def _number_unnamed(named: DataFrame) -> DataFrame:
     keys = named.select("root_id", "ord_path", F.col("child_name").isNull().alias("unnamed")).withColumn(
         "block", (F.element_at("ord_path", 1) / BLOCK_SIZE).cast("int")
     )
@@ -240,8 +250,11 @@ def embedded_name(children: DataFrame) -> DataFrame:
         named.filter(F.col("child_name").isNull()).join(numbers, ["root_id", "ord_path"])
         .withColumn("child_name", F.concat(F.lit("embedded_"), F.col("n").cast("string"))).drop("n")
     )
-    both = named.filter(F.col("child_name").isNotNull()).unionByName(fallback)
-    return both.withColumn("safe_name", F.coalesce(
+    return named.filter(F.col("child_name").isNotNull()).unionByName(fallback)
+
+
+def _with_safe_name(named: DataFrame) -> DataFrame:
+    return named.withColumn("safe_name", F.coalesce(
         safe_name(F.col("child_name")),
         F.concat(F.lit("embedded_"), F.array_join(F.col("ord_path").cast("array<string>"), "_")),
     ))

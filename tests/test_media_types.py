@@ -84,7 +84,7 @@ def test_registry_supertypes(spark):
     assert rows["x/y+xml"]["supertype"] == "application/xml"
     assert rows["application/epub+zip"]["supertype"] == "application/zip"
     assert rows["application/octet-stream"]["supertype"] is None
-    assert rows["video/mp4"]["top_type"], rows["video/mp4"]["sub_type"] == ("video", "mp4")
+    assert (rows["video/mp4"]["top_type"], rows["video/mp4"]["sub_type"]) == ("video", "mp4")
 
 
 def test_names_alone_keep_content_out_of_the_scan(spark, tmp_path):

@@ -213,7 +213,7 @@ def test_dispatch_is_one_narrow_stage(spark):
     assert "Exchange" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_reference_style_repository_files_parse(spark):
+def test_markdown_file_parses(spark):
     readme = Path(__file__).resolve().parent.parent / "README.md"
     df = spark.createDataFrame([("README.md", readme.read_bytes())], "path string, content binary")
     row = parse_documents(df, output_format="txt").first()

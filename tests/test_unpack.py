@@ -55,6 +55,10 @@ def test_broken_archives_give_error_rows(spark):
 def test_message_children_and_names(spark):
     rows = children(spark, MAIL, 1)
     assert [r["child_name"] for r in rows] == ["embedded_0", "embedded_1", "a.bin"]
+    df = spark.createDataFrame([(1, MAIL)], "doc_id int, content binary")
+    flat = U.embedded_name(U.unpack_documents(df, 1), max_depth=1)
+    assert [r["child_name"] for r in flat.orderBy("ord_path").collect()] == ["embedded_0", "embedded_1", "a.bin"]
+    assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
     assert [r["media_type"] for r in rows] == ["text/plain", "text/html", "application/x-thing"]
 
 
