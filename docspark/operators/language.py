@@ -16,46 +16,56 @@ from docspark.session import BROADCAST_ROW_LIMIT, broadcast_if_small, materializ
 # Log probabilities are kept as whole millionths: their sums are exact in any order.
 WEIGHT_SCALE = 1_000_000
 
+# Language codes are a small closed set; the wide profile has one column for each.
+MAX_LANGUAGES = 1000
+
+
+# Gram of the row that carries a language's weight for grams it was never seen with.
+UNSEEN = ""
+
 
 def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang", n: int = 3) -> DataFrame:
-    """(lang, gram, weight) with a row for every language and every gram of any language.
+    """(lang, gram, weight): add-one smoothed log probabilities of the grams of each language.
 
-    Grams are counted before the shuffle, so it carries one row per (gram, lang) and task
-    whatever the share of one language. The counts are written once, because three
-    aggregates read them. The weight is the add-one smoothed log probability.
+    A language has a row per gram it was seen with, and one row with an empty gram for all
+    others, so the table does not grow with languages times vocabulary. Grams are counted
+    before the shuffle, so it carries one row per (gram, lang) and task whatever the share
+    of one language. The counts are written once, because three aggregates read them.
     """
-    labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
+    labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = materialize(
         labelled
         .select(F.col(lang).alias("lang"), F.explode(ngrams(F.col(text), n)).alias("gram"))
         .groupBy("gram", "lang").agg(F.count("*").alias("n")),
         "gram-counts",
     )
-    # One row per gram, holding the few languages that have it.
-    grams = counts.groupBy("gram").agg(
-        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts")
-    )
-    # One row: tokens per language and the vocabulary size.
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).agg(
-        F.collect_list(F.struct("lang", "total")).alias("languages")
-    )
-    vocabulary = grams.agg(F.count("*").alias("vocabulary"))
-    language = F.explode(totals.select("languages").scalar()).alias("l")
-    seen = F.coalesce(F.try_element_at("counts", F.col("l.lang")), F.lit(0))
-    probability = (seen + 1) / (F.col("l.total") + vocabulary.scalar())
-    return grams.select("gram", "counts", language).select(
-        F.col("l.lang").alias("lang"), "gram",
-        F.round(F.log(probability) * WEIGHT_SCALE).cast("bigint").alias("weight"),
+    vocabulary = counts.groupBy("gram").agg(F.lit(1)).agg(F.count("*").alias("vocabulary"))
+    totals = counts.groupBy("lang").agg((F.sum("n") + vocabulary.scalar()).alias("total"))
+    unseen = totals.select("lang", F.lit(UNSEEN).alias("gram"), F.lit(0).cast("bigint").alias("n"))
+    # One row per language on the right side: Spark broadcasts it by its size.
+    weight = F.round(F.log((F.col("n") + 1) / F.col("total")) * WEIGHT_SCALE).cast("bigint")
+    return (
+        counts.select("lang", "gram", "n").unionByName(unseen).join(totals, "lang")
+        .select("lang", "gram", weight.alias("weight"))
     )
 
 
+def _unseen_weights(profiles: DataFrame) -> dict[str, int]:
+    """Languages of the profiles in code order, with their weight for unseen grams."""
+    rows = profiles.filter(F.col("gram") == UNSEEN).select("lang", "weight").limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} language codes: these are no language profiles")
+    return dict(sorted((r["lang"], r["weight"]) for r in rows))
+
+
 def _wide(profiles: DataFrame) -> tuple[DataFrame, list[str]]:
-    """One row per gram with the weights as an array in the order of the language codes."""
-    languages = [r[0] for r in profiles.select("lang").distinct().orderBy("lang").limit(1001).collect()]
-    if len(languages) > 1000:
-        raise ValueError("more than 1000 language codes: these are no language profiles")
-    columns = [F.max(F.when(F.col("lang") == code, F.col("weight"))) for code in languages]
-    return profiles.groupBy("gram").agg(*[c.alias(f"_w{i}") for i, c in enumerate(columns)]), languages
+    """One row per gram with a weight column ``_w<i>`` per language in the order of the codes."""
+    unseen = _unseen_weights(profiles)
+    weights = [
+        F.coalesce(F.max(F.when(F.col("lang") == code, F.col("weight"))), F.lit(floor).cast("bigint")).alias(f"_w{i}")
+        for i, (code, floor) in enumerate(unseen.items())
+    ]
+    return profiles.filter(F.col("gram") != UNSEEN).groupBy("gram").agg(*weights), list(unseen)
 
 
 def score_languages(df: DataFrame, profiles: DataFrame, id_cols: list[str], text: str = "text",
@@ -135,15 +145,16 @@ def language_column(profiles: DataFrame, text: Column, limit: int = BROADCAST_RO
     shipped to the executors only up to ``limit`` rows. Beyond it this returns ``None`` and
     the caller takes the join of :func:`detect_language`.
     """
-    rows = profiles.select("lang", "gram", "weight").limit(limit + 1).toPandas()
+    unseen = _unseen_weights(profiles)
+    rows = profiles.filter(F.col("gram") != UNSEEN).select("lang", "gram", "weight").limit(limit + 1).toPandas()
     if len(rows) > limit or rows["gram"].str.len().ne(3).any():
         return None
-    table = rows.pivot(index="gram", columns="lang", values="weight").sort_index()
-    languages = sorted(table.columns)
+    languages = list(unseen)
+    table = rows.pivot(index="gram", columns="lang", values="weight").reindex(columns=languages).fillna(unseen)
     codes = [sum(ord(c) << shift for c, shift in zip(g, (42, 21, 0))) for g in table.index]
     order = np.argsort(np.array(codes, dtype=np.int64))
     model = profiles.sparkSession.sparkContext.broadcast(
-        (np.array(codes, dtype=np.int64)[order], table[languages].to_numpy(dtype=np.int64)[order])
+        (np.array(codes, dtype=np.int64)[order], table.to_numpy(dtype=np.int64)[order])
     )
 
     def score(folded: str | None) -> dict | None:

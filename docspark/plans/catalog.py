@@ -74,9 +74,7 @@ def parse_to_string_query(spark, sf_dir):
 
 @query
 def write_extracted_query(spark, sf_dir):
-    files = inputs.files(spark, sf_dir)
-    texts = files.join(_documents(spark, sf_dir).select("doc_id", "text"), "doc_id").select(
-        "doc_id", "path", F.col("text").alias("content"))
+    texts = inputs.files(spark, sf_dir).select("doc_id", "path", F.col("text").alias("content"))
     written = write_extracted(texts, fresh_path(spark, "extracted"), "txt")
     return written.select("doc_id", "output_path", "content_length")
 

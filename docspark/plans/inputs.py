@@ -69,7 +69,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.concat(prefix, F.encode(body, "UTF-8"))
     return docs.select(
         "doc_id", F.concat(F.lit("d/"), F.col("doc_id").cast("string"), suffix).alias("path"),
-        content.alias("content"), F.octet_length(content).cast("bigint").alias("length"),
+        content.alias("content"), F.octet_length(content).cast("bigint").alias("length"), "text",
     )
 
 

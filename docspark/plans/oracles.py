@@ -271,7 +271,9 @@ SELECT doc_id, key, CASE WHEN r.value IS NULL THEN 'only_left' WHEN l.value IS N
   ELSE 'different' END AS state, l.value AS left_value, r.value AS right_value
 FROM entries l FULL OUTER JOIN changed r USING (doc_id, key)
 WHERE key <> 'pdf:encrypted' AND l.value IS DISTINCT FROM r.value""",
-    "train_language_profiles": f"WITH {GRAMS} SELECT lang, gram, weight FROM profiles",
+    "train_language_profiles": f"""WITH {GRAMS} SELECT lang, gram, weight FROM profiles SEMI JOIN counts USING (lang, gram)
+UNION ALL SELECT lang, '', CAST(round(ln(1 / CAST(total + (SELECT count(*) FROM vocabulary) AS DOUBLE)) * 1000000)
+  AS BIGINT) FROM totals""",
     "detect_language": f"""WITH {SCORES} SELECT doc_id, CASE WHEN NOT blank THEN lang END AS language,
   CASE WHEN NOT blank THEN CAST(top AS BIGINT) END AS log_weight FROM best""",
     "language_confidence": f"""WITH {SCORES},

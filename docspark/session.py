@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 import docspark
 
-# Document cells are large: small Arrow batches keep the Python workers' memory flat.
+# Document cells are large: Arrow batches of few rows keep the Python workers' memory flat,
+# beside the bound on their bytes that Spark sets by itself.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.session.timeZone": "UTC",
 }
 
