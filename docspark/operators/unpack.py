@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
+from docspark.functions import metadata as M
 from docspark.functions.html import html_embedded
 from docspark.functions.mail import mime_parts
 from docspark.functions.text import decode_text, lookup
@@ -260,17 +261,35 @@ def _with_safe_name(named: DataFrame) -> DataFrame:
     ))
 
 
+def describe_embedded(named: DataFrame) -> DataFrame:
+    """Add the raw and the normalised metadata of each child."""
+    raw = M.merge_entries(
+        M.file_fields(F.col("child_name"), F.octet_length("content"), F.col("media_type"),
+                      F.lit(None).cast("string"), F.lit(None).cast("string")),
+        M.entries_of([(V.EMBEDDED_DEPTH, F.col("depth")), (V.EMBEDDED_RELATIONSHIP_ID, F.col("relationship_id"))]),
+    )
+    return named.withColumn("raw_metadata", raw).withColumn("metadata", M.normalized("raw_metadata"))
+
+
+def _by_position(left: Column, right: Column) -> Column:
+    """Compare two items by position alone: their maps have no order."""
+    before, after = left["ord_path"] < right["ord_path"], left["ord_path"] > right["ord_path"]
+    return F.when(before, -1).when(after, 1).otherwise(0)
+
+
 def unpack_result(roots: DataFrame, children: DataFrame, id_col: str = "doc_id",
                   metadata: str = "metadata") -> DataFrame:
     """Root metadata with the list of its embedded documents; a leaf file has an empty list.
 
+    Items carry the metadata of :func:`describe_embedded` where the children have it.
     The list is cut into blocks of up to 1000 top-level children, ``block_no`` 0, 1, …, so
     no task holds more than a block of one root. Content stays in the children table.
     """
-    item = F.struct("ord_path", "child_name", "safe_name", "depth", "media_type")
+    described = [c for c in ("raw_metadata", "metadata") if c in children.columns]
+    item = F.struct("ord_path", "child_name", "safe_name", "depth", "media_type", *described)
     lists = children.groupBy(
         "root_id", (F.element_at("ord_path", 1) / BLOCK_SIZE).cast("int").alias("block_no")
-    ).agg(F.array_sort(F.collect_list(item)).alias("embedded_documents"))
+    ).agg(F.array_sort(F.collect_list(item), _by_position).alias("embedded_documents"))
     empty = F.array().cast(lists.schema["embedded_documents"].dataType)
     return (
         roots.select(F.col(id_col).alias("root_id"), F.col(metadata).alias("root_metadata"))

@@ -383,11 +383,13 @@ def unpack_result(spark, sf_dir):
     roots = metadata.normalize_metadata(
         inputs.table(spark, sf_dir, "pages").select(
             "page_id", F.create_map(F.lit("resourceName"), F.col("url")).alias("raw_metadata")))
-    children = unpack.embedded_name(_children(spark, sf_dir))
+    children = unpack.describe_embedded(unpack.embedded_name(_children(spark, sf_dir)))
     result = unpack.unpack_result(roots, children, "page_id")
-    names = F.transform("embedded_documents", lambda d: d["child_name"])
+    names = F.transform("embedded_documents", lambda d: d["metadata"]["resource_name"])
+    depths = F.transform("embedded_documents", lambda d: d["metadata"]["embedded_depth"].cast("string"))
     return result.select("root_id", "block_no", F.col("root_metadata.resource_name").alias("resource_name"),
-                         F.size("embedded_documents").alias("children"), F.array_join(names, ",").alias("names"))
+                         F.size("embedded_documents").alias("children"), F.array_join(names, ",").alias("names"),
+                         F.array_join(depths, ",").alias("depths"))
 
 
 @query

@@ -17,6 +17,7 @@ from docspark.operators.errors import ERROR_TYPE, input_error, make_error, raise
 from docspark.operators.language import with_language
 from docspark.operators.media_types import Detector, media_type_column
 from docspark.operators.metadata import raw_metadata_column
+from docspark.operators.unpack import describe_embedded, embedded_name, unpack_documents, unpack_result
 from docspark.operators.parsing import (ColumnParser, PACKAGE_TYPES, apply_custom_parsers, package_parts,
                                         package_text, xml_is_malformed)
 
@@ -109,3 +110,25 @@ def analyze_documents(df: DataFrame, profiles: DataFrame, id_cols: list[str], **
     """Media type, text, metadata and language of documents in one narrow pass."""
     parsed = parse_documents(df, output_format="txt", **options)
     return with_language(parsed, profiles, id_cols, "text")
+
+
+def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: str = "content",
+           name: str | None = None, hint: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(result, children): root metadata with lists of children, and the children's content.
+
+    The children are the flat table to write out; the result lists them by name and
+    metadata, without content.
+    """
+    missing = F.lit(None).cast("string")
+    path = F.col(name) if name else missing
+    given = F.nullif(F.trim(F.col(hint)), F.lit("")) if hint else missing
+    kind = media_type_column(F.col(content), path, given if hint else None)
+    typed = df.filter(F.col(content).isNotNull()).select(
+        id_col, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"), kind.alias("_kind"))
+    text = F.when(F.col("_kind").isin(*HTML_TYPES), decode_text(F.col("_bytes")))
+    raw = raw_metadata_column(F.col("_kind"), F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"))
+    roots = typed.withColumn("_text", text).select(id_col, raw.alias("raw_metadata"))
+    roots = roots.withColumn("metadata", M.normalized("raw_metadata"))
+    children = unpack_documents(df, max_depth, id_col, content, name, hint)
+    children = describe_embedded(embedded_name(children, max_depth))
+    return unpack_result(roots, children, id_col), children

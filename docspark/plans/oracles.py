@@ -294,7 +294,8 @@ UNION ALL SELECT page_id, 1, 'embed1.zip', NULL FROM pages WHERE page_id % 2 = 0
   CASE WHEN content IS NOT NULL THEN sha256(content) END AS content_sha256 FROM children""",
     "embedded_name": f"WITH {CHILDREN} SELECT root_id, depth, child_name, child_name AS safe_name FROM named",
     "unpack_result": f"""WITH {CHILDREN} SELECT root_id, 0 AS block_no, any_value(url) AS resource_name,
-  CAST(count(*) AS INTEGER) AS children, string_agg(child_name, ',' ORDER BY n) AS names
+  CAST(count(*) AS INTEGER) AS children, string_agg(child_name, ',' ORDER BY n) AS names,
+  string_agg(CAST(depth AS VARCHAR), ',' ORDER BY n) AS depths
   FROM named JOIN pages ON page_id = root_id GROUP BY root_id""",
     "write_embedded": f"""WITH {CHILDREN} SELECT root_id, depth, child_name AS rel_path,
   octet_length(content) AS content_length FROM named""",

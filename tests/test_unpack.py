@@ -112,3 +112,17 @@ def test_inline_resources(spark):
     assert [(r["media_type"], bytes(r["content"])) for r in rows] == [
         ("text/css", b"p{}"), ("image/gif", b"GIF89a"), ("application/javascript", b"run()"),
         ("application/javascript", b"cut")]
+
+
+def test_unpack_in_one_call(spark, tmp_path):
+    from docspark import unpack, write_embedded
+
+    df = spark.createDataFrame([(1, "a.docx", OFFICE), (2, "b.txt", b"Hello")], "doc_id int, path string, content binary")
+    result, embedded = unpack(df, max_depth=2, name="path")
+    rows = {r["root_id"]: r for r in result.collect()}
+    assert rows[1]["root_metadata"]["content_type"].endswith("wordprocessingml.document")
+    assert [d["metadata"]["resource_name"] for d in rows[1]["embedded_documents"]] == [
+        "embed1.zip", "embed1/embed1a.txt", "more.zip", "image1.emf"]
+    assert [d["metadata"]["embedded_depth"] for d in rows[1]["embedded_documents"]] == [1, 2, 2, 1]
+    assert rows[2]["root_metadata"]["resource_name"] == "b.txt" and rows[2]["embedded_documents"] == []
+    assert write_embedded(embedded, f"{tmp_path}/out").count() == 4
