@@ -127,18 +127,25 @@ def _container_kind(media_type: Column) -> Column:
     return lookup(kinds, multipart)
 
 
-def _next_level(frontier: DataFrame) -> DataFrame:
+def _level_columns() -> tuple[Column, Column]:
+    """(parts of a message or page, media type of a child): the same for every level."""
+    is_mail = F.col("_kind") == "mail"
+    # One explode serves both kinds that are opened by expressions.
+    parts = F.when(is_mail, mime_parts(F.col("content"))).otherwise(html_embedded(decode_text(F.col("content"))))
+    # A declared multipart type must survive: its own lines do not look like a message.
+    declared = F.when(F.col("media_type").rlike("^multipart/|^text/html$|^message/rfc822$"), F.col("media_type"))
+    return parts, media_type_column(F.col("content"), F.col("name"), declared)
+
+
+def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFrame:
     """Children of one level. Each branch filters on the type before it opens the content."""
+    # One column tells how to open a row. Catalyst copies it into each filter, so the
+    # filters read it once instead of naming the detected type several times.
     base = frontier.select(
         "root_id", F.col("depth").alias("_depth"), F.col("ord_path").alias("_path"),
         F.col("name").alias("parent_name"), "content",
         _container_kind(F.col("media_type")).alias("_kind"),
     )
-    # One column tells how to open a row. Catalyst copies it into each filter, so the
-    # filters read it once instead of naming the detected type several times.
-    is_mail = F.col("_kind") == "mail"
-    # One explode serves both kinds that are opened by expressions.
-    parts = F.when(is_mail, mime_parts(F.col("content"))).otherwise(html_embedded(decode_text(F.col("content"))))
     keep = ["root_id", "_depth", "_path", "parent_name", "_kind"]
     marked_up = _explode_parts(base.filter(F.col("_kind").isin("mail", "markup")), parts, keep)
     in_office = F.col("_kind") == "office"
@@ -153,10 +160,7 @@ def _next_level(frontier: DataFrame) -> DataFrame:
         (F.col("_depth") + 1).alias("depth"),
         F.concat("_path", F.array("ord")).alias("ord_path"),
         "parent_name", "name", "relationship_id",
-        # A declared multipart type must survive: its own lines do not look like a message.
-        media_type_column(F.col("content"), F.col("name"),
-                          F.when(F.col("media_type").rlike("^multipart/|^text/html$|^message/rfc822$"),
-                                 F.col("media_type"))).alias("detected"),
+        detected.alias("detected"),
         F.col("media_type").alias("declared"), "content", "error",
     )
     generic = F.col("detected").isin(V.OCTET_STREAM, V.TEXT_PLAIN)
@@ -189,9 +193,10 @@ def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id",
     )
     if max_depth == 0:
         return frontier.limit(0)
+    parts, detected = _level_columns()
     levels: list[DataFrame] = []
     for depth in range(1, max_depth + 1):
-        level = _next_level(frontier)
+        level = _next_level(frontier, parts, detected)
         if max_depth > 1:
             level = materialize(level, f"unpack-level-{depth}")
             if depth > 1 and level.isEmpty():
