@@ -195,7 +195,7 @@ def mail_text(parts: Column) -> Column:
             part["media_type"] == V.TEXT_HTML, html_to_text(t)).otherwise(t))
 
     chosen = let(F.coalesce(first(V.TEXT_PLAIN), first(V.TEXT_HTML)), text)
-    return F.regexp_replace(F.coalesce(chosen, F.lit("")), r"\n+\z", "")
+    return F.rtrim(F.coalesce(chosen, F.lit("")), F.lit("\n"))
 
 
 def message_fields(content: Column) -> Column:

@@ -77,7 +77,7 @@ def score_languages(df: DataFrame, profiles: DataFrame, id_cols: list[str], text
     """
     wide, languages = _wide(profiles)
     wide = broadcast_if_small(wide)
-    blank = F.coalesce(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")) == "", F.lit(True))
+    blank = F.coalesce(~F.col(text).rlike(r"\S"), F.lit(True))
     # The flag is computed before the explode: beside it, it would run once for every gram.
     exploded = df.select(*id_cols, blank.alias("blank"), ngrams(F.col(text), n).alias("grams")).select(
         *id_cols, "blank", F.explode_outer("grams").alias("gram")
@@ -178,7 +178,7 @@ def language_column(profiles: DataFrame, text: Column, limit: int = BROADCAST_RO
             results = [score(x) or {"language": None, "score": None} for x in batch]
             yield pd.DataFrame(results, columns=["language", "score"])
 
-    blank = F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")) == "", F.lit(True))
+    blank = F.coalesce(~text.rlike(r"\S"), F.lit(True))
     return scores(F.when(~blank, fold_letters(text)))
 
 

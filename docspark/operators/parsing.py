@@ -37,8 +37,9 @@ def parse_html_text(df: DataFrame, html: str = "html", output: str = "text") ->
 def xml_is_malformed(xml: Column) -> Column:
     """Whether the text is not one well-formed XML element. A NULL text is not judged."""
     # Declaration, comments and processing instructions may stand before and after the root.
-    misc = r"\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[[^\]]*\]\s*)?>"
-    body = F.regexp_replace(xml, rf"(?s)^\uFEFF?(?:{misc})*+|(?:{misc})++\z", "")
+    misc = r"\s++|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[[^\]]*\]\s*)?>"
+    # The trailing search starts behind a tag only, so a long run of blanks is read once.
+    body = F.regexp_replace(xml, rf"(?s)^\uFEFF?(?:{misc})*+|(?<=>)(?:{misc})++\z", "")
     return xml.isNotNull() & let(body, _is_broken_element)
 
 
