@@ -81,8 +81,9 @@ def _utf16(content: Column) -> Column:
     some = F.when(_starts(content, UTF16_BE_BOM), F.hex(even).rlike("^(?:....)*?D[89A-F]")) \
         .otherwise(F.hex(even).rlike("^(?:....)*?..D[89A-F]"))
     # One letter per unit: a surrogate pair is "hl".
-    kinds = F.array_join(F.transform(units, lambda u: F.regexp_replace(
-        F.regexp_replace(F.substring(u, lead, F.lit(2)), "^D[89AB]", "h"), "^D[C-F]", "l")), " ")
+    # The position is bound outside the lambda, which would copy the content for each unit.
+    kinds = let(lead, lambda at: F.array_join(F.transform(units, lambda u: F.regexp_replace(
+        F.regexp_replace(F.substring(u, at, F.lit(2)), "^D[89AB]", "h"), "^D[C-F]", "l")), " "))
     lone = kinds.rlike("h(?! l)|(?<!h )l")
     return F.when(F.when(some, lone).otherwise(False), F.decode(content, "ISO-8859-1")).otherwise(F.decode(even, "UTF-16"))
 
