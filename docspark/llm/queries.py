@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, token_files
+from docspark.llm import bpe, language_bits, quality, token_files
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +28,28 @@ def joined(ids: Column) -> Column:
     return F.array_join(ids, " ")
 
 
+def remainder(doc_id: str, by: int) -> Column:
+    """The fold of a document, from its id alone."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % by
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by labels of the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+    return quality.score_quality(docs, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by filters trained outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_bits.train(docs.where(remainder("doc_id", 3) != 1))
+    return language_bits.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the ids of all documents as token files, read the files back and describe them."""
     import zlib
@@ -60,6 +82,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op10_bpe": op10_bpe,
 }
