@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, language_bits, quality, token_files
+from docspark.llm import bpe, language_bits, near_duplicates, quality, token_files
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -42,6 +42,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of five-word shingles are three quarters alike."""
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by filters trained outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -83,6 +89,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_near_duplicates": op2_near_duplicates,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op10_bpe": op10_bpe,
