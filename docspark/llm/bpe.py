@@ -15,7 +15,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from itertools import repeat
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from docspark.llm.batches import list_array, put, steps
 
-#: Words whose ids a worker remembers; past it the memory starts anew, results stay the same.
-KNOWN_WORDS = 600_000
+#: Chunks and words whose ids a worker remembers, in two generations: when the younger is full it
+#: becomes the older one. Results do not depend on it.
+KNOWN_CHUNKS, KNOWN_WORDS = 400_000, 600_000
 
 #: Code points from here on are split by the tokenizer library's own tables: which of them are
 #: letters or numbers differs between versions of Unicode.
@@ -53,6 +54,25 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(shifted)) for b in range(256)]
 
 
+class Memory:
+    """What was found lately. ``known`` is the younger generation, which holds all of the current step."""
+
+    def __init__(self, size: int) -> None:
+        self.half = size // 2
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Bring ``wanted`` into ``known`` where it is remembered; return the rest."""
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > self.half:
+            self.older, self.known = self.known, {}
+            new = wanted
+        back = self.older.keys() & new
+        self.known.update((w, self.older[w]) for w in back)
+        return list(new.difference(back))
+
+
 class PairIndexBpe:
     """A tokenizer file (NFC, lower case, split by pattern, byte level, BPE with a word end)."""
 
@@ -77,8 +97,10 @@ class PairIndexBpe:
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], rank)
             self.merged.append(self.ids[a + b])
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.byte_ids = [self.ids[x] for x in self.bytes]
+        self.last_ids = [self.ids[x + self.end] for x in self.bytes]
+        self.token_list = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
+        self.chunks, self.words_seen = Memory(KNOWN_CHUNKS), Memory(KNOWN_WORDS)
 
     def split(self, chunk: str) -> list[str]:
         """Words of a chunk, in normal form and lower case."""
@@ -104,14 +126,14 @@ class PairIndexBpe:
 
     def merge(self, words: list[str]) -> list[bytes]:
         """Ids of each word, all words merged together rank by rank."""
-        ids, alphabet, ranks = self.ids, self.bytes, self.ranks
+        inner, last, ranks = self.byte_ids, self.last_ids, self.ranks
         symbols: list[int] = []
         starts = []
         for word in words:
-            letters = [alphabet[b] for b in word.encode()]
+            data = word.encode()
             starts.append(len(symbols))
-            symbols += [ids[x] for x in letters[:-1]]
-            symbols.append(ids[letters[-1] + self.end])
+            symbols += [inner[b] for b in data[:-1]]
+            symbols.append(last[data[-1]])
             symbols.append(-1)  # between words
         size = len(symbols)
         after = list(range(1, size + 1))
@@ -171,37 +193,38 @@ class PairIndexBpe:
             at += 4 * n
         return result
 
-    def learn(self, unknown: set[str]) -> None:
-        """Find the ids of chunks seen for the first time."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        if len(self.pieces) > KNOWN_WORDS:
-            self.pieces.clear()
+    def learn(self, unknown: list[str]) -> None:
+        """Find the ids of chunks that are not remembered."""
         split = [(chunk, list(self.parts(chunk))) for chunk in unknown]
-        new = list({w for _, parts in split for w, special in parts if not special and w not in self.pieces})
-        self.pieces.update(zip(new, self.merge(new)))
+        new = self.words_seen.missing({w for _, parts in split for w, special in parts if not special})
+        pieces = self.words_seen.known
+        pieces.update(zip(new, self.merge(new)))
         for chunk, parts in split:
-            self.known[chunk] = b"".join([
-                np.int32(self.special[w]).tobytes() if special else self.pieces[w] for w, special in parts])
+            self.chunks.known[chunk] = b"".join([
+                np.int32(self.special[w]).tobytes() if special else pieces[w] for w, special in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         split = [chunks(t) if t else [] for t in texts]
-        known = self.known
         seen: set[str] = set()
         for words in split:
             seen.update(words)
-        unknown = seen.difference(known)
-        if unknown and len(known) + len(unknown) > KNOWN_WORDS:  # learn() starts the memory anew
-            known.clear()
-            unknown = seen
-        if unknown:
-            self.learn(unknown)
-        find = known.__getitem__
+        self.learn(self.chunks.missing(seen))
+        find = self.chunks.known.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
-    def decode(self, ids: list[int] | None) -> str:
-        return " ".join(filter(None, map(self.tokens.get, ids or [], repeat(None))))
+    def decode(self, ids: list[int]) -> str:
+        """Tokens of ids, one blank between them; ids without a token are left out."""
+        try:
+            return " ".join(map(self.token_list.__getitem__, ids))
+        except (IndexError, TypeError):
+            return " ".join(filter(None, map(self.tokens.get, ids)))
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(definition: bytes) -> PairIndexBpe:
+    """One tokenizer per worker, with what it remembers from earlier partitions."""
+    return PairIndexBpe(definition)
 
 
 def read_definition(path: str) -> bytes:
@@ -222,7 +245,7 @@ def encode_bpe(df: DataFrame, definition: bytes, text: str = "text", ids: str =
     shared = df.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PairIndexBpe(shared.value)
+        bpe = tokenizer_of(shared.value)
         for batch, texts in steps(batches, text):
             found = bpe.encode(texts)
             yield put(batch, arrow, **{ids: list_array(
@@ -238,11 +261,13 @@ def decode_bpe(df: DataFrame, definition: bytes, ids: str = "ids", decoded: str
     shared = df.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PairIndexBpe(shared.value)
+        bpe = tokenizer_of(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                lists = part.column(part.schema.get_field_index(ids))
-                yield put(part, arrow, **{decoded: pa.array([bpe.decode(x.as_py()) for x in lists], pa.string())})
+                lists = part.column(part.schema.get_field_index(ids)).fill_null([])
+                flat, cut = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.append(0, np.cumsum(lists.value_lengths()))
+                texts = [bpe.decode(flat[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                yield put(part, arrow, **{decoded: pa.array(texts, pa.string())})
 
     return df.mapInArrow(run, schema)

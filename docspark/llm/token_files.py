@@ -26,6 +26,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docspark.llm.batches import list_array, steps
-from docspark.llm.bpe import chunks
+from docspark.llm.bpe import Memory, chunks
 from docspark.session import fresh_path
 
 MAGIC = b"DSTOKEN1"
 #: Documents whose ids the dictionary is trained on, and its size in bytes.
 DICTIONARY_SAMPLE = 1024
 DICTIONARY_BYTES = 64 << 10
-#: Words whose ids a worker remembers.
-KNOWN_WORDS = 600_000
+#: White-space chunks whose ids a worker remembers.
+KNOWN_CHUNKS = 600_000
 _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "i1"), ("offset", "<u8"), ("n", "<u8")])
 
 
@@ -53,24 +54,26 @@ class LibraryEncoder:
 
     def __init__(self, definition: bytes) -> None:
         self.tokenizer = Tokenizer.from_str(definition.decode())
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(KNOWN_CHUNKS)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [chunks(t) if t else [] for t in texts]
         seen: set[str] = set()
         for words in split:
             seen.update(words)
-        unknown = seen.difference(self.known)
-        if len(self.known) + len(unknown) > KNOWN_WORDS:
-            self.known.clear()
-            unknown = seen
-        words = list(unknown)
+        words = self.memory.missing(seen)
+        known = self.memory.known
         for start in range(0, len(words), 4096):
             part = words[start:start + 4096]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+                known[word] = np.array(found.ids, "<u4").tobytes()
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(definition: bytes) -> LibraryEncoder:
+    """One encoder per worker, with what it remembers from earlier partitions."""
+    return LibraryEncoder(definition)
 
 
 def open_folder(uri: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -83,7 +86,7 @@ def train_dictionary(docs: DataFrame, definition: bytes, end_id: int, doc_id: st
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LibraryEncoder(shared.value)
+        encoder = encoder_of(shared.value)
         for _, texts in steps(batches, text):
             yield pa.RecordBatch.from_pydict({"ids": pa.array(encoder.encode(texts), pa.binary())})
 
@@ -114,7 +117,7 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, trained = shared.value
-        encoder, end = LibraryEncoder(words), struct.pack("<I", end_id)
+        encoder, end = encoder_of(words), struct.pack("<I", end_id)
         packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained))
         where, path = open_folder(folder)
         name = f"{uuid.uuid4().hex}.tokens"
