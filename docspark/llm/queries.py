@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, language_bits, near_duplicates, quality, token_files
+from docspark.llm import bpe, language_bits, line_dedup, near_duplicates, quality, token_files
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -75,6 +75,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.mapInArrow(checksums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode its ids, and describe both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -92,6 +97,7 @@ QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
+    "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
 }
 
