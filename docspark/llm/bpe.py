@@ -29,7 +29,7 @@ from docspark.llm.batches import list_array, put, steps
 
 #: Chunks and words whose ids a worker remembers, in two generations: when the younger is full it
 #: becomes the older one. Results do not depend on it.
-KNOWN_CHUNKS, KNOWN_WORDS = 400_000, 600_000
+KNOWN_CHUNKS, KNOWN_WORDS = 400_000, 500_000
 
 #: Code points from here on are split by the tokenizer library's own tables: which of them are
 #: letters or numbers differs between versions of Unicode.
@@ -73,8 +73,11 @@ class Memory:
         return list(new.difference(back))
 
 
-class PairIndexBpe:
-    """A tokenizer file (NFC, lower case, split by pattern, byte level, BPE with a word end)."""
+class WordEncoder:
+    """A tokenizer file (NFC, lower case, split by pattern, byte level, BPE with a word end).
+
+    Finds the words of a text and remembers their ids; ``merge`` of a subclass finds the ids of new words.
+    """
 
     def __init__(self, definition: bytes) -> None:
         spec = json.loads(definition)
@@ -89,19 +92,13 @@ class PairIndexBpe:
         self.words = regex.compile(split["pattern"]["Regex"])
         self.library_words = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
         self.library_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
-        self.bytes = byte_alphabet()
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        # (left id, right id) as one number -> rank, and rank -> merged id
-        self.ranks: dict[int, int] = {}
-        self.merged: list[int] = []
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], rank)
-            self.merged.append(self.ids[a + b])
-        self.byte_ids = [self.ids[x] for x in self.bytes]
-        self.last_ids = [self.ids[x + self.end] for x in self.bytes]
         self.token_list = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
         self.chunks, self.words_seen = Memory(KNOWN_CHUNKS), Memory(KNOWN_WORDS)
 
+    def merge(self, words: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
     def split(self, chunk: str) -> list[str]:
         """Words of a chunk, in normal form and lower case."""
         if chunk.isascii():
@@ -124,6 +121,57 @@ class PairIndexBpe:
                 for word in self.split(part):
                     yield word, False
 
+    def chunks_of(self, text: str) -> list[str]:
+        """Chunks of a text, in lower case already where that is sure to be what the file means."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return chunks(text)
+        return chunks(text if self.specials and self.specials.search(text.lower()) else text.lower())
+
+    def learn(self, unknown: list[str]) -> None:
+        """Find the ids of chunks that are not remembered."""
+        split = [(chunk, list(self.parts(chunk))) for chunk in unknown]
+        new = self.words_seen.missing({w for _, parts in split for w, special in parts if not special})
+        pieces = self.words_seen.known
+        pieces.update(zip(new, self.merge(new)))
+        for chunk, parts in split:
+            self.chunks.known[chunk] = b"".join([
+                np.int32(self.special[w]).tobytes() if special else pieces[w] for w, special in parts])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        split = [self.chunks_of(t) if t else [] for t in texts]
+        seen: set[str] = set()
+        for words in split:
+            seen.update(words)
+        self.learn(self.chunks.missing(seen))
+        find = self.chunks.known.__getitem__
+        return [b"".join(map(find, words)) for words in split]
+
+    def decode(self, ids: list[int]) -> str:
+        """Tokens of ids, one blank between them; ids without a token are left out."""
+        try:
+            return " ".join(map(self.token_list.__getitem__, ids))
+        except (IndexError, TypeError):
+            return " ".join(filter(None, map(self.tokens.get, ids)))
+
+
+class PairIndexBpe(WordEncoder):
+    """New words are merged together by an index of their pairs."""
+
+    def __init__(self, definition: bytes) -> None:
+        super().__init__(definition)
+        # (left id, right id) as one number -> rank, and rank -> merged id
+        self.ranks: dict[int, int] = {}
+        self.merged: list[int] = []
+        for rank, (a, b) in enumerate(json.loads(definition)["model"]["merges"]):
+            self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], rank)
+            self.merged.append(self.ids[a + b])
+        alphabet = byte_alphabet()
+        self.byte_ids = [self.ids[x] for x in alphabet]
+        self.last_ids = [self.ids[x + self.end] for x in alphabet]
+
     def merge(self, words: list[str]) -> list[bytes]:
         """Ids of each word, all words merged together rank by rank."""
         inner, last, ranks = self.byte_ids, self.last_ids, self.ranks
@@ -193,33 +241,6 @@ class PairIndexBpe:
             at += 4 * n
         return result
 
-    def learn(self, unknown: list[str]) -> None:
-        """Find the ids of chunks that are not remembered."""
-        split = [(chunk, list(self.parts(chunk))) for chunk in unknown]
-        new = self.words_seen.missing({w for _, parts in split for w, special in parts if not special})
-        pieces = self.words_seen.known
-        pieces.update(zip(new, self.merge(new)))
-        for chunk, parts in split:
-            self.chunks.known[chunk] = b"".join([
-                np.int32(self.special[w]).tobytes() if special else pieces[w] for w, special in parts])
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split = [chunks(t) if t else [] for t in texts]
-        seen: set[str] = set()
-        for words in split:
-            seen.update(words)
-        self.learn(self.chunks.missing(seen))
-        find = self.chunks.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
-
-    def decode(self, ids: list[int]) -> str:
-        """Tokens of ids, one blank between them; ids without a token are left out."""
-        try:
-            return " ".join(map(self.token_list.__getitem__, ids))
-        except (IndexError, TypeError):
-            return " ".join(filter(None, map(self.tokens.get, ids)))
-
 
 @lru_cache(maxsize=1)
 def tokenizer_of(definition: bytes) -> PairIndexBpe:

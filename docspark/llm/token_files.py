@@ -37,37 +37,50 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docspark.llm.batches import list_array, steps
-from docspark.llm.bpe import Memory, chunks
+from docspark.llm.bpe import WordEncoder
 from docspark.session import fresh_path
 
 MAGIC = b"DSTOKEN1"
 #: Documents whose ids the dictionary is trained on, and its size in bytes.
 DICTIONARY_SAMPLE = 1024
 DICTIONARY_BYTES = 64 << 10
-#: White-space chunks whose ids a worker remembers.
-KNOWN_CHUNKS = 600_000
+#: New words that the library gets in one text.
+GROUP = 200
 _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "i1"), ("offset", "<u8"), ("n", "<u8")])
 
 
-class LibraryEncoder:
-    """Ids by the tokenizers library. No id crosses white space, so each distinct chunk is encoded once."""
+class LibraryEncoder(WordEncoder):
+    """New words get their ids from the tokenizers library, some hundred of them in one call.
+
+    A word's ids end with the only one that stands for a word's end, which parts the words again.
+    """
 
     def __init__(self, definition: bytes) -> None:
+        super().__init__(definition)
         self.tokenizer = Tokenizer.from_str(definition.decode())
-        self.memory = Memory(KNOWN_CHUNKS)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [chunks(t) if t else [] for t in texts]
-        seen: set[str] = set()
-        for words in split:
-            seen.update(words)
-        words = self.memory.missing(seen)
-        known = self.memory.known
-        for start in range(0, len(words), 4096):
-            part = words[start:start + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        self.ends = np.zeros(max(self.tokens) + 1, bool)
+        self.ends[[i for t, i in self.ids.items() if t.endswith(self.end)]] = True
+
+    def learn(self, unknown: list[str]) -> None:
+        # Marks that join the letters before them are left to the library, chunk by chunk.
+        odd = [c for c in unknown if not c.isascii() and max(c) >= "\u0300"]
+        for chunk, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self.chunks.known[chunk] = np.array(found.ids, "<u4").tobytes()
+        super().learn(list(set(unknown).difference(odd)) if odd else unknown)
+
+    def merge(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for start in range(0, len(words), GROUP * 64):
+            part = words[start:start + GROUP * 64]
+            calls = [" ".join(part[i:i + GROUP]) for i in range(0, len(part), GROUP)]
+            found = self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)
+            flat = np.concatenate([np.array(x.ids, "<u4") for x in found])
+            cut = (4 * (np.flatnonzero(self.ends[flat]) + 1)).tolist()
+            if len(cut) != len(part):
+                raise ValueError("the library splits words in another way")
+            data = flat.tobytes()
+            out += [data[a:b] for a, b in zip([0, *cut], cut)]
+        return out
 
 
 @lru_cache(maxsize=1)
