@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, language_bits, line_dedup, near_duplicates, quality, token_files
+from docspark.llm import bpe, language_bits, line_dedup, mixing, near_duplicates, quality, token_files
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -48,6 +48,12 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document."""
+    mixed = mixing.mix_pieces(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken_words(F.col("pieces")).alias("taken"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by filters trained outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -95,6 +101,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near_duplicates": op2_near_duplicates,
+    "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op9_line_dedup": op9_line_dedup,
