@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, language_bits, line_dedup, mixing, near_duplicates, quality, token_files
+from docspark.llm import bpe, language_bits, line_dedup, mixing, near_duplicates, quality, template, token_files
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -81,6 +81,39 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.mapInArrow(checksums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations, read the output back, and describe turns and loss mask."""
+    import hashlib
+
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = template.format_conversations(turns.unionByName(extra))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                back = template.read_back(row["formatted"])
+                whole = "".join(f"{role}\n{text}\n" for role, text in back)
+                loss = "".join(template.unescape(row["formatted"][t["text_start"]:t["text_end"]])
+                               for t in row["turns"] if t["role"] == "assistant")
+                out.append({
+                    "conv_id": row["conv_id"], "n_turns": len(back),
+                    "turns_sha256": hashlib.sha256(whole.encode()).hexdigest(), "loss_chars": len(loss),
+                    "loss_sha256": hashlib.sha256(loss.encode()).hexdigest(),
+                    "formatted_chars": len(row["formatted"]), "rewrites": row["rewrites"]})
+            yield pa.RecordBatch.from_pylist(out, schema=kinds)
+
+    kinds = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+                       ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
+                       ("rewrites", pa.bool_())])
+    return formatted.mapInArrow(
+        digests, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+                 "formatted_chars bigint, rewrites boolean")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -104,6 +137,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
+    "op7_chat": op7_chat,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
 }
