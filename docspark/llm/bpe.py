@@ -29,7 +29,7 @@ from docspark.llm.batches import list_array, put, steps
 
 #: Chunks and words whose ids a worker remembers, in two generations: when the younger is full it
 #: becomes the older one. Results do not depend on it.
-KNOWN_CHUNKS, KNOWN_WORDS = 400_000, 500_000
+KNOWN_CHUNKS, KNOWN_WORDS = 1_000_000, 1_000_000
 
 #: Code points from here on are split by the tokenizer library's own tables: which of them are
 #: letters or numbers differs between versions of Unicode.
@@ -259,18 +259,27 @@ def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
-def encode_bpe(df: DataFrame, definition: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Append ``ids`` (array of int) of the whole ``text``. The definition travels as a broadcast of file size."""
+def encode_bpe(
+    df: DataFrame, definition: bytes, text: str = "text", ids: str = "ids", decoded: str | None = None,
+) -> DataFrame:
+    """Append ``ids`` (array of int) of the whole ``text``. The definition travels as a broadcast of file size.
+
+    With ``decoded``, the ids are decoded in the same pass too, into a column of that name.
+    """
     schema = _with(df, ids, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = T.StructType([*schema.fields, T.StructField(decoded, T.StringType())])
     arrow = to_arrow_schema(schema)
     shared = df.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer_of(shared.value)
-        for batch, texts in steps(batches, text):
+        for batch, texts in steps(batches, text, 2_000_000):
             found = bpe.encode(texts)
-            yield put(batch, arrow, **{ids: list_array(
-                np.frombuffer(b"".join(found), np.int32), [len(x) // 4 for x in found], pa.int32())})
+            made = {ids: list_array(np.frombuffer(b"".join(found), np.int32), [len(x) // 4 for x in found], pa.int32())}
+            if decoded:
+                made[decoded] = pa.array([bpe.decode(np.frombuffer(x, np.int32).tolist()) for x in found], pa.string())
+            yield put(batch, arrow, **made)
 
     return df.mapInArrow(run, schema)
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, language_bits, line_dedup, mixing, near_duplicates, quality, template, token_files
+from docspark.llm import ann, bpe, language_bits, line_dedup, mixing, near_duplicates, quality, template, token_files, top_k
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -48,6 +48,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id 20 divides."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document."""
     mixed = mixing.mix_pieces(table(spark, sf_dir, "documents"))
@@ -114,6 +119,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "formatted_chars bigint, rewrites boolean")
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest integer inner products of every vector whose id 100 divides."""
+    return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -122,9 +132,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode its ids, and describe both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words = vocabulary()
-    encoded = bpe.encode_bpe(docs, words).drop("text")
-    both = bpe.decode_bpe(encoded, words)
+    both = bpe.encode_bpe(docs, vocabulary(), decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(joined(F.col("ids")), 256).alias("ids_sha256"),
@@ -134,10 +142,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_neighbours": op3_neighbours,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
+    "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
 }

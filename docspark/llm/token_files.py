@@ -136,7 +136,7 @@ def write_token_files(
         name = f"{uuid.uuid4().hex}.tokens"
         out = shard = None
         index, at = [], 40
-        for batch, texts in steps(batches, "text"):
+        for batch, texts in steps(batches, "text", 2_000_000):
             if out is None:
                 shard = batch.column(2)[0].as_py()
                 out = where.open_output_stream(f"{path}/{name}")
