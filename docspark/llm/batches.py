@@ -6,27 +6,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-#: Characters of text that one step inside a Python worker handles at once.
+#: Bytes of text that one step inside a Python worker handles at once.
 STEP_CHARS = 4_000_000
 
 
 def steps(batches: Iterable[pa.RecordBatch], text: str, chars: int = STEP_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Cut Arrow batches so that each step holds about ``chars`` characters; whole texts, never prefixes."""
-    at = None
+    """Cut Arrow batches so that each step holds about ``chars`` bytes of text; whole texts, never prefixes."""
     for batch in batches:
-        if at is None:
-            at = batch.schema.get_field_index(text)
-        texts = batch.column(at).to_pylist()
-        start = held = 0
-        for i, value in enumerate(texts):
-            held += len(value or "")
-            if held >= chars:
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-                start, held = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(batch.schema.get_field_index(text))
+        held = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = held[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(held, before + chars, "right")))
+            yield batch.slice(start, end - start), column.slice(start, end - start).to_pylist()
+            start = end
 
 
 def put(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array) -> pa.RecordBatch:

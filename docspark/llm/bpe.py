@@ -29,7 +29,7 @@ from docspark.llm.batches import list_array, put, steps
 
 #: Chunks and words whose ids a worker remembers, in two generations: when the younger is full it
 #: becomes the older one. Results do not depend on it.
-KNOWN_CHUNKS, KNOWN_WORDS = 1_000_000, 1_000_000
+KNOWN_CHUNKS, KNOWN_WORDS = 600_000, 600_000
 
 #: Code points from here on are split by the tokenizer library's own tables: which of them are
 #: letters or numbers differs between versions of Unicode.

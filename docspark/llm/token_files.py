@@ -192,16 +192,17 @@ class TokenFile:
         return np.frombuffer(self.frames(i, 1)[0], "<u4")
 
 
-def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, raw: bool = False) -> DataFrame:
     """Every document of the files: doc_id, start (ids before it), n_tokens, ids.
 
+    ``raw`` gives the ids as stored, little-endian 32-bit integers in a binary, in place of an array.
     The running sum over files has one row per file, the sums inside a file come from its index.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     listed = manifest.select("shard", "file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
     listed = listed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
     kinds = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
-                       ("ids", pa.list_(pa.int32()))])
+                       ("ids", pa.binary() if raw else pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,13 +212,15 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                 starts = start + np.cumsum(counts) - counts
                 for first in range(0, len(counts), 256):
                     part = opened.index[first:first + 256]
-                    flat = np.frombuffer(b"".join(opened.frames(first, len(part))), np.int32)
+                    frames = opened.frames(first, len(part))
+                    lists = pa.array(frames, pa.binary()) if raw else list_array(
+                        np.frombuffer(b"".join(frames), np.int32), counts[first:first + 256].tolist(), pa.int32())
                     yield pa.RecordBatch.from_arrays([
                         pa.array(part["doc_id"], mask=part["has_id"] == 0), pa.array(starts[first:first + 256]),
-                        pa.array(counts[first:first + 256]),
-                        list_array(flat, counts[first:first + 256].tolist(), pa.int32())], schema=kinds)
+                        pa.array(counts[first:first + 256]), lists], schema=kinds)
 
-    return listed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
+    kind = "binary" if raw else "array<int>"
+    return listed.mapInArrow(run, f"doc_id bigint, start bigint, n_tokens bigint, ids {kind}")
 
 
 def token_folder(spark: SparkSession) -> str:
