@@ -30,31 +30,37 @@ def shared_lists(postings: DataFrame) -> DataFrame:
 def connected_groups(links: DataFrame) -> DataFrame:
     """(v, root) for every vertex of ``links`` (a, b); the root is the smallest vertex of the group.
 
-    Each round maps every vertex to the smallest in its neighbourhood and contracts the links. The
-    rounds grow with the logarithm of a group's diameter; each is a written table.
+    Each round orders the vertices anew by a hash, maps each to the first in its neighbourhood, follows
+    the map once more, and contracts the links. Whatever the shape of a group, a round leaves it a
+    fraction of its vertices, so rounds grow with the logarithm of its size. Each is a written table.
     """
     links = links.select("a", "b").where("a <> b")
-    rounds = []
+    found = None
+    turn = 0
     while True:
         links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
         if links.isEmpty():
             break
-        both = links.union(links.select(F.col("b"), F.col("a")))
-        step = materialize(
-            both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low"))
-            .select("v", F.least("v", "low").alias("to")), "step")
-        rounds.append(step)
+        turn += 1
+        near = (links.union(links.select(F.col("b"), F.col("a")))
+                .union(links.select(F.col("a"), F.col("a"))).union(links.select(F.col("b"), F.col("b"))))
+        first = F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("order"), "b"))
+        hop = materialize(near.groupBy(F.col("a").alias("v")).agg(first.alias("to")).select("v", F.col("to.b").alias("to")), "hop")
+        step = materialize(hop.join(hop.select(F.col("v").alias("to"), F.col("to").alias("next")), "to").select(
+            "v", F.col("next").alias("to")), "step")
         left = links.join(step.select(F.col("v").alias("a"), F.col("to").alias("a2")), "a")
         links = (left.join(step.select(F.col("v").alias("b"), F.col("to").alias("b2")), "b")
                  .where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")))
-    if not rounds:
+        if found is None:
+            found = step.withColumnRenamed("to", "root")
+        else:
+            found = materialize(
+                found.join(step.select(F.col("v").alias("root"), "to"), "root", "left")
+                .select("v", F.coalesce("to", "root").alias("root")), "found")
+    if found is None:
         return links.select(F.col("a").alias("v"), F.col("b").alias("root"))
-    # A later round starts from what the earlier ones end in.
-    found = rounds[0].withColumnRenamed("to", "root")
-    for step in rounds[1:]:
-        found = (found.join(step.select(F.col("v").alias("root"), "to"), "root", "left")
-                 .select("v", F.coalesce("to", "root").alias("root")))
-    return materialize(found, "groups")
+    least = found.groupBy("root").agg(F.min("v").alias("least"))
+    return materialize(found.join(least, "root").select("v", F.col("least").alias("root")), "groups")
 
 
 def link_lists(

@@ -37,7 +37,7 @@ PASSES = 3
 BLOCK = 128
 SHARD = 4096
 #: Documents per range of a source.
-RANGE = 20_000
+RANGE = 4_000
 #: Buckets of the cumulated shares through which slots find their source.
 BUCKETS = 1024
 ROUNDS = 12
