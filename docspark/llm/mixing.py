@@ -106,7 +106,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     upto = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     levelled = levelled.withColumn("sum_slots", F.sum("slots").over(upto))
     every = F.max("sum_slots").over(everyone)
-    levelled = levelled.withColumn("all_slots", every).withColumn("high", F.col("sum_slots") / every)
+    levelled = levelled.withColumn("all_slots", every).withColumn("high", F.coalesce(F.try_divide("sum_slots", every), F.lit(0.0)))
     low = F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0.0))
     return levelled.withColumn("low", low).select(
         "sid", "source", "source_size", "target", "blocks", "all_slots", "low",
