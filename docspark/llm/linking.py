@@ -2,8 +2,9 @@
 
 A list names the vertices that share a key. First every member is tested against the smallest of
 its list alone (a star), and verified links are contracted to groups. Only lists whose members are
-still in several groups are looked at again: there the members outside the list's largest group
-meet the members of other groups. Every pair of vertices that shares a list is therefore either
+still in several groups are looked at again. In ``ROUNDS`` rounds, the members outside a list's largest
+group are tested against one pseudorandom member of it, another one in each list and round, which
+brings in almost all that belong to it. What is still outside meets the members of other groups. Every pair of vertices that shares a list is therefore either
 tested or already in one group, and a list full of copies costs as many pairs as it has members.
 """
 
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from docspark.session import materialize
 
+#: Rounds in which outsiders meet one member of their list's largest group.
+ROUNDS = 2
+
 
 def shared_lists(postings: DataFrame) -> DataFrame:
     """The rows of ``postings`` (key, v) whose key has two members at least.
@@ -65,7 +69,7 @@ def connected_groups(links: DataFrame) -> DataFrame:
 
 def link_lists(
     lists: DataFrame, vertices: DataFrame, may_link: Callable[[str, str], Column],
-    verify: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS,
 ) -> DataFrame:
     """(v, root) of every vertex that is linked to another one.
 
@@ -77,22 +81,35 @@ def link_lists(
     def of(side: str, rows: DataFrame, on: str) -> DataFrame:
         return rows.join(vertices.select(F.col("v").alias(on), F.struct(*facts).alias(side)), on)
 
+    def tested(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return materialize(verify(of("y", of("x", pairs, "a"), "b").where(may_link("x.", "y.")).select("a", "b")), "links")
+
     pivots = lists.groupBy("key").agg(F.min("v").alias("a"))
-    star = lists.withColumnRenamed("v", "b").join(pivots, "key").where("a <> b").select("a", "b").distinct()
-    star = of("y", of("x", star, "a"), "b").where(may_link("x.", "y."))
-    links = materialize(verify(star.select("a", "b")), "links")
+    links = tested(lists.withColumnRenamed("v", "b").join(pivots, "key").where("a <> b"))
     groups = connected_groups(links)
-
-    members = (lists.join(groups, "v", "left").select("key", "v", F.coalesce("root", "v").alias("root")))
-    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
-    open_lists = (sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("root", F.struct("n", "root")).alias("main"))
-                  .where("groups > 1").select("key", "main"))
-    rest = materialize(of("x", members.join(open_lists, "key"), "v"), "rest")
-    odd = rest.where("root <> main").select("key", F.col("v").alias("a"), F.col("root").alias("ra"), "x")
-    other = rest.select("key", F.col("v").alias("b"), F.col("root").alias("rb"), F.col("x").alias("y"))
-    more = (odd.join(other, "key").where((F.col("ra") != F.col("rb")) & may_link("x.", "y."))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    later = materialize(verify(more), "links")
-    if later.isEmpty():
-        return groups
-    return connected_groups(links.union(later))
+    members = lists
+    for turn in range(1, rounds + 2):
+        members = members.join(groups, "v", "left").select("key", "v", F.coalesce("root", "v").alias("root"))
+        pick = F.min(F.struct(F.xxhash64("v", "key", F.lit(turn)).alias("order"), "v"))
+        sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"), pick.alias("pick"))
+        mains = (sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max(F.struct("n", "root", "pick")).alias("main"))
+                 .where("groups > 1").select("key", F.col("main.root").alias("main"), F.col("main.pick.v").alias("pick")))
+        members = materialize(members.join(mains, "key"), "open")
+        odd = members.where("root <> main")
+        if turn > rounds:
+            break
+        # Another member of the largest group each time and in each list: who belongs to it finds a link.
+        more = tested(odd.select(F.col("v").alias("a"), F.col("pick").alias("b")))
+        members = members.select("key", "v")
+        if more.isEmpty():
+            continue
+        links = links.union(more)
+        groups = connected_groups(links)
+    rest = of("x", members.select("key", "v", "root"), "v")
+    left = of("x", odd.select("key", F.col("v").alias("a"), F.col("root").alias("ra")), "a")
+    right = rest.select("key", F.col("v").alias("b"), F.col("root").alias("rb"), F.col("x").alias("y"))
+    pairs = (left.join(right, "key").where((F.col("ra") != F.col("rb")) & may_link("x.", "y."))
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    later = materialize(verify(pairs), "links")
+    return groups if later.isEmpty() else connected_groups(links.union(later))

@@ -1,14 +1,15 @@
 """Near-duplicate documents by bottom-k sketches of word shingles.
 
 One hash function ranks the shingles of a text; its ``SKETCH`` smallest values are kept. Inverted
-lists of retained values generate the overlaps: a list's key is a run of two neighbouring retained
-values, which texts with unlike content hardly share even when they contain the same passage.
-Two texts whose union holds at most ``SKETCH`` shingles share such a run whenever a quarter of the
-union at most is not common (by counting the gaps); for larger unions at the threshold the chance
-that all runs are broken is below 0.576 ** 31, about 4e-8, and it falls quickly above the threshold.
+lists of retained values generate the overlaps: a list's key is a run of three neighbouring retained
+values, which texts with unlike content hardly share even when they contain the same passage. Of two
+linked texts whose union holds at most ``SKETCH`` shingles, the d that are not common leave at least 3 d
+others in d + 1 gaps, so a run of three is common to both when the union has 12 or more, and a run of two
+in any case: sets of at most ``SMALL`` shingles have keys of two as well. For larger unions at the
+threshold the chance that all runs are broken is about 0.75 ** 64, 1e-8, and falls quickly above it.
 
 A pair is dropped when its union sketch (the ``SKETCH`` smallest values of both) has so few common
-values that a similarity at the threshold would give them with a chance below 1e-9. All
+values that a similarity at the threshold would give them with a chance below ``MISS``. All
 others are confirmed on the full sets of both texts.
 
 Texts with one set of shingles form one vertex, so copies are never paired. Cases: null and empty
@@ -37,9 +38,11 @@ from docspark.session import materialize
 WORDS = 5
 #: A link needs SHARE / 100 of the union in common.
 SHARE = 75
-SKETCH = 32
+SKETCH = 64
+#: Largest set with keys of two values.
+SMALL = 11
 #: Chance of dropping a pair at the threshold by its union sketch.
-MISS = 1e-9
+MISS = 1e-7
 #: Sets that a worker remembers while it confirms pairs.
 KNOWN_SETS = 256
 
@@ -145,9 +148,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         rows.where("n > 0").groupBy(F.col("set_key").alias("v")).agg(
             F.first("n").alias("n"), F.first("sketch").alias("sketch"),
             F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "row_hash")).alias("place")), "vertices")
-    at = F.sequence(F.lit(1), F.size("sketch") - 1)
-    runs = F.transform(at, lambda i: F.xxhash64(F.element_at("sketch", i), F.element_at("sketch", i + 1)))
-    postings = vertices.where(F.size("sketch") > 1).select(F.explode(runs).alias("key"), "v")
+    def runs(length: int) -> Column:
+        at = F.when(F.size("sketch") >= length, F.sequence(F.lit(1), F.size("sketch") - length + 1))
+        keys = F.transform(at, lambda i: F.xxhash64(*[F.element_at("sketch", i + j) for j in range(length)]))
+        return F.coalesce(keys, F.array().cast("array<bigint>"))
+
+    small = F.when(F.col("n") <= SMALL, runs(2)).otherwise(F.array().cast("array<bigint>"))
+    postings = vertices.select(F.explode(F.array_distinct(F.concat(runs(3), small))).alias("key"), "v")
     lists = shared_lists(postings)
     listed = vertices.join(lists.select("v").distinct(), "v", "left_semi").select("v", "place.*")
     texts = materialize(
