@@ -20,15 +20,20 @@ from docspark.session import materialize
 #: Rounds in which outsiders meet one member of their list's largest group.
 ROUNDS = 2
 
+#: Keys that may be broadcast, of 8 bytes each.
+BROADCAST_KEYS = 1_000_000
+
 
 def shared_lists(postings: DataFrame) -> DataFrame:
     """The rows of ``postings`` (key, v) whose key has two members at least.
 
-    Keys are counted with partial sums, so a hot key is collapsed before it is shuffled; the join
-    back is one that adaptive execution splits at a hot key.
+    Keys are counted with partial sums, so a hot key is collapsed before it is shuffled. Up to
+    ``BROADCAST_KEYS`` keys filter the postings where they are; beyond that a join moves them, which
+    adaptive execution splits at a hot key.
     """
-    several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return materialize(postings.join(several, "key", "left_semi"), "lists")
+    several = materialize(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
+    few = several.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return materialize(postings.join(F.broadcast(several) if few else several, "key", "left_semi"), "lists")
 
 
 def connected_groups(links: DataFrame) -> DataFrame:

@@ -94,10 +94,11 @@ def test_connected_groups_of_paths_and_stars(spark):
 def line_facts(line):
     words = [w for w in regex.split(r"[^\p{L}\p{N}]+", line.lower()) if w]
     bits = np.zeros(64, int)
-    for w in words:
+    parts = [w for w in words if len(w) >= line_dedup.LONG] or words
+    for w in parts:
         h = xxhash.xxh64_intdigest(w.encode(), seed=42)
         bits += (h >> np.arange(64, dtype=np.uint64)) & np.uint64(1) == 1
-    sim = sum(1 << i for i in range(64) if 2 * bits[i] > len(words))
+    sim = sum(1 << i for i in range(64) if 2 * bits[i] > len(parts))
     return " ".join(words), sim
 
 
