@@ -103,7 +103,9 @@ def train_dictionary(docs: DataFrame, definition: bytes, end_id: int, doc_id: st
         for _, texts in steps(batches, text):
             yield pa.RecordBatch.from_pydict({"ids": pa.array(encoder.encode(texts), pa.binary())})
 
-    picked = docs.select(doc_id, text).orderBy(F.xxhash64(doc_id), doc_id).limit(DICTIONARY_SAMPLE)
+    # Ids alone are ranked; texts are read for the chosen ones.
+    chosen = docs.select(doc_id).distinct().orderBy(F.xxhash64(doc_id), doc_id).limit(DICTIONARY_SAMPLE)
+    picked = docs.join(F.broadcast(chosen), doc_id, "left_semi").dropDuplicates([doc_id])
     end = struct.pack("<I", end_id)
     samples = [bytes(r.ids) + end for r in picked.select(text).mapInArrow(run, "ids binary").collect()]
     try:
