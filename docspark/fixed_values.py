@@ -137,13 +137,13 @@ MAGIC = [
 ]
 
 # Member names that tell one ZIP-based format from another.
-CONTAINER_MARKERS = [
-    ("mimetypeapplication/epub+zip", EPUB),
-    ("word/", DOCX),
-    ("xl/", XLSX),
-    ("ppt/", PPTX),
+# Main part and folder of each package format, by the names in the archive's directory.
+PACKAGE_NAMES = [
+    ("word/document.xml", "word/", DOCX),
+    ("xl/workbook.xml", "xl/", XLSX),
+    ("ppt/presentation.xml", "ppt/", PPTX),
 ]
-OOXML_MARKER = "[Content_Types].xml"
+OOXML_NAME = "[Content_Types].xml"
 
 # Error classes carried by the error column.
 PARSE_ERROR = "PARSE_ERROR"

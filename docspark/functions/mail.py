@@ -15,10 +15,6 @@ from docspark.functions.text import decode_bytes, decode_text, let, normalize_ne
 
 ENTRIES = "array<struct<key:string,value:string>>"
 
-# Multipart inside multipart is opened this many times; anything deeper stays one whole
-# part of type multipart/*, which the next unpacking level opens.
-NESTING = 2
-
 
 def message_text(content: Column) -> Column:
     text = normalize_newlines(F.decode(content, "ISO-8859-1"))
@@ -135,10 +131,10 @@ def _entities(message: Column) -> Column:
         return let(_boundary(_head(entity)), lambda boundary: F.when(boundary.isNull(), F.array(entity)).otherwise(
             _split_parts(_body(entity), boundary)))
 
-    entities = open_entity(message)
-    for _ in range(NESTING):
-        entities = F.flatten(F.transform(entities, open_entity))
-    return entities
+    # No nesting is deeper than the message has multipart headers.
+    levels = F.greatest(F.regexp_count(message, F.lit(r"(?im)^content-type:\s*multipart/")), F.lit(1))
+    return F.aggregate(F.sequence(F.lit(1), levels), F.array(message),
+                       lambda entities, _: F.flatten(F.transform(entities, open_entity)))
 
 
 def _part(entity: Column) -> Column:

@@ -82,17 +82,64 @@ def _sniff(content: Column, text: Column) -> Column:
     )
 
 
-def container_type(content: Column) -> Column:
-    """ZIP-based document format by the member names in the bytes; NULL for other content."""
+def _little_endian(field: Column) -> Column:
+    """Number in up to four bytes that are held as Latin-1 characters."""
+    return F.conv(F.hex(F.encode(F.reverse(field), "ISO-8859-1")), 16, 10).cast("bigint")
+
+
+def zip_directory(content: Column) -> Column:
+    """Central directory of an archive as Latin-1 text; NULL without an end record.
+
+    The end record stands in the last 64 KiB and says how long the directory before it is, so
+    member contents, which may hold archives of their own, are never searched.
+    """
+    mark, size = "PK\x05\x06", F.octet_length(content)
+    tail = F.decode(F.substring(content, F.greatest(size - 65556, F.lit(1)), F.lit(65557)), "ISO-8859-1")
+
+    def directory(record: Column) -> Column:
+        # What follows the last mark: 8 bytes of counts, the directory's length, its offset, a comment.
+        end = size - F.length(record) - len(mark)
+        return let(_little_endian(F.substring(record, 9, 4)), lambda length: F.when(
+            (F.length(record) >= 18) & (length <= end),
+            F.decode(F.substring(content, (end - length + 1).cast("int"), length.cast("int")), "ISO-8859-1")))
 
-    def has(marker: str) -> Column:
-        return F.contains(content, F.lit(marker.encode()))
+    return let(tail, lambda t: F.when(F.contains(t, F.lit(mark)), let(F.substring_index(t, mark, -1), directory)))
 
-    case = F.when(F.substring(content, 1, 4) != F.lit(bytes.fromhex("504B0304")), None)
-    for marker, media_type in V.CONTAINER_MARKERS:
-        test = has(marker) if media_type == V.EPUB else has(V.OOXML_MARKER) & has(marker)
-        case = case.when(test, media_type)
-    return case.when(has(V.OOXML_MARKER), V.OOXML).otherwise(None)
+
+def _lists(directory: Column, name: str, whole: bool = True) -> Column:
+    """Whether the directory has a member of this name, or of a name that starts like this.
+
+    An entry's name stands 46 bytes behind its signature, its length 28 bytes behind it.
+    """
+    length = rf"\x{len(name):02x}\x00" if whole else ".."
+    return directory.rlike(rf"(?s)PK\x01\x02.{{24}}{length}.{{16}}\Q{name}\E")
+
+
+def container_type(content: Column) -> Column:
+    """ZIP-based document format by the outer directory of the archive; NULL for other content."""
+    # The format's own rule: an uncompressed member of this name and content comes first.
+    head = F.decode(F.substring(content, 1, 256), "ISO-8859-1")
+    epub = head.rlike(r"(?s)^PK\x03\x04.{26}mimetype.{0,160}?application/epub\+zip")
+
+    def office(directory: Column) -> Column:
+        case = F
+        for main, _, media_type in V.PACKAGE_NAMES:
+            case = case.when(_lists(directory, main), media_type)
+        for _, folder, media_type in V.PACKAGE_NAMES:
+            case = case.when(_lists(directory, folder, whole=False), media_type)
+        return F.when(_lists(directory, V.OOXML_NAME), case.otherwise(V.OOXML))
+
+    def has(name: str) -> Column:
+        return F.contains(content, F.lit(name.encode()))
+
+    # A cut archive has no directory; its bytes say what it was meant to be, and parsing gives an error.
+    cut = F
+    for _, folder, media_type in V.PACKAGE_NAMES:
+        cut = cut.when(has(folder), media_type)
+    cut = F.when(has(V.OOXML_NAME), cut.otherwise(V.OOXML))
+    return (F.when(F.substring(content, 1, 4) != F.lit(bytes.fromhex("504B0304")), None)
+            .when(epub, V.EPUB)
+            .otherwise(let(zip_directory(content), lambda d: F.when(d.isNull(), cut).otherwise(office(d)))))
 
 
 def supertype(media_type: Column) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +43,10 @@ def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang
     vocabulary = counts.groupBy("gram").agg(F.lit(1)).agg(F.count("*").alias("vocabulary"))
     totals = counts.groupBy("lang").agg((F.sum("n") + vocabulary.scalar()).alias("total"))
     unseen = totals.select("lang", F.lit(UNSEEN).alias("gram"), F.lit(0).cast("bigint").alias("n"))
-    # One row per language on the right side: Spark broadcasts it by its size.
+    # One row per language: a broadcast, or all grams would meet on a handful of keys.
     weight = F.round(F.log((F.col("n") + 1) / F.col("total")) * WEIGHT_SCALE).cast("bigint")
     return (
-        counts.select("lang", "gram", "n").unionByName(unseen).join(totals, "lang")
+        counts.select("lang", "gram", "n").unionByName(unseen).join(F.broadcast(totals), "lang")
         .select("lang", "gram", weight.alias("weight"))
     )
 
@@ -68,50 +69,121 @@ def _wide(profiles: DataFrame) -> tuple[DataFrame, list[str]]:
     return profiles.filter(F.col("gram") != UNSEEN).groupBy("gram").agg(*weights), list(unseen)
 
 
+def gram_length(profiles: DataFrame) -> int:
+    """Length of the profiles' grams: profiles say by themselves how they were trained."""
+    row = profiles.filter(F.col("gram") != UNSEEN).select(F.length("gram").alias("n")).first()
+    return row["n"] if row else 3
+
+
+def _codes(chars: np.ndarray, n: int) -> np.ndarray:
+    """One number for each run of ``n`` code points. Up to 3 they are packed, beyond that mixed to 64 bits."""
+    codes = np.zeros(len(chars) - n + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            part = chars[i:len(chars) - n + 1 + i]
+            codes = (codes << np.uint64(21)) | part if n <= 3 else (codes ^ part) * np.uint64(0x9E3779B97F4A7C15)
+    return codes
+
+
+def _batch_scores(texts: list[str], keys: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """Summed weights of each text per language. The grams of all texts are looked up at once."""
+    parts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    sums = np.zeros((len(texts), weights.shape[1]), np.int64)
+    lengths = np.array([len(p) for p in parts])
+    chars = np.concatenate(parts).astype(np.uint64) if parts else np.zeros(0, np.uint64)
+    if len(chars) < n or not len(keys):
+        return sums
+    grams = _codes(chars, n)
+    doc = np.repeat(np.arange(len(texts)), lengths)
+    at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+    # A gram counts when all its characters are of one text and it is in the profile.
+    hit = np.flatnonzero((doc[:len(grams)] == doc[n - 1:]) & (keys[at] == grams))
+    if len(hit):
+        starts = np.flatnonzero(np.append(True, np.diff(doc[hit]) > 0))
+        owner = doc[hit][starts]
+        for i in range(weights.shape[1]):
+            sums[owner, i] = np.add.reduceat(weights[at[hit], i], starts)
+    return sums
+
+
+def _dense_model(profiles: DataFrame, limit: int) -> tuple[list[str], np.ndarray, np.ndarray, int] | None:
+    """Languages, sorted gram codes, weights and gram length; NULL for large profiles.
+
+    The profile is counted first and read only when it has at most ``limit`` rows and at most as
+    many weights (grams times languages).
+    """
+    unseen = _unseen_weights(profiles)
+    n = gram_length(profiles)
+    rows = profiles.filter(F.col("gram") != UNSEEN).select("lang", "gram", "weight").limit(limit + 1).toPandas()
+    if len(rows) > limit or rows["gram"].nunique() * len(unseen) > limit:
+        return None
+    languages = list(unseen)
+    table = rows.pivot(index="gram", columns="lang", values="weight").reindex(columns=languages).fillna(unseen)
+    codes = np.array([_codes(np.array([ord(c) for c in g], np.uint64), n)[0] for g in table.index], np.uint64)
+    order = np.argsort(codes)
+    return languages, codes[order], table.to_numpy(dtype=np.int64)[order], n
+
+
+def _sums_column(model: Broadcast, folded: Column) -> Column:
+    """Summed weights per language of a folded text, NULL for a NULL text."""
+    @F.pandas_udf("array<bigint>")
+    def sums(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        _, keys, weights, n = model.value
+        for batch in batches:
+            known = batch.notna().to_numpy()
+            out = pd.Series([None] * len(batch), dtype=object)
+            found = iter(_batch_scores(batch[known].tolist(), keys, weights, n))
+            yield pd.Series([next(found) if k else None for k in known], dtype=object) if known.any() else out
+
+    return sums(folded)
+
+
 def score_languages(df: DataFrame, profiles: DataFrame, id_cols: list[str], text: str = "text",
-                    n: int = 3) -> DataFrame:
-    """Id columns, ``blank`` and one summed weight ``_w<i>`` per language of the profiles.
+                    limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Id columns, ``blank``, the ``languages`` of the profiles and the summed ``weights`` of each, per row.
 
-    Each gram meets one profile row that carries all languages, and the sums are partial
-    before the shuffle: it moves about one row per document, and never the text.
+    Up to ``limit`` weights the profile is a broadcast and each row is scored where it is, a batch at
+    a time. Beyond it, each gram meets one profile row that carries all languages; the sums are partial
+    before the shuffle, which moves about one row per document, and never the text. There every row
+    has a generated key, so that rows with equal or NULL ids stay apart as well.
     """
+    blank = F.coalesce(~F.col(text).rlike(r"\S"), F.lit(True)).alias("blank")
+    model = _dense_model(profiles, limit)
+    if model:
+        names = F.array(*[F.lit(code) for code in model[0]]).cast("array<string>")
+        shared = profiles.sparkSession.sparkContext.broadcast(model)
+        # Everything later reads the sums alone: naming the text again would repeat what makes it.
+        sums = _sums_column(shared, F.when(~F.coalesce(~F.col(text).rlike(r"\S"), F.lit(True)), fold_letters(F.col(text))))
+        scored = df.select(*id_cols, names.alias("languages"), sums.alias("weights"))
+        return scored.withColumn("blank", F.col("weights").isNull())
     wide, languages = _wide(profiles)
-    wide = broadcast_if_small(wide)
-    blank = F.coalesce(~F.col(text).rlike(r"\S"), F.lit(True))
+    wide = broadcast_if_small(materialize(wide, "wide-profiles"))
+    keyed = materialize(df.select(F.monotonically_increasing_id().alias("_row"), *dict.fromkeys([*id_cols, text])), "keyed")
     # The flag is computed before the explode: beside it, it would run once for every gram.
-    exploded = df.select(*id_cols, blank.alias("blank"), ngrams(F.col(text), n).alias("grams")).select(
-        *id_cols, "blank", F.explode_outer("grams").alias("gram")
+    exploded = keyed.select("_row", blank, ngrams(F.col(text), gram_length(profiles)).alias("grams")).select(
+        "_row", "blank", F.explode_outer("grams").alias("gram")
     )
     sums = [F.coalesce(F.sum(f"_w{i}"), F.lit(0)).alias(f"_w{i}") for i in range(len(languages))]
-    return exploded.join(wide, "gram", "left").groupBy(*id_cols, "blank").agg(*sums).withColumn(
-        "languages", F.array(*[F.lit(code) for code in languages])
-    )
+    scored = exploded.join(wide, "gram", "left").groupBy("_row", "blank").agg(*sums).select(
+        "_row", "blank", F.array(*[F.lit(code) for code in languages]).alias("languages"),
+        F.array(*[f"_w{i}" for i in range(len(languages))]).alias("weights"))
+    return keyed.select("_row", *id_cols).join(scored, "_row").drop("_row")
 
 
 def detect_language(df: DataFrame, profiles: DataFrame, id_cols: list[str] | str = "doc_id",
-                    text: str = "text", n: int = 3) -> DataFrame:
-    """Best language per document and its margin to each other language.
-
-    ``profiles`` should be a written table (train once, then reuse): its size decides
-    between a broadcast and a shuffled join.
-    """
+                    text: str = "text", limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Best language per row and its margin to each language. ``profiles`` should be a written table."""
     id_cols = [id_cols] if isinstance(id_cols, str) else id_cols
-    scored = score_languages(df, profiles, id_cols, text, n)
-    weights = [c for c in scored.columns if c.startswith("_w")]
-    options = F.array(*[
-        F.struct(F.col(w).alias("weight"), F.col("languages")[i].alias("lang")) for i, w in enumerate(weights)
-    ])
+    scored = score_languages(df, profiles, id_cols, text, limit)
+    best = F.array_max("weights")
     # Equal weights go to the first language code.
-    best = F.reduce(options, options[0],
-                    lambda acc, o: F.when(o["weight"] > acc["weight"], o).otherwise(acc))
-    return (
-        scored.select(*id_cols, "blank", options.alias("options"), best.alias("best"))
-        .select(
-            *id_cols,
-            F.when(~F.col("blank"), F.col("best.lang")).alias("language"),
-            F.when(~F.col("blank"), F.col("best.weight")).alias("log_weight"),
-            F.transform("options", lambda o: o["weight"] - F.col("best.weight")).alias("margins"),
-        )
+    first = F.element_at("languages", F.array_position("weights", F.col("best")).cast("int"))
+    scored = scored.withColumn("best", best)
+    return scored.select(
+        *id_cols,
+        F.when(~F.col("blank"), first).alias("language"),
+        F.when(~F.col("blank"), F.col("best")).alias("log_weight"),
+        F.transform("weights", lambda w: w - F.col("best")).alias("margins"),
     )
 
 
@@ -138,59 +210,13 @@ def language_confidence(df: DataFrame) -> DataFrame:
     )
 
 
-def language_column(profiles: DataFrame, text: Column, limit: int = BROADCAST_ROW_LIMIT) -> Column | None:
-    """Language of a text as a struct column that moves no row, or NULL for large profiles.
+def with_language(df: DataFrame, profiles: DataFrame, id_cols: list[str], text: str = "text",
+                  limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Add ``language, raw_score, confidence`` to every row, in the plan that :func:`score_languages` picks.
 
-    Same scores as :func:`detect_language` with trigrams. The profile is counted first and
-    shipped to the executors only up to ``limit`` rows. Beyond it this returns ``None`` and
-    the caller takes the join of :func:`detect_language`.
+    ``id_cols`` only name the rows and decide nothing.
     """
-    unseen = _unseen_weights(profiles)
-    rows = profiles.filter(F.col("gram") != UNSEEN).select("lang", "gram", "weight").limit(limit + 1).toPandas()
-    if len(rows) > limit or rows["gram"].str.len().ne(3).any():
-        return None
-    languages = list(unseen)
-    table = rows.pivot(index="gram", columns="lang", values="weight").reindex(columns=languages).fillna(unseen)
-    codes = [sum(ord(c) << shift for c, shift in zip(g, (42, 21, 0))) for g in table.index]
-    order = np.argsort(np.array(codes, dtype=np.int64))
-    model = profiles.sparkSession.sparkContext.broadcast(
-        (np.array(codes, dtype=np.int64)[order], table.to_numpy(dtype=np.int64)[order])
-    )
-
-    def score(folded: str | None) -> dict | None:
-        if folded is None:
-            return None
-        keys, weights = model.value
-        chars = np.frombuffer(folded.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-        sums = np.zeros(len(languages), dtype=np.int64)
-        if len(chars) >= 3 and len(keys):
-            grams = (chars[:-2] << 42) | (chars[1:-1] << 21) | chars[2:]
-            at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            hits = np.bincount(at[keys[at] == grams], minlength=len(keys))
-            sums = hits.astype(np.int64) @ weights
-        best = int(np.argmax(sums))
-        total = sum(float(x) for x in np.exp((sums - sums[best]) / WEIGHT_SCALE))
-        return {"language": languages[best], "score": 1.0 / total}
-
-    @F.pandas_udf("struct<language:string,score:double>")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            results = [score(x) or {"language": None, "score": None} for x in batch]
-            yield pd.DataFrame(results, columns=["language", "score"])
-
-    blank = F.coalesce(~text.rlike(r"\S"), F.lit(True))
-    return scores(F.when(~blank, fold_letters(text)))
-
-
-def with_language(df: DataFrame, profiles: DataFrame, id_cols: list[str], text: str = "text") -> DataFrame:
-    """Add ``language, raw_score, confidence``: in place, or by a join for large profiles."""
-    column = language_column(profiles, F.col(text))
-    if column is None:
-        found = language_confidence(detect_language(df, profiles, id_cols, text))
-        return df.join(found.drop("log_weight"), id_cols, "left")
-    scored = df.withColumn("_language", column)
-    score = F.round(F.col("_language.score"), 6)
-    return (
-        scored.withColumn("language", F.col("_language.language")).withColumn("raw_score", score)
-        .withColumn("confidence", confidence_level(score)).drop("_language")
-    )
+    named = [c for c in df.columns if c not in ("language", "raw_score", "confidence")]
+    # The text is scored beside the other columns, which pass through.
+    found = detect_language(df, profiles, named, text, limit)
+    return language_confidence(found).drop("log_weight")

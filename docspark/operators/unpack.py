@@ -36,10 +36,10 @@ ARCHIVE_TYPES = (V.ZIP, V.OOXML, V.DOCX, V.XLSX, V.PPTX, V.EPUB)
 OOXML_TYPES = (V.OOXML, V.DOCX, V.XLSX, V.PPTX)
 MARKUP_TYPES = (V.TEXT_HTML, V.XHTML)
 
-# Children of one root are grouped by this many top-level positions at a time.
+# Children of one root are listed by this many at a time.
 BLOCK_SIZE = 1000
 
-LEVEL_COLUMNS = ["root_id", "depth", "ord_path", "parent_name", "name", "relationship_id", "media_type",
+LEVEL_COLUMNS = ["root_id", "root_no", "depth", "ord_path", "parent_name", "name", "relationship_id", "media_type",
                  "content", "error"]
 
 
@@ -142,11 +142,11 @@ def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFra
     # One column tells how to open a row. Catalyst copies it into each filter, so the
     # filters read it once instead of naming the detected type several times.
     base = frontier.select(
-        "root_id", F.col("depth").alias("_depth"), F.col("ord_path").alias("_path"),
+        "root_id", "root_no", F.col("depth").alias("_depth"), F.col("ord_path").alias("_path"),
         F.col("name").alias("parent_name"), "content",
         _container_kind(F.col("media_type")).alias("_kind"),
     )
-    keep = ["root_id", "_depth", "_path", "parent_name", "_kind"]
+    keep = ["root_id", "root_no", "_depth", "_path", "parent_name", "_kind"]
     marked_up = _explode_parts(base.filter(F.col("_kind").isin("mail", "markup")), parts, keep)
     in_office = F.col("_kind") == "office"
     archived = unpack_archive(base.filter(F.col("_kind").isin("archive", "office"))).filter(
@@ -156,7 +156,7 @@ def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFra
         "name", F.when(in_office, F.regexp_extract("name", r"([^/]+)$", 1)).otherwise(F.col("name"))
     )
     children = marked_up.unionByName(members).select(
-        "root_id",
+        "root_id", "root_no",
         (F.col("_depth") + 1).alias("depth"),
         F.concat("_path", F.array("ord")).alias("ord_path"),
         "parent_name", "name", "relationship_id",
@@ -175,6 +175,7 @@ def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id",
 
     Level by level: each level is written once and read back with its columns pruned, so a
     deep archive never opens its roots again and a lost executor costs one level at most.
+    ``root_no`` tells roots apart whose ids are equal or NULL.
     """
     if max_depth < 0:
         raise ValueError(f"{V.INVALID_ARGUMENT}: max_depth must not be negative")
@@ -182,6 +183,7 @@ def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id",
     media_type = media_type_column(F.col(content), F.col(name) if name else None, F.col(hint) if hint else None)
     frontier = df.filter(F.col(content).isNotNull()).select(
         F.col(id_col).alias("root_id"),
+        F.monotonically_increasing_id().alias("root_no"),
         F.lit(0).alias("depth"),
         F.array().cast("array<int>").alias("ord_path"),
         missing.alias("parent_name"),
@@ -224,39 +226,42 @@ def embedded_name(children: DataFrame, max_depth: int | None = None) -> DataFram
     with an unnamed child are numbered, and of the content only that of unnamed children
     takes part. A root is counted in blocks of its top-level positions, so that one with very
     many children is spread over tasks: rows are ranked inside a block and the sizes of
-    earlier blocks are added.
+    earlier blocks are added. Rows with an ``error`` are no children: they keep the name they
+    have, if any, and do not count.
     """
     given = F.coalesce(F.nullif("name", F.lit("")), F.nullif("relationship_id", F.lit("")))
     named = children.withColumn("child_name", given)
     if max_depth == 1:
         # Parts without a name come from messages and pages, whose positions have no gaps.
         position = F.concat(F.lit("embedded_"), F.element_at("ord_path", 1).cast("string"))
-        return _with_safe_name(named.withColumn("child_name", F.coalesce("child_name", position)))
+        return _with_safe_name(named.withColumn(
+            "child_name", F.when(F.col("error").isNull(), F.coalesce("child_name", position)).otherwise(given)))
     return _with_safe_name(_number_unnamed(named))
 
 
 def _number_unnamed(named: DataFrame) -> DataFrame:
-    keys = named.select("root_id", "ord_path", F.col("child_name").isNull().alias("unnamed")).withColumn(
+    sound = named.filter(F.col("error").isNull())
+    keys = sound.select("root_no", "ord_path", F.col("child_name").isNull().alias("unnamed")).withColumn(
         "block", (F.element_at("ord_path", 1) / BLOCK_SIZE).cast("int")
     )
-    sizes = keys.groupBy("root_id", "block").agg(
+    sizes = keys.groupBy("root_no", "block").agg(
         F.count("*").alias("size"), F.max("unnamed").alias("unnamed")
     )
-    by_block = Window.partitionBy("root_id").orderBy("block")
+    by_block = Window.partitionBy("root_no").orderBy("block")
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0))) \
-        .filter("unnamed").select("root_id", "block", "offset")
-    rank = F.row_number().over(Window.partitionBy("root_id", "block").orderBy("ord_path")) - 1
+        .filter("unnamed").select("root_no", "block", "offset")
+    rank = F.row_number().over(Window.partitionBy("root_no", "block").orderBy("ord_path")) - 1
     numbers = (
-        keys.join(offsets, ["root_id", "block"])
+        keys.join(offsets, ["root_no", "block"])
         .withColumn("n", F.col("offset") + rank)
-        .filter("unnamed").select("root_id", "ord_path", "n")
+        .filter("unnamed").select("root_no", "ord_path", "n")
     )
     fallback = (
-        named.filter(F.col("child_name").isNull()).join(numbers, ["root_id", "ord_path"])
+        sound.filter(F.col("child_name").isNull()).join(numbers, ["root_no", "ord_path"])
         .withColumn("child_name", F.concat(F.lit("embedded_"), F.col("n").cast("string"))).drop("n")
     )
-    return named.filter(F.col("child_name").isNotNull()).unionByName(fallback)
+    return named.filter(F.col("child_name").isNotNull() | F.col("error").isNotNull()).unionByName(fallback)
 
 
 def _with_safe_name(named: DataFrame) -> DataFrame:
@@ -276,32 +281,42 @@ def describe_embedded(named: DataFrame) -> DataFrame:
     return named.withColumn("raw_metadata", raw).withColumn("metadata", M.normalized("raw_metadata"))
 
 
-def _by_position(left: Column, right: Column) -> Column:
-    """Compare two items by position alone: their maps have no order."""
-    before, after = left["ord_path"] < right["ord_path"], left["ord_path"] > right["ord_path"]
-    return F.when(before, -1).when(after, 1).otherwise(0)
-
-
 def unpack_result(roots: DataFrame, children: DataFrame, id_col: str = "doc_id",
                   metadata: str = "metadata") -> DataFrame:
     """Root metadata with the list of its embedded documents; a leaf file has an empty list.
 
-    Items carry the metadata of :func:`describe_embedded` where the children have it.
-    The list is cut into blocks of up to 1000 top-level children, ``block_no`` 0, 1, …, so
-    no task holds more than a block of one root. Content stays in the children table.
+    Items carry the metadata of :func:`describe_embedded` where the children have it. The list
+    is cut into blocks of ``BLOCK_SIZE`` items in document order, ``block_no`` 0, 1, …, so no cell
+    holds more than a block, however deep the items are nested. Rows with an ``error`` stand apart in
+    ``embedded_errors`` of their block. Content stays in the children table.
     """
     described = [c for c in ("raw_metadata", "metadata") if c in children.columns]
-    item = F.struct("ord_path", "child_name", "safe_name", "depth", "media_type", *described)
-    lists = children.groupBy(
-        "root_id", (F.element_at("ord_path", 1) / BLOCK_SIZE).cast("int").alias("block_no")
-    ).agg(F.array_sort(F.collect_list(item), _by_position).alias("embedded_documents"))
-    empty = F.array().cast(lists.schema["embedded_documents"].dataType)
+    number = "root_no" if "root_no" in children.columns else "root_id"
+    problem = F.col("error") if "error" in children.columns else F.lit(None).cast(ERROR_TYPE)
+    rows = children.select(
+        "root_id", F.col(number).alias("_no"), "ord_path", problem.alias("_error"),
+        F.struct("ord_path", "child_name", "safe_name", "depth", "media_type", *described).alias("_item"))
+    # Ranks are given row by row; no task collects a root.
+    order = Window.partitionBy("_no", "root_id").orderBy("ord_path")
+    ranked = rows.withColumn("block_no", F.floor((F.row_number().over(order) - 1) / BLOCK_SIZE).cast("int"))
+    ranked = ranked.withColumn("_sound", F.when(F.col("_error").isNull(), F.struct(F.col("ord_path").alias("at"), F.col("_item").alias("item"))))
+    ranked = ranked.withColumn("_bad", F.when(F.col("_error").isNotNull(), F.struct("ord_path", F.col("_item.child_name"), F.col("_error").alias("error"))))
+
+    def first(left: Column, right: Column) -> Column:
+        before, after = left["at"] < right["at"], left["at"] > right["at"]
+        return F.when(before, -1).when(after, 1).otherwise(0)
+
+    lists = ranked.groupBy("root_id", "_no", "block_no").agg(
+        F.transform(F.array_sort(F.collect_list("_sound"), first), lambda x: x["item"]).alias("embedded_documents"),
+        F.array_sort(F.collect_list("_bad")).alias("embedded_errors"),
+    )
+
+    def or_empty(name: str) -> Column:
+        return F.coalesce(F.col(name), F.array().cast(lists.schema[name].dataType)).alias(name)
+
+    given = roots.select(F.col(id_col).alias("_id"), F.col(metadata).alias("root_metadata"))
     return (
-        roots.select(F.col(id_col).alias("root_id"), F.col(metadata).alias("root_metadata"))
-        .join(lists, "root_id", "left")
-        .select(
-            "root_id", "root_metadata",
-            F.coalesce("block_no", F.lit(0)).alias("block_no"),
-            F.coalesce("embedded_documents", empty).alias("embedded_documents"),
-        )
+        given.join(lists, F.col("_id").eqNullSafe(F.col("root_id")), "left")
+        .select(F.col("_id").alias("root_id"), "root_metadata", F.coalesce("block_no", F.lit(0)).alias("block_no"),
+                or_empty("embedded_documents"), or_empty("embedded_errors"))
     )

@@ -56,7 +56,7 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def read_files_query(spark, sf_dir):
-    return read_files(spark, sf_dir, glob="*.parquet").select("name", "length")
+    return read_files(spark, sf_dir, glob="*.parquet").select("name", (F.col("length") > 0).alias("has_content"))
 
 
 @query
@@ -69,7 +69,7 @@ def documents_from_table_query(spark, sf_dir):
 @query
 def parse_to_string_query(spark, sf_dir):
     files = documents_from_table(_documents(spark, sf_dir), "text")
-    return parse_to_string(files, packages=False).select("doc_id", "media_type", "content")
+    return parse_to_string(files).select("doc_id", "media_type", "content")
 
 
 @query
@@ -87,7 +87,7 @@ def chunk_content_query(spark, sf_dir):
 
 
 def _parsed_pages(pages: DataFrame) -> DataFrame:
-    return parse_documents(pages, packages=False)
+    return parse_documents(pages)
 
 
 def _page_columns(parsed: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def _page_columns(parsed: DataFrame) -> DataFrame:
 def parse_stream_query(spark, sf_dir):
     schema = _pages(spark, sf_dir).schema
     pages = documents_from_table(read_table_stream(spark, sf_dir, schema, glob="pages.parquet"), "html", "url")
-    stream = _page_columns(parse_stream(pages, packages=False))
+    stream = _page_columns(parse_stream(pages))
     out = fresh_path(spark, "parsed-stream")
     write_stream(stream, out, fresh_path(spark, "stream-checkpoint")).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
@@ -242,7 +242,7 @@ def custom_parsers(spark, sf_dir):
     """A parser for the type that odd documents are declared to have."""
     odd = F.when(F.col("doc_id") % 2 == 1, "text/x-bracket").otherwise(V.TEXT_PLAIN)
     files = documents_from_table(_documents(spark, sf_dir).withColumn("hint", odd), "text", None, "hint")
-    parsed = parse_documents(files, hint="content_type_hint", output_format="txt", packages=False,
+    parsed = parse_documents(files, hint="content_type_hint", output_format="txt",
                              custom_parsers={"text/x-bracket": _bracket})
     by = F.try_element_at("raw_metadata", F.lit(V.PARSED_BY))
     return parsed.select("doc_id", "media_type", "content", by.alias("parsed_by"))
@@ -253,6 +253,12 @@ def parse_documents_query(spark, sf_dir):
     return _page_columns(_parsed_pages(_page_files(spark, sf_dir)))
 
 
+@query
+def parse_strict(spark, sf_dir):
+    """Pages again, where the first bad document would end the job."""
+    return _page_columns(parse_documents(_page_files(spark, sf_dir), strict=True))
+
+
 # Metadata
 
 
@@ -406,7 +412,7 @@ def write_embedded_query(spark, sf_dir):
 
 @query
 def split_errors(spark, sf_dir):
-    parsed = parse_documents(inputs.files(spark, sf_dir), output_format="txt", packages=True)
+    parsed = parse_documents(inputs.files(spark, sf_dir), output_format="txt")
     good, bad = errors.split_errors(parsed.select("doc_id", "media_type", "error"))
     return good.select("doc_id", "media_type", F.lit("good").alias("state"), F.lit(None).cast("string").alias("error_class")) \
         .unionByName(bad.select("doc_id", "media_type", F.lit("bad").alias("state"), "error.error_class"))
@@ -429,7 +435,7 @@ def validate_input(spark, sf_dir):
 
 @query
 def analyze_documents_query(spark, sf_dir):
-    analysed = analyze_documents(_page_files(spark, sf_dir), _profiles(spark, sf_dir), ["page_id"], packages=False)
+    analysed = analyze_documents(_page_files(spark, sf_dir), _profiles(spark, sf_dir), ["page_id"])
     return analysed.select("page_id", "media_type", F.col("metadata.title").alias("title"), "content",
                            "language", "raw_score", "confidence")
 

@@ -20,6 +20,7 @@ from docspark.operators.metadata import raw_metadata_column
 from docspark.operators.unpack import describe_embedded, embedded_name, unpack_documents, unpack_result
 from docspark.operators.parsing import (ColumnParser, PACKAGE_TYPES, apply_custom_parsers, package_parts,
                                         package_text, xml_is_malformed)
+from docspark.session import materialize
 
 HTML_TYPES = (V.TEXT_HTML, V.XHTML)
 
@@ -32,12 +33,12 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
                     hint: str | None = None, output_format: str = "xhtml", mode: str = "string",
                     custom_detectors: Sequence[Detector] = (),
                     custom_parsers: Mapping[str, ColumnParser] | None = None,
-                    packages: bool = True, strict: bool = False) -> DataFrame:
+                    strict: bool = False) -> DataFrame:
     """Add ``media_type, text, content, raw_metadata, metadata, error`` to documents.
 
     One narrow pass: detect, dispatch by type, describe, render. The source bytes are
-    replaced by the extracted content. Packages are opened in Python; ``packages=False``
-    leaves them out where the input is known to hold none, and the plan stays in the JVM.
+    replaced by the extracted content. Packages are opened in Python, which gets no bytes of
+    other documents.
     """
     if mode not in ("string", "file", "stream"):
         raise ValueError(f"{V.INVALID_ARGUMENT}: output mode {mode}")
@@ -57,10 +58,8 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     parsed_as_text = _is_textual(kind) | kind.isin(V.XML, V.XHTML) | F.endswith(kind, F.lit("+xml"))
     docs = docs.withColumn("_text", F.when(parsed_as_text, decode_text(F.col("_bytes"))))
     docs = docs.withColumn("_mail", F.when(kind == V.MESSAGE, mail_parts_with_body(F.col("_bytes"))))
-    parts = None
-    if packages:
-        docs = docs.withColumn("_parts", package_parts(F.col("_bytes"), kind))
-        parts = F.col("_parts")
+    docs = docs.withColumn("_parts", package_parts(F.col("_bytes"), kind))
+    parts = F.col("_parts")
     if custom_parsers:
         docs = apply_custom_parsers(docs, custom_parsers, "_bytes", "media_type", "_custom")
     else:
@@ -70,9 +69,8 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     bad_xml = is_xml & F.col("parsed_by").isNull() & xml_is_malformed(F.when(is_xml, F.col("_text")))
     error = F.when(F.col("_input_error").isNotNull(), F.col("_input_error")).when(
         bad_xml, make_error(V.PARSE_ERROR, "malformed XML"))
-    if packages:
-        error = error.when(kind.isin(*PACKAGE_TYPES) & parts.isNull() & F.col("parsed_by").isNull(),
-                           make_error(V.PARSE_ERROR, "broken package"))
+    error = error.when(kind.isin(*PACKAGE_TYPES) & parts.isNull() & F.col("parsed_by").isNull(),
+                       make_error(V.PARSE_ERROR, "broken package"))
     docs = docs.withColumn("error", error.otherwise(F.lit(None).cast(ERROR_TYPE)))
 
     text = (
@@ -83,12 +81,12 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
         .when(kind == V.MESSAGE, mail_text(F.col("_mail")))
         .when(_is_textual(kind), F.col("_text"))
     )
-    if packages:
-        text = text.when(kind.isin(*PACKAGE_TYPES), package_text(parts, kind))
+    text = text.when(kind.isin(*PACKAGE_TYPES), package_text(parts, kind))
     # Types without a parser have no text, which is no error.
     docs = docs.withColumn("text", text.otherwise(F.when(kind.isNotNull(), F.lit(""))))
 
-    by = F.coalesce("parsed_by", F.when(F.col("error").isNull(), "DefaultParser"))
+    has_parser = parsed_as_text | kind.isin(V.MESSAGE, *PACKAGE_TYPES)
+    by = F.coalesce("parsed_by", F.when(F.col("error").isNull(), F.when(has_parser, "DefaultParser").otherwise("EmptyParser")))
     raw = raw_metadata_column(kind, F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"), parts, by)
     docs = docs.withColumn("raw_metadata", raw).withColumn("metadata", M.normalized("raw_metadata"))
     rendered = F.col("text")
@@ -107,8 +105,12 @@ def parse_to_string(df: DataFrame, output_format: str = "txt", **options) -> Dat
 
 
 def analyze_documents(df: DataFrame, profiles: DataFrame, id_cols: list[str], **options) -> DataFrame:
-    """Media type, text, metadata and language of documents in one narrow pass."""
-    parsed = parse_documents(df, output_format="txt", **options)
+    """Media type, text, metadata and language of documents, without a shuffle.
+
+    The parsed rows are written once: the language scorer names the text several times, and the
+    plan would otherwise parse each document as often.
+    """
+    parsed = materialize(parse_documents(df, output_format="txt", **options), "parsed")
     return with_language(parsed, profiles, id_cols, "text")
 
 
@@ -117,13 +119,13 @@ def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: s
     """(result, children): root metadata with lists of children, and the children's content.
 
     The children are the flat table to write out; the result lists them by name and
-    metadata, without content.
+    metadata, without content. A root without content has an empty list.
     """
     missing = F.lit(None).cast("string")
     path = F.col(name) if name else missing
     given = F.nullif(F.trim(F.col(hint)), F.lit("")) if hint else missing
     kind = media_type_column(F.col(content), path, given if hint else None)
-    typed = df.filter(F.col(content).isNotNull()).select(
+    typed = df.select(
         id_col, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"), kind.alias("_kind"))
     text = F.when(F.col("_kind").isin(*HTML_TYPES), decode_text(F.col("_bytes")))
     raw = raw_metadata_column(F.col("_kind"), F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"))

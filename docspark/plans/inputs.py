@@ -14,19 +14,20 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from docspark.functions.html import escape_markup
-from docspark.session import spread
 
 # Kind, signature bytes in hex, text in place of the row's text, extension.
+# Kinds 3 to 6 are real packages, see office_files.
 FILE_KINDS = [
     (0, "255044462D", None, ".pdf"),
     (1, "255044462D", None, ".txt"),
     (2, "504B0304", None, ".zip"),
-    (3, "504B0304", "[Content_Types].xml word/document.xml", ".bin"),
-    (4, "504B0304", "[Content_Types].xml xl/workbook.xml", ""),
-    (5, "504B0304", "[Content_Types].xml ppt/presentation.xml", ".zip"),
-    (6, "504B0304", "mimetypeapplication/epub+zip", ".epub"),
+    (3, "", None, ".bin"),
+    (4, "", None, ""),
+    (5, "", None, ".zip"),
+    (6, "", None, ".epub"),
     (7, "89504E470D0A1A0A", None, ".png"),
     (8, "FFD8FFE0", None, ".jpg"),
     (9, "474946383961", None, ".gif"),
@@ -43,8 +44,52 @@ FILE_KINDS = [
 ]
 
 
+# Tables of at most this many bytes are dealt out over the cores.
+SMALL_TABLE = 256 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A table; one so small that its file has fewer splits than there are cores is dealt out over them."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    small = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SMALL_TABLE
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if small and rows.rdd.getNumPartitions() < cores else rows
+
+
+def _zip(members: list[tuple[str, bytes]], stored: bool = False) -> bytes:
+    """Archive with fixed timestamps, so equal members give equal bytes."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED) as archive:
+        for name, data in members:
+            archive.writestr(zipfile.ZipInfo(name, (2020, 1, 1, 0, 0, 0)), data)
+    return buffer.getvalue()
+
+
+@F.pandas_udf(BinaryType())
+def office_files(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+    """Real packages around a text, with names and stored members that belong to other formats."""
+    types = ("[Content_Types].xml", b'<?xml version="1.0"?><Types></Types>')
+
+    def build(kind: float, text: str) -> bytes | None:
+        if pd.isna(kind):
+            return None
+        body = "".join(c for c in text or "" if c >= " " or c in "\t\n")
+        body = body.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").encode("utf-8", "replace")
+        word = ("word/document.xml", b"<w:document><w:body><w:p><w:r><w:t>" + body + b"</w:t></w:r></w:p></w:body></w:document>")
+        if kind == 3:
+            return _zip([types, ("customXml/keyxl/item1.xml", b"<a/>"), word])
+        if kind == 4:
+            sheet = b'<worksheet><sheetData><row><c t="inlineStr"><is><t>' + body + b"</t></is></c></row></sheetData></worksheet>"
+            return _zip([types, ("xl/workbook.xml", b"<workbook/>"), ("xl/worksheets/sheet1.xml", sheet)])
+        if kind == 5:
+            slide = b"<p:sld><a:p><a:r><a:t>" + body + b"</a:t></a:r></a:p></p:sld>"
+            return _zip([types, ("customXml/keyword/item1.xml", b"<a/>"), ("ppt/media/m.bin", b"\x00xl/word/" + body),
+                         ("ppt/embeddings/d.docx", _zip([types, word], stored=True)),
+                         ("ppt/presentation.xml", b"<p/>"), ("ppt/slides/slide1.xml", slide)], stored=True)
+        page = b"<html><body><p>" + body + b"</p></body></html>"
+        return _zip([("mimetype", b"application/epub+zip"), ("c.xhtml", page)], stored=True)
+
+    return pd.Series([build(k, t) for k, t in zip(kinds, texts)])
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +111,9 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 16, F.concat(F.lit("<html><body>"), clean, F.lit("</body></html>")))
         .otherwise(F.col("text"))
     )
-    content = F.concat(prefix, F.encode(body, "UTF-8"))
+    office = kind.isin(3, 4, 5, 6)
+    content = F.when(office, office_files(F.when(office, kind), F.when(office, F.col("text")))).otherwise(
+        F.concat(prefix, F.encode(body, "UTF-8")))
     return docs.select(
         "doc_id", F.concat(F.lit("d/"), F.col("doc_id").cast("string"), suffix).alias("path"),
         content.alias("content"), F.octet_length(content).cast("bigint").alias("length"), "text",
@@ -115,15 +162,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(msg_id.alias("msg_id"), "conv_id", "turn", "role", eml.alias("eml"))
 
 
-def _zip(members: list[tuple[str, bytes]]) -> bytes:
-    """Archive with fixed timestamps, so equal members give equal bytes."""
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-        for name, data in members:
-            archive.writestr(zipfile.ZipInfo(name, (2020, 1, 1, 0, 0, 0)), data)
-    return buffer.getvalue()
-
-
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as an archive of ``page.html``; nested twice for even and thrice for ``% 4 = 0``."""
 

@@ -1,10 +1,11 @@
-"""The same queries in SQL for a second engine, from the same tables.
-
-Queries without an entry: ``read_files`` (lists files, which SQL over tables cannot see).
-"""
+"""The same queries in SQL for a second engine, from the same tables."""
 
 from __future__ import annotations
 
+# The tables of a data folder.
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations"]
+
 # Expected types by kind of file, written out as in the table of kinds.
 DOCX = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 XLSX = "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"
@@ -45,10 +46,10 @@ CONTROL = r"[\x00-\x08\x0E-\x1A\x1C-\x1F]"
 SNIFF_BY_KIND = f"""CASE
   WHEN doc_id % 20 IN (14, 15) THEN 'application/xml'
   WHEN doc_id % 20 = 16 THEN 'text/html'
-  WHEN doc_id % 20 IN (7, 10, 11, 13, 19) THEN 'application/octet-stream'
+  WHEN doc_id % 20 IN (3, 4, 5, 6, 7, 10, 11, 13, 19) THEN 'application/octet-stream'
   WHEN doc_id % 20 = 8 THEN CASE WHEN regexp_matches(text, '{CONTROL}') THEN 'application/octet-stream'
                                  ELSE 'text/plain' END
-  WHEN doc_id % 20 IN (3, 4, 5, 6) OR NOT contains(text, chr(0)) THEN 'text/plain'
+  WHEN NOT contains(text, chr(0)) THEN 'text/plain'
   ELSE 'application/octet-stream' END"""
 
 FILE_NAME = r"regexp_extract({0}, '([^/\\?#]*)(?:[?#].*)?$', 1)"
@@ -250,6 +251,9 @@ SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><html xmlns="http://www.w
   CASE WHEN doc_id % 2 = 1 THEN '[' || {NEWLINES.format("text")} || ']' ELSE {NEWLINES.format("text")} END AS content,
   CASE WHEN doc_id % 2 = 1 THEN '_bracket' ELSE 'DefaultParser' END AS parsed_by FROM documents""",
     "parse_documents": PARSED_PAGES,
+    "parse_strict": PARSED_PAGES,
+    "read_files": "SELECT name || '.parquet' AS name, true AS has_content FROM (VALUES " + ", ".join(
+        f"('{t}')" for t in TABLES) + ") AS t(name)",
     "raw_metadata": f"""SELECT page_id, url AS resource_name, CAST(strlen(html) AS VARCHAR) AS content_length,
   'text/html' AS content_type, 'UTF-8' AS content_encoding, {TITLE} AS title, {LANGUAGE} AS language FROM pages""",
     "normalize_metadata": f"""SELECT doc_id, CASE WHEN doc_id % 6 <> 0 THEN 'Title ' || doc_id END AS title,
@@ -300,8 +304,8 @@ UNION ALL SELECT page_id, 1, 'embed1.zip', NULL FROM pages WHERE page_id % 2 = 0
     "write_embedded": f"""WITH {CHILDREN} SELECT root_id, depth, child_name AS rel_path,
   octet_length(content) AS content_length FROM named""",
     "split_errors": f"""SELECT doc_id, {TYPE_BY_KIND} AS media_type,
-  CASE WHEN doc_id % 20 IN (3, 4, 5, 6, 15) THEN 'bad' ELSE 'good' END AS state,
-  CASE WHEN doc_id % 20 IN (3, 4, 5, 6, 15) THEN 'PARSE_ERROR' END AS error_class FROM documents""",
+  CASE WHEN doc_id % 20 = 15 THEN 'bad' ELSE 'good' END AS state,
+  CASE WHEN doc_id % 20 = 15 THEN 'PARSE_ERROR' END AS error_class FROM documents""",
     "validate_input": """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'INPUT_NOT_FOUND'
   WHEN doc_id % 5 = 0 THEN 'INVALID_INPUT' WHEN doc_id % 11 = 0 THEN 'INVALID_OUTPUT_FORMAT' END AS error_class
   FROM documents""",

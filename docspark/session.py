@@ -71,17 +71,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a file scan over the cores when it has fewer splits than them.
-
-    A large input has many splits and passes unchanged; one small file would otherwise
-    leave all parsing to a single task. Give it plain scans: asking a plan with shuffles
-    for its partitions would run them.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast only after counting the side; past the limit Spark shuffles it.
 

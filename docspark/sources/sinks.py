@@ -37,7 +37,8 @@ def chunk_content(df: DataFrame, size: int = 8192, content: str = "content") ->
     """One row ``(…, chunk_no, chunk)`` per ``size`` bytes of UTF-8 content.
 
     Bytes are cut instead of characters: each cut is a constant-time slice, and joining
-    the chunks in order gives the content back, also where a cut divides a character.
+    the chunks in order gives the content back, also where a cut divides a character. NULL
+    content has one chunk, NULL.
     """
     if size < 1:
         raise ValueError(f"{V.INVALID_ARGUMENT}: size must be positive")
@@ -46,7 +47,7 @@ def chunk_content(df: DataFrame, size: int = 8192, content: str = "content") ->
     keep = [c for c in df.columns if c != content]
     starts = F.sequence(F.lit(0), F.octet_length("_bytes") - 1, F.lit(size))
     # Encoded before the explode, or each chunk would encode the whole text again.
-    encoded = df.filter(F.col(content).isNotNull()).select(*keep, value.alias("_bytes"))
+    encoded = df.select(*keep, value.alias("_bytes"))
     numbered = encoded.select(
         *keep, "_bytes", F.explode_outer(F.when(F.octet_length("_bytes") > 0, starts)).alias("_start")
     )
@@ -62,7 +63,7 @@ def embedded_rows(children: DataFrame) -> DataFrame:
     """Columns of the children table, with the length of each child."""
     return children.select(
         "root_id", "depth", F.col("safe_name").alias("rel_path"), "media_type", "content",
-        F.octet_length("content").cast("bigint").alias("content_length"),
+        F.octet_length("content").cast("bigint").alias("content_length"), "error",
     )
 
 

@@ -48,7 +48,9 @@ def test_in_place_and_joined_scores_agree(spark, profiles):
 
 
 def test_large_profiles_take_the_join(spark, profiles):
-    assert L.language_column(profiles, F.col("text"), limit=10) is None
+    df = spark.createDataFrame([(1, "the text")], "doc_id int, text string")
+    plans = [L.score_languages(df, profiles, ["doc_id"], limit=limit)._jdf.queryExecution().toString() for limit in (10, 1_000_000)]
+    assert ["ArrowEvalPython" in p for p in plans] == [False, True]
 
 
 def test_weights_of_a_tiny_corpus(spark):
@@ -64,3 +66,15 @@ def test_one_language_with_most_rows_is_counted_whole(spark):
     df = spark.range(3000).select(F.lit("aa").alias("text"), F.when(F.col("id") % 3 == 0, "x").otherwise("hot").alias("lang"))
     rows = {r["lang"]: r["weight"] for r in L.train_language_profiles(df).filter("gram = '_aa'").collect()}
     assert rows == {"x": round(math.log(1001 / 2002) * 1e6), "hot": round(math.log(2001 / 4002) * 1e6)}
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_both_plans_agree_on_equal_and_missing_ids(spark, n):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    trained = materialize(L.train_language_profiles(documents, n=n), "profiles")
+    rows = [(1, "the thing and the other"), (1, "der die und das"), (None, "le la et les"), (None, None), (2, "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(documents.select("doc_id", "text"))
+    columns = ["doc_id", "text", "language", "raw_score", "confidence"]
+    inline, joined = (sorted(map(tuple, L.with_language(df, trained, ["doc_id"], limit=limit).select(columns).collect()), key=repr)
+                      for limit in (1_000_000, 5))
+    assert inline == joined and len(inline) == df.count()

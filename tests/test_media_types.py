@@ -1,3 +1,6 @@
+import io
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +94,35 @@ def test_names_alone_keep_content_out_of_the_scan(spark, tmp_path):
     spark.createDataFrame([("a.pdf", b"x")], "path string, content binary").write.parquet(f"{tmp_path}/t")
     plan = M.detect_glob(spark.read.parquet(f"{tmp_path}/t")).select("path", "glob_type")
     assert "ReadSchema: struct<path:string>" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def package(*members, stored=True):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED) as z:
+        for name, data in members:
+            z.writestr(name, data)
+    return buffer.getvalue()
+
+
+TYPES = ("[Content_Types].xml", b"<Types/>")
+DOCX = package(TYPES, ("word/document.xml", b"<w:p/>"))
+OOXML = "application/vnd.openxmlformats-officedocument."
+
+
+@pytest.mark.parametrize("content,expected", [
+    (DOCX, OOXML + "wordprocessingml.document"),
+    (package(TYPES, ("xl/workbook.xml", b"<w/>"), stored=False), OOXML + "spreadsheetml.sheet"),
+    (package(TYPES, ("ppt/embeddings/a.docx", DOCX), ("ppt/presentation.xml", b"")), OOXML + "presentationml.presentation"),
+    (package(TYPES, ("customXml/keyword/item1.xml", b""), ("ppt/presentation.xml", b"")), OOXML + "presentationml.presentation"),
+    (package(TYPES, ("ppt/media/v.bin", b"word/ xl/ PK\x01\x02" * 400_000), ("ppt/presentation.xml", b"")),
+     OOXML + "presentationml.presentation"),
+    (package(TYPES, ("word/other.xml", b"")), OOXML + "wordprocessingml.document"),
+    (package(TYPES, ("else.xml", b"")), "application/x-tika-ooxml"),
+    (package(("mimetype", b"application/epub+zip"), ("a.xhtml", b"")), "application/epub+zip"),
+    (package(("a.txt", b"[Content_Types].xml word/document.xml")), None),
+    (package(("inner.docx", DOCX)), None),
+    (DOCX[:-30], OOXML + "wordprocessingml.document"), (b"PK\x03\x04", None), (b"", None), (None, None),
+])
+def test_container_type_comes_from_the_outer_directory(spark, content, expected):
+    df = spark.createDataFrame([(content,)], "content binary")
+    assert M.refine_container(df).first()["container_type"] == expected

@@ -209,8 +209,8 @@ def test_strict_mode_raises(spark):
 
 def test_dispatch_is_one_narrow_stage(spark):
     df = spark.createDataFrame([("a", b"x")], "path string, content binary")
-    plan = parse_documents(df, packages=False)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "ArrowEvalPython" not in plan
+    plan = parse_documents(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_markdown_file_parses(spark):
@@ -218,3 +218,17 @@ def test_markdown_file_parses(spark):
     df = spark.createDataFrame([("README.md", readme.read_bytes())], "path string, content binary")
     row = parse_documents(df, output_format="txt").first()
     assert row["media_type"] == "text/x-web-markdown" and row["content"] == readme.read_text()
+
+
+def test_multiparts_open_to_any_depth(spark):
+    mail = b"Content-Type: text/plain\n\ndeep text"
+    for i in range(8):
+        mail = b'Content-Type: multipart/mixed; boundary="b%d"\n\n--b%d\n' % (i, i) + mail + b"\n--b%d--\n" % i
+    row = P.parse_message(spark.createDataFrame([(b"Subject: x\n" + mail,)], "eml binary")).first()
+    assert row["text"] == "deep text" and len(row["parts"]) == 1
+
+
+def test_types_without_a_parser_say_so(spark):
+    df = spark.createDataFrame([("a.pdf", b"%PDF-1.4"), ("a.txt", b"x")], "path string, content binary")
+    by = {r["path"]: r["raw_metadata"]["X-TIKA:Parsed-By"] for r in parse_documents(df).collect()}
+    assert by == {"a.pdf": "EmptyParser", "a.txt": "DefaultParser"}

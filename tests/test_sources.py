@@ -79,7 +79,7 @@ def test_write_embedded_keeps_equal_names(spark, tmp_path):
 
 
 def test_stream_of_files_equals_batch(spark, folder):
-    stream = parse_stream(read_files_stream(spark, str(folder / "in")), packages=False).select("name", "media_type", "text")
+    stream = parse_stream(read_files_stream(spark, str(folder / "in"))).select("name", "media_type", "text")
     out = str(folder / "out")
     write_stream(stream, out, str(folder / "cp")).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("a.txt", "text/plain", "Hello"), ("b.html", "text/html", "x")]
