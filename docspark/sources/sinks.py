@@ -60,10 +60,10 @@ def chunk_content(df: DataFrame, size: int = 8192, content: str = "content") ->
 
 
 def embedded_rows(children: DataFrame) -> DataFrame:
-    """Columns of the children table, with the length of each child."""
+    """Columns of the children table, with the length of each child and its error where there is that column."""
     return children.select(
         "root_id", "depth", F.col("safe_name").alias("rel_path"), "media_type", "content",
-        F.octet_length("content").cast("bigint").alias("content_length"), "error",
+        F.octet_length("content").cast("bigint").alias("content_length"), *[c for c in children.columns if c == "error"],
     )
 
 
