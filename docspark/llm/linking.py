@@ -21,7 +21,7 @@ from docspark.session import materialize
 ROUNDS = 2
 
 #: Keys that may be broadcast, of 8 bytes each.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 200_000
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:

@@ -95,6 +95,17 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
+def _leading(rows: np.ndarray) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: nothing larger than ``rows`` is made."""
+    size = min(LATENT, *rows.shape)
+    basis = np.random.default_rng(11).standard_normal((rows.shape[1], size)).astype(np.float32)
+    for _ in range(12):
+        basis = np.linalg.qr(rows.T @ (rows @ basis))[0].astype(np.float32)
+    left, values, turn = np.linalg.svd(rows @ basis, full_matrices=False)
+    kept = values > 1e-3 * max(values.max(), 1e-30)
+    return (basis @ turn.T.astype(np.float32))[:, kept]
+
+
 def _labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str, text: str, label: str) -> DataFrame:
     """Texts and mean labels of the bounded sample of the rows that ``allowed`` lets in."""
     offered = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & allowed)
@@ -130,12 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_
     weights = np.log((1 + len(found)) / (1 + np.count_nonzero(dense, axis=0))).astype(np.float32) + 0.2
     dense *= weights
     part = dense[np.linspace(0, len(found) - 1, min(MAX_FITTED, len(found))).astype(int)]
-    values, vectors = np.linalg.eigh((part @ part.T).astype(np.float64))
-    top = np.argsort(values)[::-1][:LATENT]
-    top = top[values[top] > 1e-6 * max(values.max(), 1e-30)]
-    basis = (part.T.astype(np.float64) @ vectors[:, top]) / np.sqrt(values[top])
-    projection = (weights[:, None] * basis).astype(np.float32)
-    return {"projection": projection, "vectors": _unit(dense @ basis.astype(np.float32)), "labels": y,
+    basis = _leading(part)
+    return {"projection": weights[:, None] * basis, "vectors": _unit(dense @ basis), "labels": y,
             "prior": float(y.mean())}
 
 
