@@ -1,5 +1,6 @@
 """Whole jobs: what earlier forms of the operators cut, held against literal results."""
 
+import numpy as np
 import xxhash
 
 from docspark.llm import line_dedup
@@ -24,3 +25,21 @@ def test_short_words_are_in_the_simhash(spark):
     hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in ("we", "sat", "by", "the", "old", "mill")]
     wanted = sum(1 << i for i in range(64) if sum(h >> i & 1 for h in hashes) > 3)
     assert line_dedup.lines_of(df).first().sim % (1 << 64) == wanted
+
+
+def test_nine_of_ten_lines_with_one_word_changed_are_linked(spark):
+    random = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    word = lambda: "".join(random.choice(letters, 6))
+    rows, sizes = [], (6, 10, 20, 30)
+    for i in range(240):
+        size = sizes[i % 4]
+        line = [word() for _ in range(size)]
+        other = list(line)
+        # One changed word of six is below 0.85 unless most of its letters stay.
+        at = random.integers(size)
+        other[at] = other[at][:3] + word()[:3] if size == 6 else word()
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = [r.doc_id // 2 % 4 for r in line_dedup.dedup_lines(df).collect() if r.doc_id % 2 and r.text]
+    assert all(left.count(i) <= 6 for i in range(4))
