@@ -7,7 +7,9 @@ query's best needs, and abandons the candidate when it is too far with high conf
 all blocks is scored on the original vectors in double precision.
 
 The centroids are fitted on a bounded sample (``SAMPLE`` vectors, chosen by the hash of their id), which
-also gives each query a first bound; all rows are in the lists. Lists are cut into blocks of ``BLOCK_ROWS`` rows
+also gives each query a first bound: the k-th best of the sample's rows in the lists that it visits. All rows
+are in the lists, and results come from the visited lists alone; a query visits further lists while the sample has
+fewer than k rows in them, and all lists without a bound when fewer than k rows came back. Lists are cut into blocks of ``BLOCK_ROWS`` rows
 and queries into blocks of ``QUERY_ROWS``, by hash, so a full list never meets in one task. ``PROBED`` is the
 share of lists that a query visits: without structure in the data, 0.7 finds about 0.95 of the true
 neighbours, and clustered data far more.
@@ -15,8 +17,7 @@ neighbours, and clustered data far more.
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 rows without vec_id, nor vectors of another length than most have; ties go to the smaller vec_id; a
 query's own row is the one that shares its vec_id; rows that repeat both vec_id and vector count once,
-as candidates and as queries; the sample's best rows are candidates too, so a query finds as many
-as are wanted wherever the sample holds them (a table within the sample's size: all candidates).
+as candidates and as queries.
 """
 
 from __future__ import annotations
@@ -44,15 +45,19 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 4096
 
 
+def nearest_lists(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return (x @ centroids.T - 0.5 * (centroids**2).sum(axis=1)).argmax(axis=1)
+
+
 def fit(vectors: DataFrame, width: int) -> dict[str, np.ndarray]:
     """Centroids, rotation and the sample they come from."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "vector", F.xxhash64("vector").alias("mark")).collect()
+    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "vector").collect()
     sample = np.array([r.vector for r in rows], np.float64).reshape(len(rows), width)
     random = np.random.default_rng(7)
     count = max(1, min(LISTS, len(sample) // 4))
     centroids = sample[random.choice(len(sample), count, replace=False)]
     for _ in range(10):
-        nearest = (sample @ centroids.T - 0.5 * (centroids**2).sum(axis=1)).argmax(axis=1)
+        nearest = nearest_lists(sample, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, sample)
         sizes = np.bincount(nearest, minlength=count)
@@ -60,7 +65,7 @@ def fit(vectors: DataFrame, width: int) -> dict[str, np.ndarray]:
     rotation = np.linalg.qr(random.standard_normal((width, width)))[0]
     return {"centroids": centroids, "rotation": rotation, "sample": sample,
             "sample_ids": np.array([r.vec_id for r in rows], np.int64),
-            "sample_marks": np.array([r.mark for r in rows], np.int64)}
+            "sample_lists": nearest_lists(sample, centroids)}
 
 
 def _slack(seen: int, width: int) -> float:
@@ -115,33 +120,33 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
         centroids = shared.value["centroids"]
         for batch in batches:
             x = matrix(batch.column(1), width)
-            nearest = (x @ centroids.T - 0.5 * (centroids**2).sum(axis=1)).argmax(axis=1)
+            nearest = nearest_lists(x, centroids)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(nearest, pa.int32())], names=["vec_id", "vector", "is_query", "list"])
 
-    kinds = pa.list_(pa.struct([("vec_id", pa.int64()), ("vec_no", pa.int64()), ("score", pa.float64())]))
-
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        held = np.bincount(m["sample_lists"], minlength=lists)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 q, ids = matrix(part.column(1), width), part.column(0).to_numpy()
-                near = np.argsort(-(q @ m["centroids"].T), axis=1, kind="stable")[:, :probes]
-                # The k-th best of the sample is a bound that the k-th best of all cannot fall below.
+                order = np.argsort(-(q @ m["centroids"].T), axis=1, kind="stable")
+                own = ids[:, None] == m["sample_ids"][None, :]
+                # Further lists, until k others of the sample are in them.
+                short = held[order].cumsum(axis=1) < k + own.sum(axis=1)[:, None]
+                visits = np.clip(short.sum(axis=1) + 1, probes, lists)
+                visited = np.zeros((len(q), lists), bool)
+                np.put_along_axis(visited, order, np.arange(lists) < visits[:, None], axis=1)
+                # The k-th best of the sample's rows there is a bound that the k-th best of all there cannot fall below.
                 scores = q @ m["sample"].T
-                scores[ids[:, None] == m["sample_ids"][None, :]] = -np.inf
+                scores[own | ~visited[:, m["sample_lists"]]] = -np.inf
                 bound = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(q), -np.inf)
                 bound = bound - 1e-9 * (1 + np.abs(np.where(np.isfinite(bound), bound, 0)))
-                near_sample = np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k]
-                known = [[{"vec_id": int(m["sample_ids"][i]), "vec_no": int(m["sample_marks"][i]),
-                           "score": float((x * m["sample"][i]).sum())} for i in places if s[i] > -np.inf]
-                         for x, s, places in zip(q, scores, near_sample)]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array(bound),
-                    pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32())),
-                    pa.array(known, kinds)],
-                    names=["query_id", "query", "bound", "near", "known"])
+                near = [x[:n] for x, n in zip(order.astype(np.int32).tolist(), visits.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(bound), pa.array(near, pa.list_(pa.int32()))],
+                    names=["query_id", "query", "bound", "near"])
 
     placed = materialize(rows.mapInArrow(assign, "vec_id bigint, vector array<float>, is_query boolean, list int"
                                          if dict(rows.dtypes)["vector"] == "array<float>" else
@@ -149,8 +154,7 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
     kind = dict(placed.dtypes)["vector"]
     asked = placed.where("is_query").select("vec_id", "vector").dropDuplicates()
     queries = materialize(asked.mapInArrow(
-        probe, f"query_id bigint, query {kind}, bound double, near array<int>, "
-               "known array<struct<vec_id: bigint, vec_no: bigint, score: double>>"), "queries")
+        probe, f"query_id bigint, query {kind}, bound double, near array<int>"), "queries")
     query_blocks = max(1, -(-queries.count() // QUERY_ROWS))
     # Blocks of each list: one row per list, at most LISTS of them.
     sizes = F.broadcast(placed.groupBy("list").agg(F.count("*").alias("rows")).select(
@@ -159,10 +163,6 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
     data = (placed.join(sizes, "list")
             .select("vec_id", "vector", F.xxhash64("vector").alias("vec_no"), "list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"),
                     F.explode(all_queries).alias("part")))
-    wanted = (queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-              .withColumn("list", F.explode("near")).join(sizes, "list")
-              .select("query_id", F.xxhash64("query").alias("query_no"), "query", "bound", "list", "part",
-                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = []
@@ -187,8 +187,22 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
             (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))})
 
     keys = ["list", "block", "part"]
-    found = wanted.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(meet, schema)
-    sampled = queries.select("query_id", F.xxhash64("query").alias("query_no"), F.explode("known").alias("one")).select(
-        "query_id", "query_no", "one.*")
-    # The sample's rows come from their lists too.
-    return merged_ranks(found.unionByName(sampled).dropDuplicates(["query_id", "query_no", "vec_id", "vec_no"]), k)
+
+    def met(asking: DataFrame) -> DataFrame:
+        wanted = (asking.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+                  .withColumn("list", F.explode("near")).join(sizes, "list")
+                  .select("query_id", F.xxhash64("query").alias("query_no"), "query", "bound", "list", "part",
+                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+        return materialize(wanted.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(meet, schema), "met")
+
+    found = met(queries)
+    # A test can abandon one of the k: queries with fewer rows visit all lists, without a bound.
+    enough = found.groupBy("query_id", "query_no").count().where(F.col("count") >= k).select("query_id", "query_no")
+    few = materialize(
+        queries.where((F.col("bound") > float("-inf")) | (F.size("near") < lists))
+        .withColumn("query_no", F.xxhash64("query")).join(enough, ["query_id", "query_no"], "left_anti")
+        .withColumn("bound", F.lit(float("-inf"))).withColumn("near", F.sequence(F.lit(0), F.lit(lists - 1))), "few")
+    if not few.isEmpty():
+        found = found.join(few.select("query_id", "query_no"), ["query_id", "query_no"], "left_anti").select(
+            *found.columns).unionByName(met(few))
+    return merged_ranks(found, k)

@@ -2,8 +2,10 @@
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from docspark.llm import line_dedup
+from docspark.llm import ann, line_dedup
+from tests.llm.test_vectors import brute, clustered, results, table
 
 
 def line_after(spark, first, second):
@@ -43,3 +45,12 @@ def test_nine_of_ten_lines_with_one_word_changed_are_linked(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     left = [r.doc_id // 2 % 4 for r in line_dedup.dedup_lines(df).collect() if r.doc_id % 2 and r.text]
     assert all(left.count(i) <= 6 for i in range(4))
+
+
+def test_neighbours_come_from_the_visited_lists_alone(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PROBED", 0.01)  # one list, and further ones only for want of rows
+    rows = [(i, v) for i, v in clustered(600)]
+    found, wanted = results(ann.search(table(spark, rows), F.col("vec_id") % 20 == 0, 5)), brute(rows, 20, 5)
+    assert all(len(found[q]) == 5 for q in wanted)
+    # The sample holds the whole table: with its rows as results, this would be brute force.
+    assert found != wanted
