@@ -17,7 +17,7 @@ neighbours, and clustered data far more.
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 rows without vec_id, nor vectors of another length than most have; ties go to the smaller vec_id; a
 query's own row is the one that shares its vec_id; rows that repeat both vec_id and vector count once,
-as candidates and as queries.
+as candidates and as queries, and are one before the sample and the lists are made.
 """
 
 from __future__ import annotations
@@ -106,6 +106,7 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
     spark = df.sparkSession
     rows = df.where(F.col(vec_id).isNotNull() & valid(F.col(vector))).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"), is_query.alias("is_query"))
+    rows = materialize(rows.groupBy("vec_id", "vector").agg(F.max("is_query").alias("is_query")), "vectors")
     width = common_length(rows, "vector")
     rows = rows.where(F.size("vector") == width)
     schema = "query_id bigint, query_no bigint, vec_id bigint, vec_no bigint, score double"

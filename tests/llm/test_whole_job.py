@@ -54,3 +54,12 @@ def test_neighbours_come_from_the_visited_lists_alone(spark, monkeypatch):
     assert all(len(found[q]) == 5 for q in wanted)
     # The sample holds the whole table: with its rows as results, this would be brute force.
     assert found != wanted
+
+
+def test_copies_of_a_candidate_take_one_place(spark):
+    rows = [(i, v) for i, v in clustered(200)]
+    wanted = brute(rows, 50, 5)
+    nearest = wanted[0][0][0]
+    copies = rows + [r for r in rows if r[0] == nearest] * 8
+    found = results(ann.search(table(spark, copies), F.col("vec_id") % 50 == 0, 5))
+    assert len(found[0]) == 5 and len(set(found[0])) == 5 and found[0][0] == wanted[0][0]
