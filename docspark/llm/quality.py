@@ -1,7 +1,8 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-A text becomes counts of the shapes of its character triples (case, digits, marks and breaks, not
-the words themselves) and of how often its words repeat. A truncated SVD of the labelled sample
+A text becomes hashed counts of its letter n-grams (``GRAMS`` code points, in lower case, of any script),
+counts of the shapes of its character triples (case, digits, marks and breaks), and how often its words
+repeat. Rare features weigh more (tf-idf). A truncated SVD of the labelled sample
 turns these into latent vectors. The labelled vectors are broadcast (``MAX_LABELLED`` rows of
 ``LATENT`` numbers at most); every document meets all of them in blocked products of unit vectors,
 which are exact cosines, and the ``NEIGHBOURS`` nearest vote with weights that grow with similarity.
@@ -39,7 +40,10 @@ ACCEPT = 0.7
 _TRIPLES = 4096
 _RATIOS = 12
 _LENGTHS = 16
-FEATURES = _TRIPLES + _RATIOS * _LENGTHS
+_HASHED = 8192
+#: Lengths of the letter n-grams.
+GRAMS = (2, 4)
+FEATURES = _TRIPLES + _RATIOS * _LENGTHS + _HASHED
 
 
 def _shapes() -> bytes:
@@ -66,6 +70,19 @@ def _shapes() -> bytes:
 SHAPES = _shapes()
 
 
+def _letter_counts(text: str) -> np.ndarray:
+    """How often each hashed n-gram of letters occurs."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    counts = np.zeros(_HASHED, np.int64)
+    for n in GRAMS:
+        codes = np.zeros(max(0, len(points) - n + 1), np.uint32)
+        for i in range(n):
+            codes = (codes ^ points[i:len(codes) + i]) * np.uint32(0x9E3779B1)
+            codes ^= codes >> np.uint32(15)
+        counts += np.bincount(codes % _HASHED, minlength=_HASHED)
+    return counts
+
+
 def features(texts: list[str | None]) -> np.ndarray:
     """Unit rows of damped counts; a row of zeros for a text without content."""
     out = np.zeros((len(texts), FEATURES), np.float32)
@@ -78,6 +95,8 @@ def features(texts: list[str | None]) -> np.ndarray:
         counts = np.bincount(codes % _TRIPLES, minlength=_TRIPLES)
         row = np.sqrt(counts.astype(np.float32))
         out[i, :_TRIPLES] = row / np.linalg.norm(row)
+        row = np.sqrt(_letter_counts(text).astype(np.float32))
+        out[i, -_HASHED:] = row / np.linalg.norm(row)
         words = data.split()
         if words:
             # How far repetition goes, among texts of about this length.

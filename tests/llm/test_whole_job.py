@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from docspark.llm import ann, line_dedup
+from docspark.llm import ann, line_dedup, quality
 from tests.llm.test_vectors import brute, clustered, results, table
 
 
@@ -63,3 +63,18 @@ def test_copies_of_a_candidate_take_one_place(spark):
     copies = rows + [r for r in rows if r[0] == nearest] * 8
     found = results(ann.search(table(spark, copies), F.col("vec_id") % 50 == 0, 5))
     assert len(found[0]) == 5 and len(set(found[0])) == 5 and found[0][0] == wanted[0][0]
+
+
+def test_quality_that_lies_in_the_words(spark):
+    random = np.random.default_rng(4)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x4E00, 0x4F00)))):
+        words = ["".join(random.choice(list(letters), 5)) for _ in range(600)]
+        docs, labels = [], []
+        for i in range(400):
+            own = words[:200] if i % 2 else words[200:400]
+            docs.append((i, " ".join(random.choice(own + words[400:], 60))))
+            labels.append((i, i % 2))
+        df = spark.createDataFrame(docs, "doc_id bigint, text string")
+        model = quality.fit(df, spark.createDataFrame(labels, "doc_id bigint, quality int"), F.col("doc_id") < 300)
+        scores = quality.vote(model, [t for _, t in docs[300:]])
+        assert np.mean([(s >= 0.5) == y for s, (_, y) in zip(scores, labels[300:])]) >= 0.9
