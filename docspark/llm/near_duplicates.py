@@ -137,9 +137,10 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row_hash, n_shingles, component_id, kept) of every row of ``docs``.
+    """(doc_id, row_hash, n_shingles, component_id, group_key, kept) of every row of ``docs``.
 
-    ``row_hash`` is ``xxhash64`` of the text; with ``doc_id`` it finds the row again.
+    ``row_hash`` is ``xxhash64`` of the text; with ``doc_id`` it finds the row again. ``group_key`` tells groups
+    apart that share an id or have none; it is null for texts without words.
     """
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(sketches(plain), "sketches")
@@ -165,8 +166,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # The group's id is its smallest doc_id; vertices outside every group are groups by themselves.
     rooted = vertices.join(groups, "v", "left").select("v", "least_id", F.coalesce("root", "v").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("v").alias("set_key"), "component_id")
+    named = rooted.join(least, "root").select(F.col("v").alias("set_key"), "component_id", F.col("root").alias("group_key"))
     found = rows.join(named, "set_key", "left").select(
         "doc_id", "row_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "group_key")
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

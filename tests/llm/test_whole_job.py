@@ -4,7 +4,9 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docspark.llm import ann, line_dedup, quality
+from tests.llm.conftest import SMALL
 from tests.llm.test_vectors import brute, clustered, results, table
 
 
@@ -65,6 +67,17 @@ def test_copies_of_a_candidate_take_one_place(spark):
     assert len(found[0]) == 5 and len(set(found[0])) == 5 and found[0][0] == wanted[0][0]
 
 
+def test_unlike_texts_of_one_id_or_none_all_stay(spark):
+    text = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, text("b") + " more"), (3, text("c")), (3, text("d")),
+            (3, text("d")), (3, text("d") + " more"), (4, text("c")), (None, ""), (None, ""), (5, ""), (5, ""), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL).collect()
+    found = sorted((str(r.doc_id), (r.text or "")[:2]) for r in left)
+    assert found == sorted([("None", "a0"), ("None", "b0"), ("3", "c0"), ("3", "d0"), ("None", ""), ("None", ""), ("5", ""), ("6", "")])
+
+
 def test_quality_that_lies_in_the_words(spark):
     random = np.random.default_rng(4)
     for letters in ("abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x4E00, 0x4F00)))):
