@@ -1,11 +1,11 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
 Training counts the n-grams of each language over all training texts. A language's filter holds
-the n-grams whose share of that language is at least ``DOMINANCE`` of their largest share in any,
-and at least ``MIN_SHARE`` (so a filter has at most ``1 / MIN_SHARE`` of them, whatever the corpus).
-The filters are stored by slices: one word of language bits per position, so that the AND of
-``HASHES`` positions returns every language that contains the n-gram. A document's popcount per
-language, less what false positives alone would give, decides.
+all of them, and a second one those whose share of the language is at least ``DOMINANCE`` of their largest
+share in any. The filters are stored by slices: one word of language bits per position, so that the AND of
+``HASHES`` positions returns every language that contains the n-gram. Spark ORs the bits of each position;
+the filters grow with the n-grams of the largest language. A document's popcounts per language in both
+filters, less what false positives alone would give, decide.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; texts in which no filter finds
 anything get the language with the most training n-grams and score 0; ties go to the smaller name;
@@ -27,13 +27,14 @@ from docspark.llm.batches import put, steps
 
 GRAM = 4
 DOMINANCE = 0.5
-MIN_SHARE = 1e-5
 HASHES = 3
 #: Filter positions per n-gram of the largest filter.
 ROOM = 12
 #: Languages per slice word.
 WORD = 64
 UNDETERMINED = "und"
+#: Filter positions, as a power of two, that one task fills.
+_CHUNK_BITS = 16
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _LETTER: list[np.ndarray] = []
@@ -125,26 +126,47 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     names = [r.lang for r in totals.where("total > 0").orderBy("lang").collect()]
     if not names:
         return {"names": []}
-    shares = counted.join(F.broadcast(totals), "lang").select(
-        "gram", "lang", (F.col("n") / F.col("total")).alias("share"))
-    frequent = shares.where(F.col("share") >= MIN_SHARE)
+    numbers = spark.createDataFrame(list(enumerate(names)), "no int, lang string")
+    shares = counted.join(F.broadcast(totals), "lang").join(F.broadcast(numbers), "lang").select(
+        "gram", "lang", "no", (F.col("n") / F.col("total")).alias("share"))
     top = shares.groupBy("gram").agg(F.max("share").alias("top"))
-    kept = (frequent.join(top, "gram").where(F.col("share") >= DOMINANCE * F.col("top"))
-            .groupBy("lang").agg(F.collect_list("gram").alias("grams")))  # at most 1 / MIN_SHARE of each
-    found = {r.lang: np.array(r.grams, np.int64).view(np.uint64) for r in kept.collect()}
-    largest = {r.lang: r.total for r in totals.collect()}
-    size = max(len(x) for x in found.values())
-    bits = max(10, int(np.ceil(np.log2(size * ROOM))))
-    slices = np.zeros((-(-len(names) // WORD), 1 << bits), np.uint64)
-    filled = np.zeros(len(names))
-    for i, name in enumerate(names):
-        for at in positions(found.get(name, np.zeros(0, np.uint64)), bits):
-            np.bitwise_or.at(slices[i // WORD], at.astype(np.int64), np.uint64(1 << i % WORD))
-        filled[i] = np.count_nonzero(slices[i // WORD] & np.uint64(1 << i % WORD)) / (1 << bits)
-    if len(names) <= 8:
-        slices = slices.astype(np.uint8)
-    return {"names": names, "bits": bits, "slices": slices, "false": filled ** HASHES,
-            "most": max(names, key=lambda n: largest[n])}
+    bit = F.expr(f"shiftleft(1L, no % {WORD})")
+    masks = (shares.join(top, "gram").groupBy("gram", F.expr(f"no div {WORD}").cast("int").alias("word")).agg(
+        F.bit_or(bit).alias("mask"),
+        F.bit_or(F.when(F.col("share") >= DOMINANCE * F.col("top"), bit).otherwise(F.lit(0).cast("bigint"))).alias("strong")))
+    largest = {r.lang: (r.total, r.grams) for r in counted.groupBy("lang").agg(
+        F.sum("n").alias("total"), F.count("*").alias("grams")).collect()}
+    bits = max(10, int(np.ceil(np.log2(max(n for _, n in largest.values()) * ROOM))))
+    low = min(bits, _CHUNK_BITS)
+    kind = np.uint8 if len(names) <= 8 else np.uint64
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in positions(batch.column(0).to_numpy().view(np.uint64), bits):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1), pa.array((at >> np.uint64(low)).astype(np.int32)),
+                     pa.array((at & np.uint64((1 << low) - 1)).astype(np.int32)), batch.column(2), batch.column(3)],
+                    names=["word", "chunk", "at", "mask", "strong"])
+
+    def fill(group: pa.Table) -> pa.Table:
+        parts = []
+        for name in ("mask", "strong"):
+            slots = np.zeros(1 << low, np.uint64)
+            np.bitwise_or.at(slots, group["at"].to_numpy(), group[name].to_numpy().view(np.uint64))
+            parts.append(pa.array([slots.astype(kind).tobytes()]))
+        return pa.table({"word": group["word"][:1], "chunk": group["chunk"][:1], "mask": parts[0], "strong": parts[1]})
+
+    placed = masks.select("gram", "word", "mask", "strong").mapInArrow(
+        place, "word int, chunk int, at int, mask bigint, strong bigint")
+    filled = placed.groupBy("word", "chunk").applyInArrow(fill, "word int, chunk int, mask binary, strong binary")
+    slices = np.zeros((2, -(-len(names) // WORD), 1 << bits), kind)
+    for r in filled.toLocalIterator():
+        for i, part in enumerate((r["mask"], r["strong"])):
+            slices[i, r.word, r.chunk << low:(r.chunk + 1) << low] = np.frombuffer(part, kind)
+    share = np.array([[np.count_nonzero(kept[i // WORD] & kind(1 << i % WORD)) / (1 << bits) for i in range(len(names))]
+                      for kept in slices])
+    return {"names": names, "bits": bits, "slices": slices[0], "dominant": slices[1], "false": share ** HASHES,
+            "most": max(names, key=lambda n: largest[n][0])}
 
 
 def decide(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -157,15 +179,16 @@ def decide(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]
     starts = (np.cumsum(lengths) - lengths)[full]
     at = [p.astype(np.int64) for p in positions(codes, model["bits"])]
     shares = np.zeros((len(names), len(starts)))
-    for word, slice_ in enumerate(model["slices"]):
-        masks = slice_[at[0]]
-        for p in at[1:]:
-            masks = masks & slice_[p]
-        for i in range(word * WORD, min(len(names), (word + 1) * WORD)):
-            hits = (masks >> masks.dtype.type(i % WORD)) & masks.dtype.type(1)
-            popcount = np.add.reduceat(hits, starts, dtype=np.int64) / lengths[full]
-            # What false positives alone would give is taken off.
-            shares[i] = np.clip((popcount - model["false"][i]) / (1 - model["false"][i]), 0, None)
+    for slices, false in zip((model["slices"], model["dominant"]), model["false"]):
+        for word, slice_ in enumerate(slices):
+            masks = slice_[at[0]]
+            for p in at[1:]:
+                masks = masks & slice_[p]
+            for i in range(word * WORD, min(len(names), (word + 1) * WORD)):
+                hits = (masks >> masks.dtype.type(i % WORD)) & masks.dtype.type(1)
+                popcount = np.add.reduceat(hits, starts, dtype=np.int64) / lengths[full]
+                # What false positives alone would give is taken off.
+                shares[i] += np.clip((popcount - false[i]) / (1 - false[i]), 0, None) / 2
     best = shares.argmax(axis=0)
     total = shares.sum(axis=0)
     top = shares.max(axis=0)

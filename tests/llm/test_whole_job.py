@@ -5,7 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docspark.llm import ann, line_dedup, quality
+from docspark.llm import ann, language_bits, line_dedup, quality
 from tests.llm.conftest import SMALL
 from tests.llm.test_vectors import brute, clustered, results, table
 
@@ -91,3 +91,13 @@ def test_quality_that_lies_in_the_words(spark):
         model = quality.fit(df, spark.createDataFrame(labels, "doc_id bigint, quality int"), F.col("doc_id") < 300)
         scores = quality.vote(model, [t for _, t in docs[300:]])
         assert np.mean([(s >= 0.5) == y for s, (_, y) in zip(scores, labels[300:])]) >= 0.9
+
+
+def test_rare_and_shared_ngrams_are_in_the_filters(spark):
+    rows = [("aaaa " * 300_000 + "qxzv ", "x"), ("mnop " + "qxzv " * 21, "y")]
+    model = language_bits.train(spark.createDataFrame(rows, "text string, lang string"))
+    codes, _ = language_bits.grams(["qxzv"])
+    masks = np.bitwise_and.reduce([model["slices"][0][p.astype(np.int64)] for p in language_bits.positions(codes, model["bits"])])
+    # " qxz" stands once in x, after a million others, and is dominant in y.
+    assert masks[0] == 3
+    assert language_bits.decide(model, ["qxzv"])[0] == ["y"]
