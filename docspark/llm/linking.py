@@ -1,11 +1,12 @@
-"""Links and connected groups from inverted lists, without pairs inside a group.
+"""Links and connected groups from inverted lists, without pairs inside a linked group.
 
 A list names the vertices that share a key. First every member is tested against the smallest of
 its list alone (a star), and verified links are contracted to groups. Only lists whose members are
 still in several groups are looked at again. In ``ROUNDS`` rounds, the members outside a list's largest
 group are tested against one pseudorandom member of it, another one in each list and round, which
 brings in almost all that belong to it. What is still outside meets the members of other groups. Every pair of vertices that shares a list is therefore either
-tested or already in one group, and a list full of copies costs as many pairs as it has members.
+tested or already in one group. A list full of copies costs as many pairs as it has members; one of m
+members that are not linked costs about m * m.
 """
 
 from __future__ import annotations
