@@ -8,7 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import ann, bpe, language_bits, line_dedup, mixing, near_duplicates, quality, template, token_files, top_k
+from docspark.llm import (ann, bpe, language_bits, language_model, line_dedup, mixing, near_duplicates, quality, repair, spelling,
+                          template, token_files, top_k)
+from docspark.session import materialize
 
 #: Fixed name of the vocabulary that two of the queries are defined by.
 VOCABULARY = "word_bpe_49k.json"
@@ -128,6 +130,69 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all documents with its form, its root and its neighbours one edit away."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by a model of the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = language_model.train(docs.where(F.coalesce(remainder("doc_id", 7) != 2, F.lit(True))))
+    scored = language_model.score_texts(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
+def damaged_conversations(turns: DataFrame) -> DataFrame:
+    """The rows of ``turns`` after the damage that the id and turn of each decide; nulls are one space."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    case = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    rows = turns.select(
+        "conv_id", "turn", F.when(case == 4, "user").otherwise(role).alias("role"),
+        F.when(case == 1, "").when(case == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(case == 3, 2).otherwise(1).alias("copies")).where(case != 0)
+    return rows.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations, repair them, and describe the faults, the edits and what came out."""
+    import hashlib
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = materialize(repair.ordered_rows(damaged_conversations(turns)), "rows")
+    scripts = materialize(repair.repair_scripts(rows), "scripts")
+    kinds = pa.schema([("r_id", pa.int64()), ("sha", pa.string())])
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest = None, None
+        for batch in batches:
+            out = []
+            for conv, pos, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if pos == 0:
+                    if digest is not None:
+                        out.append({"r_id": key, "sha": digest.hexdigest()})
+                    key, digest = conv, hashlib.sha256()
+                else:
+                    digest.update(b"\n")
+                digest.update(f"{role}:{text}".encode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_pylist(out, schema=kinds)
+        if digest is not None:
+            yield pa.RecordBatch.from_pylist([{"r_id": key, "sha": digest.hexdigest()}], schema=kinds)
+
+    repaired = repair.repaired_turns(rows, scripts).select("conv_id", "pos", "role", "text").mapInArrow(digests, "r_id bigint, sha string")
+    ids = turns.select(F.col("conv_id").alias("id")).distinct()
+    found = ids.join(scripts, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(
+        repaired, F.col("id").eqNullSafe(F.col("r_id")), "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near_duplicates": op2_near_duplicates,
@@ -139,6 +204,9 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_language_model": op12_language_model,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {}
