@@ -199,11 +199,33 @@ def one_edit(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     return before + after >= size
 
 
+def unary(counts: np.ndarray, most: np.ndarray) -> list[np.ndarray]:
+    """Counts as rows of bits, ``most`` bits a letter, the lowest ``count`` of them set; a list of 64-bit columns.
+
+    Differences are counted bits: of two rows ``x ^ y`` holds the L1 distance, ``x & ~y`` what y lacks of x; and the
+    smallest and largest counts of a group, its box, are the AND and the OR of its rows.
+    """
+    letter = np.repeat(np.arange(len(most)), most)
+    step = np.arange(len(letter)) - np.repeat(np.cumsum(most) - most, most)
+    out = np.zeros((len(counts), -(-max(1, len(letter)) // 64) * 8), np.uint8)
+    size = max(1, CELLS // max(1, len(letter)))
+    for at in range(0, len(counts), size):
+        bits = np.packbits(counts[at:at + size][:, letter] > step, axis=1)
+        out[at:at + size, :bits.shape[1]] = bits
+    return list(np.ascontiguousarray(out.view(np.uint64).T))
+
+
+def _bits(columns: Iterator[np.ndarray]) -> np.ndarray:
+    return sum(np.bitwise_count(c).astype(np.int32) for c in columns)
+
+
 def neighbours(queries: list[bytes], data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (query, word) one edit apart; all queries have one length, all words that or the next."""
     if not queries or not data:
         return
-    q, d = letters(queries), letters(data)
+    q_counts, d_counts = letters(queries), letters(data)
+    most = np.maximum(q_counts.max(axis=0), d_counts.max(axis=0)).astype(np.int64)
+    q, d = unary(q_counts, most), unary(d_counts, most)
     q_grid, d_grid = _grid(queries), _grid(data)
     # Same length: one count up, one down. Next length: one count up.
     down = int(q_grid.shape[1] == d_grid.shape[1])
@@ -217,36 +239,22 @@ def neighbours(queries: list[bytes], data: list[bytes]) -> Iterator[tuple[np.nda
                 yield a[ok], b[ok]
 
     def search(rows: np.ndarray, asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        box = d[rows]
-        low, high = box.min(axis=0), box.max(axis=0)
-        kept = []
-        for at in range(0, len(asking), CELLS // _DIMS):
-            part = asking[at:at + CELLS // _DIMS]
-            x = q[part]
-            near = (np.maximum(low - x, 0).sum(axis=1) <= 1) & (np.maximum(x - high, 0).sum(axis=1) <= down)
-            kept.append(part[near])
-        asking = np.concatenate(kept) if kept else asking
+        low = [np.bitwise_and.reduce(c[rows]) for c in d]
+        high = [np.bitwise_or.reduce(c[rows]) for c in d]
+        asking = asking[_bits(x & ~c[asking] for x, c in zip(low, q)) <= 1]
+        asking = asking[_bits(c[asking] & ~x for x, c in zip(high, q)) <= down]
         if not len(asking):
             return
-        cut = _cut(box) if len(rows) > BUCKET else None
+        cut = _cut(d_counts[rows]) if len(rows) > BUCKET else None
         if cut is not None:
-            below = box[:, cut[0]] <= cut[1]
+            below = d_counts[rows, cut[0]] <= cut[1]
             yield from search(rows[below], asking)
             yield from search(rows[~below], asking)
             return
-        if len(rows) > BUCKET:
-            # Equal counts: all are at the same distance, which the box has told.
-            far = np.abs(q[asking].astype(np.int64) - box[0]).sum(axis=1)
-            asking = asking[far == 1 + down]
-            size = max(1, CELLS // len(rows))
-            for at in range(0, len(asking), size):
-                part = asking[at:at + size]
-                yield from verified(np.repeat(part, len(rows)), np.tile(rows, len(part)))
-            return
-        size = max(1, CELLS // (_DIMS * len(rows)))
+        size = max(1, CELLS // (8 * len(rows)))
         for at in range(0, len(asking), size):
             part = asking[at:at + size]
-            far = np.abs(q[part][:, None, :] - box[None]).sum(axis=2)
+            far = _bits(c[part][:, None] ^ x[rows][None] for c, x in zip(q, d))
             i, j = np.nonzero(far == 1 + down)
             yield from verified(part[i], rows[j])
 
