@@ -135,22 +135,34 @@ def fill_block(h: np.ndarray, n: np.ndarray) -> bytes:
 def levels_in(cells: np.ndarray, h: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Level of each n-gram, 0 for none, by repeated probes of the blocks that begin at ``base``."""
     found = np.zeros(len(h), np.uint8)
-    left, level = np.arange(len(h)), 0
-    while len(left):
-        level += 1
-        alive = np.ones(len(left), np.bool_)
-        for at in _places(h[left], level):
-            held = cells[base[left] + (at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8) & 1
-            alive &= held.astype(np.bool_)
-        left = left[alive]
-        found[left] = level
+    # Portions small enough to stay in the processor's cache.
+    for start in range(0, len(h), _PORTION):
+        part, own = h[start:start + _PORTION], base[start:start + _PORTION]
+        left, level = np.arange(len(part)), 0
+        while len(left):
+            level += 1
+            with np.errstate(over="ignore"):
+                at = _mixed(part[left] ^ (_U(level) * _LEVEL))
+                step = _mixed(at + _TURN) | _U(1)
+                for probe in range(PROBES):
+                    bit = at & _U(BLOCK * 8 - 1)
+                    held = (cells[own[left] + (bit >> _U(3)).view(np.int64)] >> (bit & _U(7)).astype(np.uint8) & 1).view(np.bool_)
+                    # Who misses one probe is out of the further ones.
+                    left = left[held]
+                    if probe + 1 < PROBES:
+                        step = step[held]
+                        at = at[held] + step
+            found[start + left] = level
     return found
 
 
 def middle(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts of a level: 0, 1, 2.5, 5.5, …"""
-    top = np.exp2(levels.astype(np.float64))
-    return np.where(levels == 0, 0.0, (top / 2 + top - 1) / 2)
+    return _MIDDLES[levels]
+
+
+_PORTION = 1 << 15
+_MIDDLES = np.r_[0.0, (1.5 * np.exp2(np.arange(1, 65)) - 1) / 2]
 
 
 def probabilities(levels: list[np.ndarray], starts: np.ndarray, total: int, distinct: int) -> np.ndarray:
@@ -199,19 +211,21 @@ def train(df: DataFrame, text: str = "text", order: int = ORDER) -> dict:
             "known": known.view(_U)[sort], "n": n[sort]}
 
 
-def _facts(model: dict, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def _facts(model: dict, words: np.ndarray, starts: np.ndarray, distinct: np.ndarray, where: np.ndarray) -> tuple[
+        np.ndarray, np.ndarray, list[np.ndarray]]:
     """Per text: known frequent words, their sum of log10(c + 1), and the hashes of its other words."""
-    real = np.ones(len(words), np.bool_)
-    real[starts[:-1]] = False
-    text_of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    distinct, where = np.unique(words, return_inverse=True)
     at = np.searchsorted(model["known"], distinct).clip(0, max(0, len(model["known"]) - 1))
     hit = model["known"][at] == distinct if len(model["known"]) else np.zeros(len(distinct), np.bool_)
+    # The start of a text is no word.
+    hit &= distinct != _START
     logs = np.where(hit, np.log10(np.where(hit, model["n"][at] if len(model["n"]) else 0, 0) + 1.0), 0.0)
-    known = np.bincount(text_of, weights=hit[where] & real, minlength=len(starts) - 1)
-    base = np.bincount(text_of, weights=logs[where] * real, minlength=len(starts) - 1)
-    other = ~hit[where] & real if model["any_rare"] else np.zeros(len(words), np.bool_)
-    return known.astype(np.int64), base, np.split(words[other], np.searchsorted(text_of[other], np.arange(1, len(starts) - 1)))
+    known = np.add.reduceat(hit[where].astype(np.int64), starts[:-1])
+    base = np.add.reduceat(logs[where], starts[:-1])
+    if not model["any_rare"]:
+        return known, base, [words[:0]] * (len(starts) - 1)
+    other = (~hit & (distinct != _START))[where]
+    cuts = np.cumsum(other)[starts[1:-1] - 1]
+    return known, base, np.split(words[other], cuts)
 
 
 _OUT = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
@@ -248,9 +262,9 @@ def _named(scored: DataFrame, model: dict) -> DataFrame:
 
 
 def _rows(batch: pa.RecordBatch, model: dict, arrow: pa.Schema, rest: str, words: np.ndarray, starts: np.ndarray,
-          levels: list[np.ndarray]) -> pa.RecordBatch:
+          levels: list[np.ndarray], distinct: np.ndarray, where: np.ndarray) -> pa.RecordBatch:
     logs = probabilities(levels, starts, model["total"], model["distinct"])
-    known, base, others = _facts(model, words, starts)
+    known, base, others = _facts(model, words, starts, distinct, where)
     size = np.diff(starts) - 1
     base = base - size * np.log10(model["total"] + model["distinct"] + 1.0)
     return put(batch, arrow, n_tokens=pa.array(size, pa.int64()), n_known=pa.array(known), base_score=pa.array(base),
@@ -274,10 +288,12 @@ def _score_by_broadcast(df: DataFrame, model: dict, text: str, schema: T.StructT
         model = shared.value
         for batch, texts in steps(batches, text, STEP_BYTES):
             words, starts = tokens(texts)
+            distinct, where = np.unique(words, return_inverse=True)
             levels = []
-            for grams in ngrams(words, starts, model["order"]):
+            for grams in (distinct, *ngrams(words, starts, model["order"])[1:]):
                 levels.append(levels_in(model["cells"], grams, block_of(grams, model["blocks"]) * BLOCK))
-            yield _rows(batch, model, arrow, rest, words, starts, levels)
+            levels[0] = levels[0][where]
+            yield _rows(batch, model, arrow, rest, words, starts, levels, distinct, where)
 
     return df.mapInArrow(run, schema)
 
@@ -340,6 +356,7 @@ def _score_by_shuffle(df: DataFrame, model: dict, text: str, schema: T.StructTyp
         h, found = h[sort], found[sort]
         levels = [found[np.searchsorted(h, g)] for g in grams]
         batch = rows.drop_columns([portion]).combine_chunks().to_batches()[0]
-        return pa.Table.from_batches([_rows(batch, light.value, arrow, rest, words, starts, levels)])
+        return pa.Table.from_batches([
+            _rows(batch, light.value, arrow, rest, words, starts, levels, *np.unique(words, return_inverse=True))])
 
     return cut.groupBy(portion).cogroup(answered.groupBy("portion")).applyInArrow(finish, schema)
