@@ -8,7 +8,7 @@ turns these into latent vectors. The labelled vectors are broadcast (``MAX_LABEL
 which are exact cosines, and the ``NEIGHBOURS`` nearest vote with weights that grow with similarity.
 
 The classifier is fitted on a bounded sample: of the labelled rows offered, the ``MAX_LABELLED`` with
-the smallest hash of their id, and the SVD on ``MAX_FITTED`` of these. Everything else reads all rows.
+the smallest hash of their id (at most as many rows, should ids repeat), and the SVD on ``MAX_FITTED`` of these. Everything else reads all rows.
 
 Cases: null and empty texts, and any text when nothing is labelled, score the mean label of the
 sample (0.5 without any); texts of any length are read whole; a document labelled several times
@@ -37,6 +37,9 @@ SHARPNESS = 16
 #: A document is predicted good from this score on.
 ACCEPT = 0.7
 
+#: Sample rows that are dense at once.
+BLOCK = 256
+
 _TRIPLES = 4096
 _RATIOS = 12
 _LENGTHS = 16
@@ -114,13 +117,43 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
-def _leading(rows: np.ndarray) -> np.ndarray:
-    """The leading right singular vectors, by subspace iteration: nothing larger than ``rows`` is made."""
-    size = min(LATENT, *rows.shape)
-    basis = np.random.default_rng(11).standard_normal((rows.shape[1], size)).astype(np.float32)
+class _Sample:
+    """Feature rows of the sample, sparse; ``block`` makes a few of them dense and weighted."""
+
+    def __init__(self, at: list[bytes], values: list[bytes]) -> None:
+        self.starts = np.cumsum([0, *[len(x) // 2 for x in at]])
+        self.at = np.frombuffer(b"".join(at), "<u2")
+        self.values = np.frombuffer(b"".join(values), "<f4")
+        # Rare features weigh more, as far as the sample knows them.
+        held = np.bincount(self.at, minlength=FEATURES)
+        self.weights = np.log((1 + len(at)) / (1 + held)).astype(np.float32) + np.float32(0.2)
+
+    def block(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), FEATURES), np.float32)
+        for line, row in zip(out, rows):
+            own = slice(self.starts[row], self.starts[row + 1])
+            line[self.at[own]] = self.values[own]
+        return out * self.weights
+
+    def times(self, rows: np.ndarray, basis: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.block(part) @ basis for part in _portions(rows)])
+
+
+def _portions(rows: np.ndarray) -> list[np.ndarray]:
+    return [rows[at:at + BLOCK] for at in range(0, len(rows), BLOCK)]
+
+
+def _leading(sample: _Sample, rows: np.ndarray) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration over blocks: the whole matrix is never made."""
+    size = min(LATENT, len(rows), FEATURES)
+    basis = np.random.default_rng(11).standard_normal((FEATURES, size)).astype(np.float32)
     for _ in range(12):
-        basis = np.linalg.qr(rows.T @ (rows @ basis))[0].astype(np.float32)
-    left, values, turn = np.linalg.svd(rows @ basis, full_matrices=False)
+        turned = np.zeros_like(basis)
+        for part in _portions(rows):
+            block = sample.block(part)
+            turned += block.T @ (block @ basis)
+        basis = np.linalg.qr(turned)[0].astype(np.float32)
+    left, values, turn = np.linalg.svd(sample.times(rows, basis), full_matrices=False)
     kept = values > 1e-3 * max(values.max(), 1e-30)
     return (basis @ turn.T.astype(np.float32))[:, kept]
 
@@ -149,19 +182,17 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_
 
     sample = _labelled_sample(docs, labels, allowed, doc_id, text, label)
     sample = sample.select(F.col(doc_id).cast("string"), text, F.col("label").cast("double"))
-    found = sorted(sample.mapInArrow(run, "id string, label double, at binary, values binary").collect())
-    if not found:
+    # An id may stand in any number of rows; the sample stays bounded.
+    found = sample.mapInArrow(run, "id string, label double, at binary, values binary").orderBy(
+        F.xxhash64("id"), "id", "at", "values").limit(MAX_LABELLED).toArrow()
+    if not found.num_rows:
         return {"prior": 0.5}
-    dense = np.zeros((len(found), FEATURES), np.float32)
-    for row, r in zip(dense, found):
-        row[np.frombuffer(r.at, "<u2")] = np.frombuffer(r["values"], "<f4")
-    y = np.array([r.label for r in found])
-    # Rare shapes weigh more, as far as the sample knows them.
-    weights = np.log((1 + len(found)) / (1 + np.count_nonzero(dense, axis=0))).astype(np.float32) + 0.2
-    dense *= weights
-    part = dense[np.linspace(0, len(found) - 1, min(MAX_FITTED, len(found))).astype(int)]
-    basis = _leading(part)
-    return {"projection": weights[:, None] * basis, "vectors": _unit(dense @ basis), "labels": y,
+    kept = _Sample(found.column("at").to_pylist(), found.column("values").to_pylist())
+    y = found.column("label").to_numpy()
+    del found
+    everyone = np.arange(len(y))
+    basis = _leading(kept, np.linspace(0, len(y) - 1, min(MAX_FITTED, len(y))).astype(int))
+    return {"projection": kept.weights[:, None] * basis, "vectors": _unit(kept.times(everyone, basis)), "labels": y,
             "prior": float(y.mean())}
 
 
