@@ -47,7 +47,7 @@ BLOCK = 1 << 19
 FILTER_BYTES = 64 << 20
 FREQUENT = 1 << 20
 #: Bytes of text that are counted or scored at once.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 _U = np.uint64
 _START, _END = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
