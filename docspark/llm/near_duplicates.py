@@ -162,7 +162,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         plain.withColumn("row_hash", F.xxhash64("text")).alias("d")
         .join(listed.alias("l"), F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.row_hash") == F.col("l.row_hash")))
         .select("v", "text").dropDuplicates(["v"]), "texts")
-    groups = link_lists(lists, vertices.select("v", "n", "sketch"), may_link, lambda pairs: confirm(pairs, texts))
+    # A union sketch that is full holds this many common values, a smaller one is the whole union.
+    need = F.least(F.lit(least_common()), F.ceil(F.col("n") * SHARE / 100).cast("int"))
+    parts = vertices.select("v", F.col("sketch").alias("values"), need.alias("need"))
+    groups = link_lists(lists, vertices.select("v", "n", "sketch"), may_link, lambda pairs: confirm(pairs, texts), parts=parts)
     # The group's id is its smallest doc_id; vertices outside every group are groups by themselves.
     rooted = vertices.join(groups, "v", "left").select("v", "least_id", F.coalesce("root", "v").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))

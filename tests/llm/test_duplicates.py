@@ -7,7 +7,7 @@ import numpy as np
 import regex
 import xxhash
 
-from docspark.llm import line_dedup, near_duplicates
+from docspark.llm import line_dedup, linking, near_duplicates
 from docspark.llm.linking import connected_groups
 from tests.llm.conftest import SMALL
 
@@ -71,6 +71,36 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r.kept == (i == wanted[i]) for i, r in found.items())
 
 
+def test_lists_that_are_dealt_out_again_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(linking, "LIST_PAIRS", 0)
+    texts = near_copies(2)
+    sets, wanted = near_groups(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df).collect()} == wanted
+
+
+def test_many_unlike_texts_that_share_a_passage(spark, monkeypatch):
+    random = np.random.default_rng(8)
+    passage = " ".join(f"p{i}" for i in range(45))
+    texts = {i: passage + " " + " ".join(f"w{x}" for x in random.integers(0, 10**9, 65)) for i in range(3000)}
+    wanted = {i: i for i in texts}
+    for i in range(0, 60, 2):
+        # One word changed in the own part.
+        texts[3000 + i] = texts[i].rsplit(" ", 1)[0] + " other"
+        wanted[3000 + i] = i
+    formed = []
+    confirm = near_duplicates.confirm
+
+    def counting(pairs, given):
+        formed.append(pairs.count())
+        return confirm(pairs, given)
+
+    monkeypatch.setattr(near_duplicates, "confirm", counting)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(8)
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df).collect()} == wanted
+    assert sum(formed) < 20 * len(texts)
+
+
 def test_near_duplicates_odd_rows(odd, nothing):
     rows = near_duplicates.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
