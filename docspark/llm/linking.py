@@ -7,11 +7,12 @@ group are tested against one pseudorandom member of it, another one in each list
 brings in almost all that belong to it. What is still outside meets the members of other groups. A list full of
 copies costs as many pairs as it has members.
 
-A list of many members that are not linked would cost the square of their number. Where the caller says which values
-a vertex has and how many of them a linked one shares at least (``parts``), such a list is dealt out again:
-each member is listed under its values that are rarest in the list, all but as many as it may miss. Two members with enough
-values in common share one of these, so no link is lost, and what the whole list has in common keeps nobody together.
-Only members that share nearly as many values as a link needs still meet.
+A list of many members that are not linked would cost the square of their number, and members that share many lists
+would meet in each. Where the caller gives the values of a vertex and how many of them a linked one shares at least
+(``parts``), what is still open meets otherwise: each vertex is listed under its values that are rarest among the open
+ones, all but as many as it may miss. Two vertices with enough values in common share one of these, so no link is lost;
+what many have in common keeps nobody together, and a vertex with too many values of its own is listed nowhere.
+Only vertices that share nearly as many values as a link needs still meet.
 """
 
 from __future__ import annotations
@@ -26,9 +27,6 @@ from docspark.session import materialize
 #: Rounds in which outsiders meet one member of their list's largest group.
 ROUNDS = 2
 
-#: Pairs of one list that are formed without dealing it out again.
-LIST_PAIRS = 4096
-
 #: Keys that may be broadcast, of 8 bytes each.
 BROADCAST_KEYS = 200_000
 
@@ -83,13 +81,14 @@ def connected_groups(links: DataFrame) -> DataFrame:
 
 def link_lists(
     lists: DataFrame, vertices: DataFrame, may_link: Callable[[str, str], Column],
-    verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS, parts: DataFrame | None = None,
+    verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS,
+    parts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(v, root) of every vertex that is linked to another one.
 
     ``lists`` holds (key, v); ``vertices`` v and what ``may_link("x.", "y.")`` compares; ``verify``
-    keeps the pairs (a, b) that are links; ``parts`` holds (v, values, need): an array of distinct values, and
-    how many of them every vertex that may be linked to v shares with it at least.
+    keeps the pairs (a, b) that are links; ``parts`` gives for vertices (v) the rows (v, size, need, value): each of v's
+    distinct values, their number, and how many of them every vertex that is linked to v shares with it.
     """
     facts = [c for c in vertices.columns if c != "v"]
 
@@ -121,35 +120,28 @@ def link_lists(
             continue
         links = links.union(more)
         groups = connected_groups(links)
-    on = ["key"]
-    left = odd.select("key", F.col("v").alias("a"), F.col("root").alias("ra"))
-    right = members.select("key", F.col("v").alias("b"), F.col("root").alias("rb"))
-    if parts is not None:
-        on = ["key", "value"]
-        left, right = _dealt(members, parts)
-    pairs = (of("y", of("x", left, "a").join(right, on).where("ra <> rb"), "b").where(may_link("x.", "y."))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if parts is None:
+        left = of("x", odd.select("key", F.col("v").alias("a"), F.col("root").alias("ra")), "a")
+        rest = of("y", members.select("key", F.col("v").alias("b"), F.col("root").alias("rb")), "b")
+        pairs = left.join(rest, "key").where((F.col("ra") != F.col("rb")) & may_link("x.", "y.")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    else:
+        met = _meet_again(members.select("v", "root").distinct(), parts)
+        pairs = of("y", of("x", met, "a"), "b").where(may_link("x.", "y.")).select("a", "b")
     later = materialize(verify(pairs), "links")
     return groups if later.isEmpty() else connected_groups(links.union(later))
 
 
-def _dealt(members: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Outsiders (key, value, a, ra) and members (key, value, b, rb); ``value`` is null in lists of few pairs.
-
-    In the others it is each of the member's values that are rarest in the list.
-    """
-    outside = F.col("root") != F.col("main")
-    many = members.groupBy("key").agg(F.count(F.when(outside, 1)).alias("odd"), F.count("*").alias("n")).where(
-        F.col("odd") * F.col("n") > LIST_PAIRS).select("key", F.lit(True).alias("many"))
-    marked = materialize(members.join(many, "key", "left").select("key", "v", "root", outside.alias("odd"), "many"), "marked")
-    none = F.lit(0).cast("bigint")
-    few = marked.where("many IS NULL").select("key", none.alias("value"), "v", "root", "odd")
-    posted = marked.where("many").drop("many").join(parts, "v").select(
-        "key", "v", "root", "odd", (F.size("values") - F.col("need") + 1).alias("room"), F.explode("values").alias("value"))
-    counted = posted.groupBy("key", "value").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("key", "v").orderBy("n", "value")
-    listed = posted.join(counted, ["key", "value"]).withColumn("place", F.row_number().over(rarest)).where(
-        (F.col("place") <= F.col("room")) & (F.col("n") > 1)).select("key", "value", "v", "root", "odd")
-    both = materialize(few.union(listed), "dealt")
-    return (both.where("odd").select("key", "value", F.col("v").alias("a"), F.col("root").alias("ra")),
-            both.select("key", "value", F.col("v").alias("b"), F.col("root").alias("rb")))
+def _meet_again(opened: DataFrame, parts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of the open vertices (v, root) of different groups that share one of their rarest values."""
+    opened = materialize(opened, "opened")
+    values = materialize(parts(opened.select("v")), "values")
+    shared = values.join(values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1"), "value")
+    own = Window.partitionBy("v")
+    # Values that no other open vertex has come first; they list nothing.
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "value"))
+    listed = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - F.col("need") + 1)
+    listed = materialize(listed.join(opened, "v").select("value", "v", "root"), "listed")
+    left = listed.select("value", F.col("v").alias("a"), F.col("root").alias("ra"))
+    right = listed.select("value", F.col("v").alias("b"), F.col("root").alias("rb"))
+    return left.join(right, "value").where("a < b AND ra <> rb").select("a", "b").distinct()
