@@ -12,7 +12,8 @@ would meet in each. Where the caller gives the values of a vertex and how many o
 (``parts``), what is still open meets otherwise: each vertex is listed under its values that are rarest among the open
 ones, all but as many as it may miss. Two vertices with enough values in common share one of these, so no link is lost;
 what many have in common keeps nobody together, and a vertex with too many values of its own is listed nowhere.
-Only vertices that share nearly as many values as a link needs still meet.
+The first value that two have in common, rarest first, leaves room for no more common ones than stand behind it in both:
+where that is too few for their sizes they do not meet. Only vertices that share nearly as many values as a link needs do.
 """
 
 from __future__ import annotations
@@ -82,13 +83,13 @@ def connected_groups(links: DataFrame) -> DataFrame:
 def link_lists(
     lists: DataFrame, vertices: DataFrame, may_link: Callable[[str, str], Column],
     verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS,
-    parts: Callable[[DataFrame], DataFrame] | None = None,
+    parts: Callable[[DataFrame], DataFrame] | None = None, share: int = 0,
 ) -> DataFrame:
     """(v, root) of every vertex that is linked to another one.
 
     ``lists`` holds (key, v); ``vertices`` v and what ``may_link("x.", "y.")`` compares; ``verify``
-    keeps the pairs (a, b) that are links; ``parts`` gives for vertices (v) the rows (v, size, need, value): each of v's
-    distinct values, their number, and how many of them every vertex that is linked to v shares with it.
+    keeps the pairs (a, b) that are links; ``parts`` gives for vertices (v) the rows (v, size, value): each of v's
+    distinct values and their number. A link then has ``share`` / 100 of the union of values in common.
     """
     facts = [c for c in vertices.columns if c != "v"]
 
@@ -126,13 +127,13 @@ def link_lists(
         pairs = left.join(rest, "key").where((F.col("ra") != F.col("rb")) & may_link("x.", "y.")).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     else:
-        met = _meet_again(members.select("v", "root").distinct(), parts)
+        met = _meet_again(members.select("v", "root").distinct(), parts, share)
         pairs = of("y", of("x", met, "a"), "b").where(may_link("x.", "y.")).select("a", "b")
     later = materialize(verify(pairs), "links")
     return groups if later.isEmpty() else connected_groups(links.union(later))
 
 
-def _meet_again(opened: DataFrame, parts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _meet_again(opened: DataFrame, parts: Callable[[DataFrame], DataFrame], share: int) -> DataFrame:
     """Pairs (a, b) of the open vertices (v, root) of different groups that share one of their rarest values."""
     opened = materialize(opened, "opened")
     values = materialize(parts(opened.select("v")), "values")
@@ -140,8 +141,10 @@ def _meet_again(opened: DataFrame, parts: Callable[[DataFrame], DataFrame]) -> D
     own = Window.partitionBy("v")
     # Values that no other open vertex has come first; they list nothing.
     place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "value"))
-    listed = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - F.col("need") + 1)
-    listed = materialize(listed.join(opened, "v").select("value", "v", "root"), "listed")
-    left = listed.select("value", F.col("v").alias("a"), F.col("root").alias("ra"))
-    right = listed.select("value", F.col("v").alias("b"), F.col("root").alias("rb"))
-    return left.join(right, "value").where("a < b AND ra <> rb").select("a", "b").distinct()
+    # ``left``: this value and those behind it. A link has share / 100 of the larger set in common.
+    listed = shared.withColumn("left", F.col("size") - place + 1).where(100 * F.col("left") >= share * F.col("size"))
+    listed = materialize(listed.join(opened, "v").select("value", "v", "root", "size", "left"), "listed")
+    one = listed.select("value", F.col("v").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("left").alias("la"))
+    two = listed.select("value", F.col("v").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("left").alias("lb"))
+    enough = (100 + share) * F.least("la", "lb") >= share * (F.col("na") + F.col("nb"))
+    return one.join(two, "value").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & enough).select("a", "b").distinct()

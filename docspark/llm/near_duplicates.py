@@ -137,8 +137,8 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def shingle_rows(texts: DataFrame) -> DataFrame:
-    """(v, size, need, value): every shingle of the texts (v, text), the size of the set, and how many of it a link has in common."""
-    kinds = pa.schema([("v", pa.binary()), ("size", pa.int64()), ("need", pa.int64()), ("value", pa.int64())])
+    """(v, size, value): every shingle of the texts (v, text) and the size of the set."""
+    kinds = pa.schema([("v", pa.binary()), ("size", pa.int64()), ("value", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, given in steps(batches, "text"):
@@ -147,10 +147,9 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
                 for at in range(0, len(found), 100_000):
                     part = found[at:at + 100_000]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([v] * len(part), pa.binary()), pa.array(np.full(len(part), len(found))),
-                        pa.array(np.full(len(part), -(-SHARE * len(found) // 100))), pa.array(part)], schema=kinds)
+                        pa.array([v] * len(part), pa.binary()), pa.array(np.full(len(part), len(found))), pa.array(part)], schema=kinds)
 
-    return texts.select("v", "text").mapInArrow(run, "v binary, size bigint, need bigint, value bigint")
+    return texts.select("v", "text").mapInArrow(run, "v binary, size bigint, value bigint")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,7 +179,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .join(listed.alias("l"), F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.row_hash") == F.col("l.row_hash")))
         .select("v", "text").dropDuplicates(["v"]), "texts")
     groups = link_lists(lists, vertices.select("v", "n", "sketch"), may_link, lambda pairs: confirm(pairs, texts),
-                        parts=lambda opened: shingle_rows(texts.join(opened, "v", "left_semi")))
+                        parts=lambda opened: shingle_rows(texts.join(opened, "v", "left_semi")), share=SHARE)
     # The group's id is its smallest doc_id; vertices outside every group are groups by themselves.
     rooted = vertices.join(groups, "v", "left").select("v", "least_id", F.coalesce("root", "v").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
