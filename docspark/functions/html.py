@@ -7,33 +7,48 @@ from pyspark.sql import functions as F
 
 from docspark.functions.text import collapse_blank, let, unescape_entities
 
-# Invisible parts, tolerant of pages cut off before the closing tag.
-INVISIBLE = (
-    r"(?is)<!--.*?(?:-->|\z)|<script[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style[^>]*>.*?(?:</style\s*>|\z)|<title[^>]*>.*?(?:</title\s*>|\z)"
-)
+# The rest of a tag behind its name. A quoted value may hold any character; where a quote stays open, or beyond
+# 256 values, the tag ends at the next '>'. Bounded and without backtracking, so odd input costs no stack.
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+){0,256}+[^>]*+(?:>|\z)"""
+_TAG = r"<[a-zA-Z/!?]" + _REST
+
+
+def _raw_element(name: str) -> str:
+    """An element whose content is no markup; a page may be cut off before its end."""
+    return rf"<{name}(?=[\s/>]){_REST}.*?(?:</{name}\s*>|\z)"
+
+
+# One pass reads the pieces of a page: invisible ones, and tags as a whole (group 1), so that neither a comment mark
+# inside a quoted value nor a '>' in one is taken for markup.
+INVISIBLE = rf"(?is)<!--.*?(?:-->|\z)|{_raw_element('script')}|{_raw_element('style')}|{_raw_element('title')}|({_TAG})"
 BLOCK_TAGS = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header"
-    r"|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?:[\s/][^>]*)?(?:>|\z)"
+    r"|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?=[\s/>]|\z)" + _REST
 )
-ANY_TAG = r"(?s)<[a-zA-Z/!?][^>]*(?:>|\z)"
+ANY_TAG = r"(?s)" + _TAG
 
+# Comments, instructions and the document type go; sections and tags (group 1) stay for the later steps.
+XML_PIECES = (r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)|<!DOCTYPE[^>\[]*+(?:\[.*?\]\s*+)?+>"
+              r"|(<!\[CDATA\[.*?(?:\]\]>|\z)|<[^\s<>!?&]" + _REST + ")")
+XML_TAG = r"(?s)<[^\s<>!?&]" + _REST
+
+_DATA_TYPE = r"data:[a-z]+/[a-z0-9.+-]+(?:;[a-z0-9-]+=[^;,\"'\s<>]+)*"
 EMBEDDED = (
-    r"(?is)<script[^>]*>.*?(?:</script\s*>|\z)|<style[^>]*>.*?(?:</style\s*>|\z)"
-    r"|data:[a-z]+/[a-z0-9.+-]+;base64,[a-z0-9+/=]+"
+    rf"(?is){_raw_element('script')}|{_raw_element('style')}"
+    rf"|{_DATA_TYPE};base64,[a-z0-9+/=]+|(?<=[\"'(=]){_DATA_TYPE},[^\"'\s<>)]*"
 )
 
 
 def html_to_text(html: Column) -> Column:
     """Visible text of a page, one line per block."""
-    text = F.regexp_replace(html, INVISIBLE, "")
+    text = F.regexp_replace(html, INVISIBLE, "$1")
     text = F.regexp_replace(text, BLOCK_TAGS, "\n")
     text = F.regexp_replace(text, ANY_TAG, "")
     return collapse_blank(unescape_entities(text))
 
 
 def html_title(html: Column) -> Column:
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)(?:</title\s*>|\z)", 1)
+    title = F.regexp_extract(html, rf"(?is)<title(?=[\s/>]){_REST}(.*?)(?:</title\s*>|\z)", 1)
     title = F.regexp_replace(F.regexp_replace(title, ANY_TAG, ""), r"\s+", " ")
     return F.nullif(F.trim(unescape_entities(title)), F.lit(""))
 
@@ -46,7 +61,7 @@ def html_attribute(tag: Column, name: str) -> Column:
 
 
 def html_language(html: Column) -> Column:
-    return let(F.regexp_extract(html, r"(?is)<html(?:\s[^>]*)?>", 0), lambda tag: html_attribute(tag, "lang"))
+    return let(F.regexp_extract(html, rf"(?is)<html(?=[\s/>]){_REST}", 0), lambda tag: html_attribute(tag, "lang"))
 
 
 def html_charset(html: Column) -> Column:
@@ -56,7 +71,7 @@ def html_charset(html: Column) -> Column:
 
 def html_meta(html: Column) -> Column:
     """Array of (key, value) from ``<meta name=... content=...>`` tags."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/]){_REST}"), F.lit(0))
     pairs = F.transform(
         tags,
         lambda tag: F.struct(html_attribute(tag, "name").alias("key"),
@@ -66,16 +81,17 @@ def html_meta(html: Column) -> Column:
 
 
 def html_embedded(html: Column) -> Column:
-    """Array of inline resources: scripts, style sheets and base64 data URIs."""
+    """Array of inline resources: scripts, style sheets and data URIs."""
     pieces = F.regexp_extract_all(html, F.lit(EMBEDDED), F.lit(0))
 
     def resource(piece: Column) -> Column:
         is_data = F.lower(F.substring(piece, 1, 5)) == "data:"
         is_script = F.lower(F.substring(piece, 1, 7)) == "<script"
-        inner = F.regexp_replace(piece, r"(?is)^<[^>]*>|</(?:script|style)\s*>\z", "")
-        data = F.try_to_binary(F.substring_index(piece, ",", -1), F.lit("base64"))
+        inner = F.regexp_replace(piece, rf"(?is)^<{_REST}|</(?:script|style)\s*>\z", "")
+        payload = F.regexp_replace(piece, r"^[^,]*,", "")
+        data = F.when(piece.rlike("(?i)^[^,]*;base64,"), F.try_to_binary(payload, F.lit("base64"))).otherwise(_percent_bytes(payload))
         media_type = (
-            F.when(is_data, F.lower(F.substring_index(F.substring(piece, 6, 200), ";", 1)))
+            F.when(is_data, F.lower(F.regexp_extract(piece, r"(?i)^data:([a-z]+/[a-z0-9.+-]+)", 1)))
             .when(is_script, "application/javascript")
             .otherwise("text/css")
         )
@@ -85,17 +101,29 @@ def html_embedded(html: Column) -> Column:
             media_type.alias("media_type"),
             F.when(is_data, F.coalesce(data, F.encode(piece, "UTF-8")))
             .otherwise(F.encode(inner, "UTF-8")).alias("content"),
+            F.lit(None).cast("string").alias("charset"),
         )
 
     return F.transform(pieces, resource)
 
 
+def _percent_bytes(text: Column) -> Column:
+    """Bytes of a percent-encoded text; a mark that no code follows stands for itself."""
+    def piece(value: Column, index: Column) -> Column:
+        code, plain = F.substring(value, 1, 2), F.hex(F.encode(value, "UTF-8"))
+        return (F.when(index == 0, plain)
+                .when(code.rlike("^[0-9A-Fa-f]{2}$"), F.concat(F.upper(code), F.substring(plain, F.lit(5), F.length(plain))))
+                .otherwise(F.concat(F.lit("25"), plain)))
+
+    return F.unhex(F.array_join(F.transform(F.split(text, "%"), piece), ""))
+
+
 def xml_to_text(xml: Column) -> Column:
     """Text nodes of well-formed XML."""
-    text = F.regexp_replace(xml, r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)", "")
+    text = F.regexp_replace(xml, XML_PIECES, "$1")
     # A CDATA section is literal text: escape its markup so that the steps below keep it.
     text = let(text, lambda t: F.when(F.contains(t, F.lit("<![CDATA[")), _open_cdata(t)).otherwise(t))
-    text = F.regexp_replace(text, ANY_TAG, "\n")
+    text = F.regexp_replace(text, XML_TAG, "\n")
     return collapse_blank(unescape_entities(text))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
+from docspark.functions.charsets import charset_name, declared_text
 from docspark.functions.html import html_to_text
 from docspark.functions.text import decode_bytes, decode_text, let, normalize_newlines
 
@@ -68,17 +69,18 @@ def base64_bytes(text: Column) -> Column:
 
 
 def decode_words(value: Column) -> Column:
-    """Decode ``=?charset?B|Q?text?=`` words of a header; other bytes by charset detection."""
-    word = r"^=\?[^?]+\?([bBqQ])\?([^?]*)\?=$"
+    """Decode ``=?charset?B|Q?text?=`` words of a header by their charset; other bytes by charset detection."""
+    word = r"^=\?([^?*]+)(?:\*[^?]*)?\?([bBqQ])\?([^?]*)\?=$"
 
     def token(part: Column) -> Column:
-        kind, text = F.upper(F.regexp_extract(part, word, 1)), F.regexp_extract(part, word, 2)
+        kind, text = F.upper(F.regexp_extract(part, word, 2)), F.regexp_extract(part, word, 3)
+        name = charset_name(F.regexp_extract(part, word, 1))
         content = (
             F.when(kind == "B", base64_bytes(text))
             .when(kind == "Q", quoted_printable(F.translate(text, "_", " ")))
             .otherwise(to_bytes(part))
         )
-        return let(content, decode_bytes)
+        return let(content, lambda c: F.coalesce(F.when(kind != "", declared_text(c, name)), decode_bytes(c)))
 
     def decoded(value: Column) -> Column:
         joined = F.regexp_replace(value, r"(\?=)[ \t]+(=\?)", "$1$2")
@@ -161,6 +163,7 @@ def _decoded_part(entity: Column, content_type: Column, disposition: Column, enc
         F.nullif(identifier, F.lit("")).alias("relationship_id"),
         F.coalesce(F.nullif(media_type, F.lit("")), F.lit(V.TEXT_PLAIN)).alias("media_type"),
         F.coalesce(decoded, to_bytes(body)).alias("content"),
+        charset_name(parameter(content_type, "charset")).alias("charset"),
     )
 
 
@@ -179,19 +182,23 @@ def mail_parts_with_body(content: Column) -> Column:
     return F.transform(_entities(message_text(content)), _part)
 
 
-def mail_text(parts: Column) -> Column:
-    """Preferred text of a message: its plain part, else its HTML part rendered as text."""
+def preferred_part(parts: Column) -> Column:
+    """The part whose text stands for a message: its first plain one, else its first in HTML."""
 
     def first(media_type: str) -> Column:
         match = F.filter(parts, lambda p: (p["media_type"] == media_type) & p["content"].isNotNull())
         return F.try_element_at(match, F.lit(1))
 
+    return F.coalesce(first(V.TEXT_PLAIN), first(V.TEXT_HTML))
+
+
+def mail_text(parts: Column) -> Column:
+    """Preferred text of a message by its declared charset; HTML is rendered."""
     def text(part: Column) -> Column:
-        return let(let(part["content"], decode_text), lambda t: F.when(
-            part["media_type"] == V.TEXT_HTML, html_to_text(t)).otherwise(t))
+        decoded = let(declared_text(part["content"], part["charset"]), lambda known: decode_text(part["content"], known))
+        return let(decoded, lambda t: F.when(part["media_type"] == V.TEXT_HTML, html_to_text(t)).otherwise(t))
 
-    chosen = let(F.coalesce(first(V.TEXT_PLAIN), first(V.TEXT_HTML)), text)
-    return F.rtrim(F.coalesce(chosen, F.lit("")), F.lit("\n"))
+    return F.rtrim(F.coalesce(let(preferred_part(parts), text), F.lit("")), F.lit("\n"))
 
 
 def message_fields(content: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
-from docspark.functions.html import html_charset, html_language, html_meta, html_title
+from docspark.functions.html import html_attribute, html_charset, html_language, html_meta, html_title
 from docspark.functions.mail import ENTRIES, first_entries, message_fields
 from docspark.functions.text import let, unescape_entities
 
@@ -19,11 +19,6 @@ def entries_of(fields: list[tuple[str, Column]]) -> Column:
     return F.filter(entries, lambda e: e["value"].isNotNull())
 
 
-def field_map(fields: list[tuple[str, Column]]) -> Column:
-    """Map of the fields that have a value."""
-    return F.map_from_entries(entries_of(fields))
-
-
 def merge_entries(*parts: Column) -> Column:
     """Map of all entries; the first value of a repeated key wins."""
     empty = F.array().cast(ENTRIES)
@@ -69,6 +64,12 @@ def package_fields(core_xml: Column, app_xml: Column) -> Column:
     return F.filter(both, lambda e: e["value"].isNotNull())
 
 
+def book_fields(opf: Column) -> Column:
+    """What a book's package document says: the Dublin Core fields and its version."""
+    version = let(F.regexp_extract(opf, r"<(?:\w+:)?package\s[^>]*>", 0), lambda tag: html_attribute(tag, "version"))
+    return F.concat(package_fields(opf, F.lit(None).cast("string")), entries_of([("epub:version", version)]))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "\\'") + "'"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     Catalyst inlines column expressions, and shares repeated ones neither inside lambdas nor
     across CASE branches; nesting would repeat a costly value exponentially.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    # A body with a second, optional argument must not be given the index.
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
 
 
 def lookup(table: dict[str, str], key: Column) -> Column:
@@ -39,12 +40,18 @@ def after(value: Column, count: int) -> Column:
     return F.substring(value, count + 1, 2147483647)
 
 
-def text_encoding(content: Column) -> Column:
-    """Name of the charset: byte order mark first, then valid UTF-8, else Latin-1."""
+def text_encoding(content: Column, charset: Column | None = None) -> Column:
+    """Name of the charset: byte order mark first, then the declared one, then valid UTF-8, else Latin-1.
+
+    ``charset`` is a declared charset by its ``charset_name``, NULL where none is known.
+    """
+    named = F.lit(None).cast("string") if charset is None else F.upper(charset)
     return (
         F.when(content.isNull(), None)
         .when(_starts(content, UTF16_LE_BOM), "UTF-16LE")
         .when(_starts(content, UTF16_BE_BOM), "UTF-16BE")
+        .when(_starts(content, UTF8_BOM) & F.is_valid_utf8(content.cast("string")), "UTF-8")
+        .when(named.isNotNull(), named)
         .when(F.is_valid_utf8(content.cast("string")), "UTF-8")
         .otherwise("ISO-8859-1")
     )
@@ -54,14 +61,17 @@ def normalize_newlines(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def decode_text(content: Column) -> Column:
-    """Decode bytes by :func:`text_encoding`, drop the mark and normalise line ends."""
+def decode_text(content: Column, declared: Column | None = None) -> Column:
+    """Decode bytes by :func:`text_encoding`, drop the mark and normalise line ends.
+
+    ``declared`` is the text by the declared charset, NULL where none is known.
+    """
     utf8 = F.regexp_replace(content.cast("string"), "^\uFEFF", "")
-    text = (
-        F.when(_starts(content, UTF16_LE_BOM) | _starts(content, UTF16_BE_BOM), _utf16(content))
-        .when(F.is_valid_utf8(content.cast("string")), utf8)
-        .otherwise(F.decode(content, "ISO-8859-1"))
-    )
+    valid = F.is_valid_utf8(content.cast("string"))
+    text = F.when(_starts(content, UTF16_LE_BOM) | _starts(content, UTF16_BE_BOM), _utf16(content))
+    if declared is not None:
+        text = text.when(_starts(content, UTF8_BOM) & valid, utf8).when(declared.isNotNull(), declared)
+    text = text.when(valid, utf8).otherwise(F.decode(content, "ISO-8859-1"))
     return normalize_newlines(text)
 
 
@@ -97,11 +107,12 @@ def _code_point(number: Column) -> Column:
 def _entity(name: Column) -> Column:
     common = ["amp", "lt", "gt", "quot", "nbsp"]
     table = {name: chr(code) for name, code in name2codepoint.items()}
+    longer = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
     # Frequent names first: the search runs through the table.
-    named = lookup({n: table[n] for n in common} | {"apos": "'"} | table, name)
+    named = lookup({n: table[n] for n in common} | {"apos": "'"} | table | longer, name)
     # Longer digit strings cannot be code points; the guard keeps the casts from overflowing.
-    decimal = F.regexp_extract(name, r"^#([0-9]{1,7})$", 1)
-    hexadecimal = F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1)
+    decimal = F.regexp_extract(name, r"^#0*([0-9]{1,7})$", 1)
+    hexadecimal = F.regexp_extract(name, r"^#[xX]0*([0-9A-Fa-f]{1,6})$", 1)
     return (
         F.when(~F.startswith(name, F.lit("#")), named)
         .when(decimal != "", _code_point(decimal.cast("long")))
@@ -113,10 +124,9 @@ def unescape_entities(text: Column) -> Column:
     """Decode character references once, in one pass over the pieces between ampersands."""
 
     def piece(value: Column, index: Column) -> Column:
-        # No name is longer than 8 letters; the head keeps the search off the text behind it.
-        head = F.substring(value, 1, 10)
-        name = F.substring_index(head, ";", 1)
-        char = F.when(F.contains(head, F.lit(";")), _entity(name))
+        # A reference is a name or a number of any length; the pattern ends at the first other character.
+        name = F.regexp_extract(value, r"^(#[xX]?[0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        char = F.when(name != "", _entity(name))
         decoded = F.concat(char, F.substring(value, F.length(name) + 2, F.length(value)))
         return F.when(index == 0, value).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), value)))
 

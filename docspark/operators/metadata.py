@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
 from docspark.functions import metadata as M
-from docspark.functions.text import decode_text, let, text_encoding
+from docspark.functions.charsets import charset_name, markup_charset
+from docspark.functions.text import decode_text, text_encoding
+from docspark.operators.parsing import markup_text, package_document_path, part_named
 
 
 def raw_metadata_column(media_type: Column, content: Column, text: Column, name: Column | None = None,
@@ -18,13 +20,15 @@ def raw_metadata_column(media_type: Column, content: Column, text: Column, name:
     """Raw map: what the document says about itself, then what the file says about it."""
     missing = F.lit(None).cast("string")
     is_text = F.startswith(media_type, F.lit("text/")) | media_type.isin(V.XML, V.XHTML)
-    encoding = F.when(is_text, text_encoding(content))
+    is_markup = F.endswith(media_type, F.lit("xml")) | media_type.isin(V.TEXT_HTML)
+    encoding = F.when(is_text, text_encoding(content, charset_name(F.when(is_markup, markup_charset(content)))))
     own = F.when(media_type.isin(V.TEXT_HTML, V.XHTML), M.html_fields(text)).when(
         media_type == V.MESSAGE, M.mail_fields(content)
     )
     if parts is not None:
         own = own.when(media_type.isin(V.DOCX, V.XLSX, V.PPTX),
-                       M.package_fields(_part_text(parts, "docProps/core.xml"), _part_text(parts, "docProps/app.xml")))
+                       M.package_fields(part_named(parts, "docProps/core.xml"), part_named(parts, "docProps/app.xml")))
+        own = own.when(media_type == V.EPUB, M.book_fields(part_named(parts, package_document_path(parts))))
     file_entries = M.file_fields(
         missing if name is None else name, F.octet_length(content), media_type, encoding,
         missing if override is None else override,
@@ -36,17 +40,13 @@ def raw_metadata_column(media_type: Column, content: Column, text: Column, name:
     return M.merge_entries(own, file_entries, by)
 
 
-def _part_text(parts: Column, name: str) -> Column:
-    match = F.filter(parts, lambda p: p["name"] == name)
-    return let(F.try_element_at(match, F.lit(1))["content"], decode_text)
-
-
 def raw_metadata(df: DataFrame, media_type: str = "media_type", content: str = "content",
                  name: str | None = None, output: str = "raw_metadata") -> DataFrame:
     """Add the raw key → value map of each document."""
-    return df.withColumn("_text", decode_text(F.col(content))).withColumn(
-        output,
-        raw_metadata_column(F.col(media_type), F.col(content), F.col("_text"), F.col(name) if name else None),
+    kind = F.col(media_type)
+    markup = kind.isin(V.TEXT_HTML, V.XHTML)
+    return df.withColumn("_text", F.when(markup, markup_text(F.col(content)))).withColumn(
+        output, raw_metadata_column(kind, F.col(content), F.col("_text"), F.col(name) if name else None),
     ).drop("_text")
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
-from docspark.functions.html import html_to_text, xml_to_text
-from docspark.functions.mail import (header_map, mail_parts_with_body, mail_text)
+from docspark.functions.charsets import charset_name, declared_text, markup_charset
+from docspark.functions.html import html_attribute, html_to_text, xml_to_text
+from docspark.functions.mail import header_map, mail_parts_with_body, mail_text
 from docspark.functions.text import collapse_blank, decode_text, let, text_encoding, unescape_entities
 from docspark.functions.xhtml import to_xhtml
 from docspark.operators.errors import ERROR_TYPE, make_error
@@ -22,16 +23,29 @@ from docspark.operators.errors import ERROR_TYPE, make_error
 ColumnParser = Callable[[Column], Column]
 
 PACKAGE_TYPES = (V.DOCX, V.XLSX, V.PPTX, V.EPUB)
+WORKBOOK_RELATIONS = "xl/_rels/workbook.xml.rels"
 PARTS_TYPE = "array<struct<ord:int,name:string,content:binary>>"
 
 
-def parse_text(df: DataFrame, content: str = "content", output: str = "text") -> DataFrame:
-    """Decode text with charset detection and add its ``encoding``."""
-    return df.withColumn("encoding", text_encoding(F.col(content))).withColumn(output, decode_text(F.col(content)))
+def parse_text(df: DataFrame, content: str = "content", output: str = "text", charset: str | None = None) -> DataFrame:
+    """Decode text and add its ``encoding``: by its mark, else the declared ``charset`` column, else by detection."""
+    if charset is None:
+        return df.withColumn("encoding", text_encoding(F.col(content))).withColumn(output, decode_text(F.col(content)))
+    name = charset_name(F.col(charset))
+    return df.withColumn("encoding", text_encoding(F.col(content), name)).withColumn(
+        output, let(declared_text(F.col(content), name), lambda known: decode_text(F.col(content), known)))
+
+
+def markup_text(content: Column) -> Column:
+    """Text of a page or XML document by the charset that it declares itself."""
+    return let(let(charset_name(markup_charset(content)), lambda name: declared_text(content, name)),
+               lambda known: decode_text(content, known))
 
 
 def parse_html_text(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:
-    return df.withColumn(output, html_to_text(F.col(html)))
+    """Visible text of a page given as text, or as bytes in the charset that it declares."""
+    page = markup_text(F.col(html)) if dict(df.dtypes)[html] == "binary" else F.col(html)
+    return df.withColumn(output, html_to_text(page))
 
 
 def xml_is_malformed(xml: Column) -> Column:
@@ -79,7 +93,7 @@ def _read_parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text-bearing members of a ZIP package in the order of the archive; NULL when broken."""
 
     def wanted(name: str) -> bool:
-        return name.lower().endswith((".xml", ".xhtml", ".html", ".htm")) and not name.startswith("_rels/")
+        return name.lower().endswith((".xml", ".xhtml", ".html", ".htm", ".opf")) or name == WORKBOOK_RELATIONS
 
     def read(blob: bytes | None) -> list[dict] | None:
         if blob is None:
@@ -106,7 +120,7 @@ def _is_text_part(media_type: Column, name: Column) -> Column:
     return (
         F.when(media_type == V.DOCX, name.rlike(r"^word/(?:document|header\d*|footer\d*|footnotes|endnotes)\.xml$"))
         .when(media_type == V.PPTX, name.rlike(r"^ppt/(?:slides|notesSlides)/[^/]+\.xml$"))
-        .when(media_type == V.XLSX, name.rlike(r"^xl/(?:sharedStrings|worksheets/[^/]+)\.xml$"))
+        .when(media_type == V.XLSX, name.rlike(r"^xl/worksheets/[^/]+\.xml$"))
         .otherwise(name.rlike(r"(?i)\.x?html?$"))
     )
 
@@ -119,26 +133,152 @@ def _part_order(name: Column, position: Column) -> Column:
                     F.when(number != "", number.cast("int")).otherwise(position).alias("n"))
 
 
-def package_text(parts: Column, media_type: Column) -> Column:
-    """Text of a package: its text-bearing parts, in part order, stripped of tags."""
+def part_named(parts: Column, name: Column | str) -> Column:
+    """Text of one part, NULL where the package has none of that name."""
+    match = F.filter(parts, lambda p: p["name"] == name)
+    return let(F.try_element_at(match, F.lit(1))["content"], decode_text)
+
+
+def _tags(xml: Column, name: str) -> Column:
+    """Start tags of an element, whatever its prefix."""
+    return F.coalesce(F.regexp_extract_all(xml, F.lit(rf"<(?:\w+:)?{name}\s[^>]*>"), F.lit(0)), F.array().cast("array<string>"))
+
+
+def _path(folder: Column, target: Column) -> Column:
+    """Name of the member that ``target`` means, seen from a folder; ``..`` goes up, a leading slash means the root."""
+    whole = F.when(F.startswith(target, F.lit("/")), target).otherwise(F.concat(folder, target))
+
+    def step(kept: Column, name: Column) -> Column:
+        return F.when(name.isin("", "."), kept).when(name == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(
+            F.concat(kept, F.array(name)))
+
+    return F.array_join(F.aggregate(F.split(whole, "/"), F.array().cast("array<string>"), step), "/")
+
+
+NAMED_PARTS = "array<struct<title:string,name:string>>"
+
+
+def _sheets(parts: Column) -> Column:
+    """(title, member) of the sheets in the order of the workbook; without one, the sheets by number."""
+    def listed(book: Column, relations: Column) -> Column:
+        targets = F.transform(_tags(relations, "Relationship"), lambda t: F.struct(
+            html_attribute(t, "Id").alias("id"), html_attribute(t, "Target").alias("target")))
+
+        def member(tag: Column) -> Column:
+            key = html_attribute(tag, r"\w+:id")
+            found = F.try_element_at(F.filter(targets, lambda r: r["id"] == key), F.lit(1))["target"]
+            return F.struct(html_attribute(tag, "name").alias("title"), _path(F.lit("xl/"), found).alias("name"))
+
+        return F.filter(F.transform(_tags(book, "sheet"), member), lambda s: s["name"].isNotNull())
+
+    found = let(F.struct(part_named(parts, "xl/workbook.xml").alias("b"), part_named(parts, WORKBOOK_RELATIONS).alias("r")),
+                lambda x: listed(x["b"], x["r"]))
+    return let(found.cast(NAMED_PARTS), lambda s: F.when(F.size(s) > 0, s).otherwise(_in_order(parts, F.lit(V.XLSX))))
+
+
+def _in_order(parts: Column, media_type: Column) -> Column:
+    """(no title, member) of the parts that hold text, numbered ones by number."""
     chosen = F.filter(parts, lambda p: _is_text_part(media_type, p["name"]))
-    ordered = F.array_sort(F.transform(
-        chosen, lambda p: F.struct(_part_order(p["name"], p["ord"]).alias("key"), p["content"].alias("content"))
-    ))
-    texts = F.transform(ordered, lambda p: let(let(p["content"], decode_text), lambda x: _office_text(x, media_type)))
-    return F.array_join(F.filter(texts, lambda t: t != ""), "\n")
-
-
-def _office_text(xml: Column, media_type: Column) -> Column:
-    """Paragraphs and cells end lines, runs inside them join without a break."""
-    # Formatting white space between tags is no text; a raw spreadsheet value is a cell.
-    value_cells = F.regexp_replace(xml, r'(?s)<c\s[^>]*t="s"[^>]*>.*?</c>', "")
-    source = F.when(media_type == V.XLSX, value_cells).otherwise(xml)
-    tidy = F.regexp_replace(source, r">\s*\n\s*<", "><")
-    broken = F.regexp_replace(tidy, r"</(?:w:p|a:p|si|c|row)>|<(?:w:br|a:br|w:cr)\s*/>", "\n")
+    ordered = F.array_sort(F.transform(chosen, lambda p: F.struct(
+        _part_order(p["name"], p["ord"]).alias("key"), p["name"].alias("name"))))
+    return F.transform(ordered, lambda p: F.struct(F.lit(None).cast("string").alias("title"), p["name"].alias("name"))).cast(NAMED_PARTS)
+
+
+def _spine(parts: Column) -> Column:
+    """(no title, member) of a book's chapters in reading order; without a package document, as they stand in the archive."""
+    def chapters(path: Column, opf: Column) -> Column:
+        folder = F.regexp_replace(path, r"[^/]*$", "")
+        items = F.transform(_tags(opf, "item"), lambda t: F.struct(
+            html_attribute(t, "id").alias("id"), _path(folder, F.try_url_decode(F.replace(html_attribute(t, "href"), F.lit("+"), F.lit("%2B")))).alias("name")))
+
+        def member(tag: Column) -> Column:
+            key = html_attribute(tag, "idref")
+            found = F.try_element_at(F.filter(items, lambda i: i["id"] == key), F.lit(1))["name"]
+            return F.struct(F.lit(None).cast("string").alias("title"), found.alias("name"))
+
+        return F.filter(F.transform(_tags(opf, "itemref"), member), lambda s: s["name"].isNotNull())
+
+    found = let(package_document_path(parts), lambda path: let(part_named(parts, path), lambda opf: chapters(path, opf)))
+    return let(found.cast(NAMED_PARTS), lambda s: F.when(F.size(s) > 0, s).otherwise(_in_order(parts, F.lit(V.EPUB))))
+
+
+def package_document_path(parts: Column) -> Column:
+    """Name of a book's package document: the one its container names, else the first."""
+    first = F.try_element_at(F.filter(parts, lambda p: p["name"].rlike(r"(?i)\.opf$")), F.lit(1))["name"]
+    named = F.try_element_at(_tags(part_named(parts, "META-INF/container.xml"), "rootfile"), F.lit(1))
+    return F.coalesce(let(named, lambda tag: html_attribute(tag, "full-path")), first)
+
+
+def _without(xml: Column, name: str) -> Column:
+    """XML without an element and all inside it, however deep elements of that name stand in each other."""
+    start, end = f"<{name}", f"</{name}>"
+    pieces = F.split(F.regexp_replace(xml, rf"<{name}(?:\s[^>]*)?/>", ""), rf"(?=<{name}[\s>])|(?<=</{name}>)")
+    state = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(held: Column, piece: Column) -> Column:
+        depth = held["depth"] + F.startswith(piece, F.lit(start)).cast("int")
+        kept = F.when(depth == 0, F.concat(held["kept"], F.array(piece))).otherwise(held["kept"])
+        # An end without a start changes nothing.
+        return F.struct(F.greatest(depth - F.endswith(piece, F.lit(end)).cast("int"), F.lit(0)).alias("depth"), kept.alias("kept"))
+
+    return let(xml, lambda x: F.when(F.contains(x, F.lit(start)), F.array_join(
+        F.aggregate(pieces, state, step, lambda held: held["kept"]), "")).otherwise(x))
+
+
+def package_text(parts: Column, media_type: Column) -> Column:
+    """Text of a package: its text-bearing parts in their order; sheets with their names, chapters as the book lists them."""
+    def text_of(shared: Column, chosen: Column) -> Column:
+        def part(p: Column) -> Column:
+            content = F.try_element_at(F.filter(parts, lambda x: x["name"] == p["name"]), F.lit(1))["content"]
+            page = let(content, markup_text)
+            text = let(page, lambda x: F.when(media_type == V.XLSX, _sheet_text(x, shared)).when(
+                media_type == V.EPUB, html_to_text(x)).otherwise(_office_text(x)))
+            return F.concat_ws("\n", F.nullif(p["title"], F.lit("")), F.nullif(text, F.lit("")))
+
+        return F.array_join(F.filter(F.transform(chosen, part), lambda t: t != ""), "\n")
+
+    shared = F.when(media_type == V.XLSX, let(part_named(parts, "xl/sharedStrings.xml"), _shared_strings))
+    chosen = F.when(media_type == V.XLSX, _sheets(parts)).when(media_type == V.EPUB, _spine(parts)).otherwise(_in_order(parts, media_type))
+    # Both are bound once, however many parts read them.
+    return F.when(parts.isNotNull(), let(F.struct(shared.alias("shared"), chosen.alias("chosen")), lambda x: text_of(x["shared"], x["chosen"])))
+
+
+def _runs_text(xml: Column) -> Column:
+    """The ``t`` elements of a string item joined; what spells how it is read does not count."""
+    runs = F.regexp_extract_all(F.regexp_replace(xml, r"(?s)<rPh\b.*?</rPh>", ""), F.lit(r"(?s)<(?:\w+:)?t(?:\s[^>]*)?>(.*?)</(?:\w+:)?t>"), F.lit(1))
+    return unescape_entities(F.array_join(runs, ""))
+
+
+def _shared_strings(xml: Column) -> Column:
+    """The strings of a workbook, by number."""
+    items = F.regexp_extract_all(xml, F.lit(r"(?s)<(?:\w+:)?si(?:\s[^>]*)?(?:/>|>.*?</(?:\w+:)?si>)"), F.lit(0))
+    return F.transform(items, _runs_text)
+
+
+def _sheet_text(xml: Column, shared: Column) -> Column:
+    """A line for each cell that holds something, row by row: a shared string by its number, other values as they are."""
+    cells = F.regexp_extract_all(xml, F.lit(r"(?s)<(?:\w+:)?c(?:\s[^>]*)?>.*?</(?:\w+:)?c>"), F.lit(0))
+
+    def value(cell: Column) -> Column:
+        kind = F.regexp_extract(cell, r"""^<(?:\w+:)?c\s[^>]*?\bt\s*=\s*["']([A-Za-z]+)""", 1)
+        raw = unescape_entities(F.regexp_extract(cell, r"(?s)<(?:\w+:)?v(?:\s[^>]*)?>(.*?)</(?:\w+:)?v>", 1))
+        number = raw.try_cast("int")
+        return (F.when(kind == "s", F.coalesce(F.get(shared, number), F.lit("")))
+                .when(kind == "inlineStr", _runs_text(cell))
+                .when(kind == "b", F.when(raw == "1", "TRUE").when(raw == "0", "FALSE").otherwise(raw)).otherwise(raw))
+
+    return collapse_blank(F.array_join(F.filter(F.transform(cells, value), lambda v: v != ""), "\n"))
+
+
+def _office_text(xml: Column) -> Column:
+    """Paragraphs end lines, runs inside them join without a break; field codes and deleted text are no text."""
+    hidden = F.regexp_replace(xml, r"(?s)<w:(instrText|delText|delInstrText)(?:\s[^>]*)?>.*?</w:\1>", "")
+    # Of two forms of the same content the first is read.
+    tidy = F.regexp_replace(_without(hidden, "mc:Fallback"), r">\s*\n\s*<", "><")
+    broken = F.regexp_replace(tidy, r"</(?:w:p|a:p)>|<(?:w:br|a:br|w:cr)\s*/>", "\n")
     broken = F.regexp_replace(broken, r"<w:tab\s*/>", "\t")
     office = F.regexp_replace(broken, r"(?s)<[a-zA-Z/!?][^>]*(?:>|\z)", "")
-    return F.when(media_type == V.EPUB, html_to_text(xml)).otherwise(collapse_blank(unescape_entities(office)))
+    return collapse_blank(unescape_entities(office))
 
 
 def parse_package(df: DataFrame, content: str = "content", media_type: str = "media_type",

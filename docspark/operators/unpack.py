@@ -218,6 +218,11 @@ def safe_name(name: Column) -> Column:
     return F.nullif(F.array_join(segments, "/"), F.lit(""))
 
 
+def _error_of(children: DataFrame) -> Column:
+    """The error column, or NULL for children that have none."""
+    return F.col("error") if "error" in children.columns else F.lit(None).cast(ERROR_TYPE)
+
+
 def embedded_name(children: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Add ``child_name`` and ``safe_name``: resource name, else relationship id, else ``embedded_<n>``.
 
@@ -230,17 +235,20 @@ def embedded_name(children: DataFrame, max_depth: int | None = None) -> DataFram
     have, if any, and do not count.
     """
     given = F.coalesce(F.nullif("name", F.lit("")), F.nullif("relationship_id", F.lit("")))
+    if "root_no" not in children.columns:
+        # Children from elsewhere are told apart by the id alone.
+        return embedded_name(children.withColumn("root_no", F.xxhash64("root_id")), max_depth).drop("root_no")
     named = children.withColumn("child_name", given)
     if max_depth == 1:
         # Parts without a name come from messages and pages, whose positions have no gaps.
         position = F.concat(F.lit("embedded_"), F.element_at("ord_path", 1).cast("string"))
         return _with_safe_name(named.withColumn(
-            "child_name", F.when(F.col("error").isNull(), F.coalesce("child_name", position)).otherwise(given)))
+            "child_name", F.when(_error_of(named).isNull(), F.coalesce("child_name", position)).otherwise(given)))
     return _with_safe_name(_number_unnamed(named))
 
 
 def _number_unnamed(named: DataFrame) -> DataFrame:
-    sound = named.filter(F.col("error").isNull())
+    sound = named.filter(_error_of(named).isNull())
     keys = sound.select("root_no", "ord_path", F.col("child_name").isNull().alias("unnamed")).withColumn(
         "block", (F.element_at("ord_path", 1) / BLOCK_SIZE).cast("int")
     )
@@ -261,7 +269,7 @@ def _number_unnamed(named: DataFrame) -> DataFrame:
         sound.filter(F.col("child_name").isNull()).join(numbers, ["root_no", "ord_path"])
         .withColumn("child_name", F.concat(F.lit("embedded_"), F.col("n").cast("string"))).drop("n")
     )
-    return named.filter(F.col("child_name").isNotNull() | F.col("error").isNotNull()).unionByName(fallback)
+    return named.filter(F.col("child_name").isNotNull() | _error_of(named).isNotNull()).unionByName(fallback)
 
 
 def _with_safe_name(named: DataFrame) -> DataFrame:

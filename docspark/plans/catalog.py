@@ -180,23 +180,25 @@ def detect_media_type(spark, sf_dir):
 
 @query
 def parse_text(spark, sf_dir):
-    """Each document in one of four charsets, by ``doc_id % 4``; Latin-1 where it can hold the text."""
-    text, kind = F.col("text"), F.col("doc_id") % 4
+    """Each document in one of eight charsets, by ``doc_id % 8``: detected ones, then declared ones."""
+    text, kind = F.col("text"), F.col("doc_id") % 8
     latin = text.rlike(r"^[\x00-\xFF]*$")
+    name, _, own = inputs.foreign(text, kind - 4)
     content = (
         F.when(kind == 1, F.concat(F.lit(b"\xef\xbb\xbf"), F.encode(text, "UTF-8")))
         .when(kind == 2, F.concat(F.lit(b"\xff\xfe"), F.encode(text, "UTF-16LE")))
         .when((kind == 3) & latin, F.encode(F.when(latin, text), "ISO-8859-1"))
+        .when(kind >= 4, own)
         .otherwise(F.encode(text, "UTF-8"))
     )
-    docs = _documents(spark, sf_dir).select("doc_id", content.alias("content"))
-    return parsing.parse_text(docs).select("doc_id", "encoding", "text")
+    docs = _documents(spark, sf_dir).select("doc_id", content.alias("content"), name.alias("charset"))
+    return parsing.parse_text(docs, charset="charset").select("doc_id", "encoding", "text")
 
 
 @query
 def parse_html_text(spark, sf_dir):
-    pages = _pages(spark, sf_dir).select("page_id", "html")
-    return parsing.parse_html_text(pages).select("page_id", html_title(F.col("html")).alias("title"), "text")
+    pages = inputs.page_files(spark, sf_dir).withColumn("html", parsing.markup_text(F.col("content")))
+    return parsing.parse_html_text(pages, "content").select("page_id", html_title(F.col("html")).alias("title"), "text")
 
 
 @query
@@ -211,7 +213,7 @@ def parse_xml(spark, sf_dir):
 
 @query
 def parse_message(spark, sf_dir):
-    parsed = parsing.parse_message(inputs.messages(spark, sf_dir))
+    parsed = parsing.parse_message(inputs.messages(spark, sf_dir, charsets=True))
     headers = {"subject": "Subject", "sender": "From", "recipient": "To", "copy": "Cc"}
     return parsed.select(
         "msg_id", *[F.try_element_at("headers", F.lit(name)).alias(alias) for alias, name in headers.items()],
@@ -264,7 +266,7 @@ def parse_strict(spark, sf_dir):
 
 @query
 def raw_metadata(spark, sf_dir):
-    typed = media_types.detect_media_type(_page_files(spark, sf_dir), name="path")
+    typed = media_types.detect_media_type(inputs.page_files(spark, sf_dir), name="path")
     raw = metadata.raw_metadata(typed, name="path")
 
     def value(key: str) -> Column:

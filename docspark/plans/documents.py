@@ -18,7 +18,7 @@ from docspark.operators.language import with_language
 from docspark.operators.media_types import Detector, media_type_column
 from docspark.operators.metadata import raw_metadata_column
 from docspark.operators.unpack import describe_embedded, embedded_name, unpack_documents, unpack_result
-from docspark.operators.parsing import (ColumnParser, PACKAGE_TYPES, apply_custom_parsers, package_parts,
+from docspark.operators.parsing import (ColumnParser, PACKAGE_TYPES, apply_custom_parsers, markup_text, package_parts,
                                         package_text, xml_is_malformed)
 from docspark.session import materialize
 
@@ -56,7 +56,9 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     )
     kind = F.col("media_type")
     parsed_as_text = _is_textual(kind) | kind.isin(V.XML, V.XHTML) | F.endswith(kind, F.lit("+xml"))
-    docs = docs.withColumn("_text", F.when(parsed_as_text, decode_text(F.col("_bytes"))))
+    marked_up = kind.isin(V.XML, *HTML_TYPES) | F.endswith(kind, F.lit("+xml"))
+    decoded = F.when(marked_up, markup_text(F.col("_bytes"))).otherwise(decode_text(F.col("_bytes")))
+    docs = docs.withColumn("_text", F.when(parsed_as_text, decoded))
     docs = docs.withColumn("_mail", F.when(kind == V.MESSAGE, mail_parts_with_body(F.col("_bytes"))))
     docs = docs.withColumn("_parts", package_parts(F.col("_bytes"), kind))
     parts = F.col("_parts")

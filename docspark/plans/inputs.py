@@ -120,19 +120,49 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Declared charsets, and letters of each that stand for a, e and o.
+CHARSETS = [("windows-1251", "щжй"), ("ISO-8859-2", "šžč"), ("windows-1252", "€’ß"), ("Shift_JIS", "あ漢カ")]
+
+
+def foreign(text: Column, number: Column) -> tuple[Column, Column, Column]:
+    """(charset, text, bytes) of a text in the charset of that number: its ASCII part with letters of the charset."""
+    ascii_part = F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    name, plain, content = F, F, F
+    for k, (charset, letters) in enumerate(CHARSETS):
+        value = F.translate(ascii_part, "aeo", letters)
+        name, plain = name.when(number == k, charset), plain.when(number == k, value)
+        content = content.when(number == k, F.encode(value, charset))
+    return name.otherwise(None), plain.otherwise(None), content.otherwise(None)
+
+
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a file: of five, one in UTF-8 as it is, the others in a charset that they declare.
+
+    Those start with the declaration, hold the ASCII part of the page, and end with a paragraph in the charset.
+    """
+    pages = table(spark, sf_dir, "pages")
+    name, said, content = foreign(F.lit("one more"), F.col("page_id") % 5 - 1)
+    start = F.concat(F.lit('<!DOCTYPE html><meta charset="'), name, F.lit('">'), F.regexp_replace("html", r"[^\x00-\x7F]", ""), F.lit("<p>"))
+    own = F.concat(F.encode(start, "UTF-8"), content, F.encode(F.lit("</p>"), "UTF-8"))
+    return pages.select("page_id", F.col("url").alias("path"),
+                        F.when(F.col("page_id") % 5 == 0, F.encode("html", "UTF-8")).otherwise(own).alias("content"))
+
+
 def _wrapped_base64(value: Column) -> Column:
     return F.regexp_replace(F.base64(value), r"\r\n", "\n")
 
 
-def _quoted_printable(text: Column) -> Column:
-    """Escape every byte of the text, with a soft line break after every 20 bytes."""
-    escaped = F.regexp_replace(F.hex(F.encode(text, "UTF-8")), "(..)", "=$1")
+def _quoted_printable(content: Column) -> Column:
+    """Escape every byte, with a soft line break after every 20 bytes."""
+    escaped = F.regexp_replace(F.hex(content), "(..)", "=$1")
     return F.regexp_replace(escaped, "((?:=..){20})", "$1=\n")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, charsets: bool = False) -> DataFrame:
     """Every conversation turn as a message: an alternative text and an attached copy.
 
+    With ``charsets`` the texts and subjects of four in five are in a charset that they declare.
+
     The text part is quoted-printable when ``conv_id % 3 = 0`` and base64 otherwise. The
     attachment has no file name when ``conv_id % 5 = 0``. One message per turn keeps the
     builder free of a group that a single long conversation could fill.
@@ -142,16 +172,21 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     quoted = F.col("conv_id") % 3 == 0
     unnamed = F.col("conv_id") % 5 == 0
+    number = F.col("conv_id") % 5 - 1 if charsets else F.lit(-1)
+    charset, _, own = foreign(text, number)
+    _, _, greeting = foreign(F.lit("one more"), number)
+    body = F.coalesce(own, F.encode(text, "UTF-8"))
+    word = F.concat(F.lit(" =?"), charset, F.lit("?B?"), F.base64(greeting), F.lit("?="))
     boundary = F.concat(F.lit("=_b"), conv)
     name = F.concat(F.col("role"), F.lit("-"), turn, F.lit(".txt"))
     eml = F.concat(
-        F.lit("MIME-Version: 1.0\nSubject: Conversation "), conv, F.lit(" turn "), turn,
+        F.lit("MIME-Version: 1.0\nSubject: Conversation "), conv, F.lit(" turn "), turn, F.coalesce(word, F.lit("")),
         F.lit("\nFrom: "), F.col("role"), F.lit(" <"), F.col("role"), F.lit("@example.com>\n"),
         F.lit("To: archive@example.com\nCc: copy"), conv, F.lit("@example.com\n"),
         F.lit('Content-Type: multipart/mixed;\n boundary="'), boundary, F.lit('"\n\nno MIME reader\n--'), boundary,
-        F.lit("\nContent-Type: text/plain; charset=UTF-8\nContent-Transfer-Encoding: "),
+        F.lit("\nContent-Type: text/plain; charset="), F.coalesce(charset, F.lit("UTF-8")), F.lit("\nContent-Transfer-Encoding: "),
         F.when(quoted, "quoted-printable").otherwise("base64"), F.lit("\n\n"),
-        F.when(quoted, _quoted_printable(text)).otherwise(_wrapped_base64(F.encode(text, "UTF-8"))),
+        F.when(quoted, _quoted_printable(body)).otherwise(_wrapped_base64(body)),
         F.lit("\n--"), boundary,
         F.lit("\nContent-Type: text/csv\nContent-Transfer-Encoding: base64\nContent-Disposition: attachment"),
         F.when(unnamed, "").otherwise(F.concat(F.lit('; filename="'), name, F.lit('"'))),
@@ -183,36 +218,55 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a word-processing package with text, core and application properties."""
+    """Every document as a package, by ``doc_id % 4``: text, workbook, slides or book.
+
+    A workbook has a line a row, as shared strings numbered from the last; a book's chapters stand in the archive the
+    wrong way round. All have properties.
+    """
     docs = table(spark, sf_dir, "documents")
     clean = F.regexp_replace("text", r"[\x00-\x08\x0B\x0C\x0D\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
-    paragraphs = F.array_join(
-        F.transform(F.split(escape_markup(clean), "\n"),
-                    lambda line: F.concat(F.lit("<w:p><w:r><w:t>"), line, F.lit("</w:t></w:r></w:p>"))), "")
-    document = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><w:document xmlns:w="w"><w:body>'), paragraphs,
-                        F.lit("</w:body></w:document>"))
-    core = F.concat(
-        F.lit('<cp:coreProperties xmlns:cp="c" xmlns:dc="d" xmlns:dcterms="t"><dc:title>Document '),
-        F.col("doc_id").cast("string"), F.lit("</dc:title><dc:creator>"), F.col("source"),
-        F.lit("</dc:creator><dc:language>"), F.col("lang"),
-        F.lit("</dc:language><dcterms:created>2020-01-01T00:00:00Z</dcterms:created></cp:coreProperties>"),
-    )
+    title = F.concat(F.lit("Document "), F.col("doc_id").cast("string"))
+    described = F.concat(F.lit("<dc:title>"), title, F.lit("</dc:title><dc:creator>"), F.col("source"), F.lit("</dc:creator><dc:language>"),
+                         F.col("lang"), F.lit("</dc:language>"))
     words = F.when(F.col("doc_id") % 10 == 0, F.lit(0)).otherwise(F.col("n_chars"))
     app = F.concat(F.lit("<Properties><Words>"), words.cast("string"), F.lit("</Words></Properties>"))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        types = b'<?xml version="1.0"?><Types></Types>'
         for batch in batches:
-            blobs = [
-                _zip([("[Content_Types].xml", types), ("word/document.xml", d.encode()),
-                      ("docProps/core.xml", c.encode()), ("docProps/app.xml", a.encode())])
-                for d, c, a in zip(batch["document"], batch["core"], batch["app"])
-            ]
+            blobs = [_package(i % 4, i, x or "", d, a) for i, x, d, a in zip(batch["doc_id"], batch["body"], batch["described"], batch["app"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "content": blobs})
 
-    return docs.select("doc_id", document.alias("document"), core.alias("core"), app.alias("app")).mapInPandas(
-        build, "doc_id bigint, content binary"
-    )
+    return docs.select("doc_id", escape_markup(clean).alias("body"), F.coalesce(described, F.lit("")).alias("described"),
+                       F.coalesce(app, F.lit("")).alias("app")).mapInPandas(build, "doc_id bigint, content binary")
+
+
+def _package(kind: int, number: int, body: str, described: str, app: str) -> bytes:
+    head = '<?xml version="1.0" encoding="UTF-8"?>'
+    lines = body.split("\n")
+    if kind == 3:
+        opf = (f'{head}<package xmlns:dc="d" version="3.0"><metadata>{described}</metadata><manifest><item id="a" href="a.xhtml"/>'
+               '<item id="z" href="z.xhtml"/></manifest><spine><itemref idref="z"/><itemref idref="a"/></spine></package>')
+        members = [("mimetype", "application/epub+zip"), ("META-INF/container.xml", '<container><rootfile full-path="b/c.opf"/></container>'),
+                   ("b/c.opf", opf), ("b/a.xhtml", f"<html><body><p>End of {number}</p></body></html>"),
+                   ("b/z.xhtml", f"<html><body><p>{body}</p></body></html>")]
+        return _zip([(n, t.encode()) for n, t in members], stored=True)
+    core = f'<cp:coreProperties xmlns:cp="c" xmlns:dc="d" xmlns:dcterms="t">{described}<dcterms:created>2020-01-01T00:00:00Z</dcterms:created></cp:coreProperties>'
+    if kind == 0:
+        paragraphs = "".join(f"<w:p><w:r><w:t>{x}</w:t></w:r></w:p>" for x in lines)
+        own = [("word/document.xml", f'{head}<w:document xmlns:w="w"><w:body>{paragraphs}</w:body></w:document>')]
+    elif kind == 1:
+        rows = "".join(f'<row r="{i + 1}"><c r="A{i + 1}" t="s"><v>{len(lines) - 1 - i}</v></c></row>' for i in range(len(lines)))
+        strings = "".join(f"<si><t>{x}</t></si>" for x in reversed(lines))
+        own = [("xl/workbook.xml", f'{head}<workbook><sheets><sheet name="Lines" sheetId="1" r:id="r1"/></sheets></workbook>'),
+               ("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet7.xml"/></Relationships>'),
+               ("xl/sharedStrings.xml", f"{head}<sst>{strings}</sst>"),
+               ("xl/worksheets/sheet7.xml", f"{head}<worksheet><sheetData>{rows}</sheetData></worksheet>")]
+    else:
+        slide = "".join(f"<a:p><a:r><a:t>{x}</a:t></a:r></a:p>" for x in lines)
+        own = [("ppt/presentation.xml", "<p/>"), ("ppt/slides/slide2.xml", f"<p:sld><a:p><a:r><a:t>End of {number}</a:t></a:r></a:p></p:sld>"),
+               ("ppt/slides/slide1.xml", f"<p:sld>{slide}</p:sld>")]
+    members = [("[Content_Types].xml", '<?xml version="1.0"?><Types></Types>'), *own, ("docProps/core.xml", core), ("docProps/app.xml", app)]
+    return _zip([(n, t.encode("utf-8", "replace")) for n, t in members])
 
 
 def raw_maps(spark: SparkSession, sf_dir: str) -> DataFrame:

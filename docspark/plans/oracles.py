@@ -91,6 +91,23 @@ TITLE = ("nullif(trim(" + _entities(r"regexp_replace(regexp_extract(html, '(?is)
                                     r"'\s+', ' ', 'g')") + "), '')")
 LANGUAGE = r"""nullif(regexp_extract(html, '(?is)<html\s[^>]*lang\s*=\s*"([^"]*)"', 1), '')"""
 
+# Letters that stand for a, e and o in four charsets, and the charsets' names.
+LETTERS = {"windows-1251": "щжй", "ISO-8859-2": "šžč", "windows-1252": "€’ß", "Shift_JIS": "あ漢カ"}
+
+
+def _foreign(text: str, number: str) -> str:
+    ascii_part = rf"regexp_replace({text}, '[^\x00-\x7F]', '', 'g')"
+    cases = " ".join(f"WHEN {k} THEN translate({ascii_part}, 'aeo', '{v}')" for k, v in enumerate(LETTERS.values()))
+    return f"CASE {number} {cases} END"
+
+
+CHARSET_OF = "CASE {0} " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(LETTERS)) + " END"
+
+# Pages as files: four of five start with a declared charset and end with a paragraph in it.
+DECLARED_PAGES = rf"""declared AS (SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN html ELSE
+  '<!DOCTYPE html><meta charset="' || {CHARSET_OF.format('page_id % 5 - 1')} || '">' || regexp_replace(html, '[^\x00-\x7F]', '', 'g')
+  || '<p>' || {_foreign("'one more'", 'page_id % 5 - 1')} || '</p>' END AS html FROM pages)"""
+
 XML_CLEAN = (r"regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g')")
 PACKAGE_CLEAN = (r"regexp_replace(text, '[\x00-\x08\x0B\x0C\x0D\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g')")
 
@@ -228,18 +245,25 @@ FROM found GROUP BY media_type""",
   CASE WHEN doc_id % 3 = 0 THEN 'application/x-given' END AS media_type_override FROM documents""",
     "detect_media_type": f"""SELECT doc_id, 'd/' || doc_id || {EXTENSION_BY_KIND} AS path, {TYPE_BY_KIND} AS media_type
   FROM documents UNION ALL SELECT page_id, url, 'text/html' FROM pages""",
-    "parse_text": rf"""SELECT doc_id, CASE WHEN doc_id % 4 = 2 THEN 'UTF-16LE'
-    WHEN doc_id % 4 = 3 AND NOT regexp_matches(text, '[^\x{{00}}-\x{{FF}}]') AND regexp_matches(text, '[^\x{{00}}-\x{{7F}}]')
-    THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, {NEWLINES.format("text")} AS text FROM documents""",
-    "parse_html_text": f"SELECT page_id, {TITLE} AS title, {_html_text('html')} AS text FROM pages",
+    "parse_text": rf"""SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 8 = 2 THEN 'UTF-16LE'
+    WHEN doc_id % 8 >= 4 THEN upper({CHARSET_OF.format('doc_id % 8 - 4')})
+    WHEN doc_id % 8 = 3 AND NOT regexp_matches(text, '[^\x{{00}}-\x{{FF}}]') AND regexp_matches(text, '[^\x{{00}}-\x{{7F}}]')
+    THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding,
+  {NEWLINES.format("CASE WHEN doc_id % 8 < 4 THEN text ELSE " + _foreign("text", "doc_id % 8 - 4") + " END")} AS text FROM documents""",
+    "parse_html_text": f"WITH {DECLARED_PAGES} SELECT page_id, {TITLE} AS title, {_html_text(HTML)} AS text FROM declared",
     "parse_xml": f"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN
   {_collapse("chr(10) || lang || chr(10) || " + XML_CLEAN)} END AS text,
   CASE WHEN doc_id % 2 = 1 THEN 'PARSE_ERROR' END AS error_class FROM documents""",
-    "parse_message": rf"""SELECT {MSG_ID} AS msg_id, 'Conversation ' || conv_id || ' turn ' || turn AS subject,
+    "parse_message": rf"""SELECT {MSG_ID} AS msg_id, 'Conversation ' || conv_id || ' turn ' || turn
+  || coalesce(' ' || {_foreign("'one more'", "conv_id % 5 - 1")}, '') AS subject,
   role || ' <' || role || '@example.com>' AS sender, 'archive@example.com' AS recipient,
   'copy' || conv_id || '@example.com' AS copy, 2 AS parts,
-  regexp_replace({NEWLINES.format("text")}, '\n+\z', '') AS text FROM conversations""",
-    "parse_package": f"SELECT doc_id, '{DOCX}' AS media_type, {_collapse(PACKAGE_CLEAN)} AS text FROM documents",
+  regexp_replace({NEWLINES.format("CASE WHEN conv_id % 5 = 0 THEN text ELSE " + _foreign("text", "conv_id % 5 - 1") + " END")}, '\n+\z', '')
+  AS text FROM conversations""",
+    "parse_package": rf"""WITH t AS (SELECT doc_id, {_collapse(PACKAGE_CLEAN)} AS text FROM documents)
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '{DOCX}' WHEN 1 THEN '{XLSX}' WHEN 2 THEN '{PPTX}' ELSE 'application/epub+zip' END AS media_type,
+  CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN concat_ws(chr(10), 'Lines', nullif(text, ''))
+    ELSE concat_ws(chr(10), nullif(text, ''), 'End of ' || doc_id) END AS text FROM t""",
     "render_content": rf"""WITH t AS (SELECT page_id, url, {TITLE} AS title, {_html_text('html')} AS text FROM pages)
 SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><html xmlns="http://www.w3.org/1999/xhtml">' || chr(10) || '<head>'
   || chr(10) || '<meta name="Content-Type" content="text/html"/>' || chr(10) || '<meta name="resourceName" content="'
@@ -254,8 +278,12 @@ SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><html xmlns="http://www.w
     "parse_strict": PARSED_PAGES,
     "read_files": "SELECT name || '.parquet' AS name, true AS has_content FROM (VALUES " + ", ".join(
         f"('{t}')" for t in TABLES) + ") AS t(name)",
-    "raw_metadata": f"""SELECT page_id, url AS resource_name, CAST(strlen(html) AS VARCHAR) AS content_length,
-  'text/html' AS content_type, 'UTF-8' AS content_encoding, {TITLE} AS title, {LANGUAGE} AS language FROM pages""",
+    "raw_metadata": f"""WITH {DECLARED_PAGES}, lengths AS (
+  SELECT page_id, CASE page_id % 5 WHEN 0 THEN strlen(html)
+    WHEN 4 THEN length(html) + 4 ELSE length(html) END AS n FROM declared)
+SELECT page_id, url AS resource_name, CAST(n AS VARCHAR) AS content_length,
+  'text/html' AS content_type, CASE WHEN page_id % 5 = 0 THEN 'UTF-8' ELSE upper({CHARSET_OF.format('page_id % 5 - 1')}) END AS content_encoding,
+  {TITLE} AS title, {LANGUAGE} AS language FROM declared JOIN lengths USING (page_id)""",
     "normalize_metadata": f"""SELECT doc_id, CASE WHEN doc_id % 6 <> 0 THEN 'Title ' || doc_id END AS title,
   {WORD_COUNT} AS word_count, CASE WHEN doc_id % 6 = 3 THEN 'true' ELSE 'false' END AS is_encrypted,
   source AS creator, '2020-01-01T00:00:00Z' AS created, '2020-01-01T00:00:00Z' AS modified,

@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.session.timeZone": "UTC",
+    # decode() knows all charsets of the JVM, and puts a replacement for bytes that are none of theirs.
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
 }
 
 # A broadcast side may hold at most this many rows; beyond it the join is left to shuffle.

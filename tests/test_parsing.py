@@ -232,3 +232,109 @@ def test_types_without_a_parser_say_so(spark):
     df = spark.createDataFrame([("a.pdf", b"%PDF-1.4"), ("a.txt", b"x")], "path string, content binary")
     by = {r["path"]: r["raw_metadata"]["X-TIKA:Parsed-By"] for r in parse_documents(df).collect()}
     assert by == {"a.pdf": "EmptyParser", "a.txt": "DefaultParser"}
+
+
+RUSSIAN, JAPANESE, CZECH = "Привет, мир", "日本語テキスト", "žluťoučký kůň"
+CHARSETS = [
+    (RUSSIAN, "windows-1251", "cp1251"), (RUSSIAN, "KOI8-R", "koi8_r"), (RUSSIAN, "iso-8859-5", "iso8859_5"), (RUSSIAN, "cp866", "cp866"),
+    ("it’s 5€", "windows-1252", "cp1252"), (CZECH, "ISO-8859-2", "iso8859_2"), (CZECH, "latin2", "iso8859_2"), (CZECH, "cp1250", "cp1250"),
+    (JAPANESE, "Shift_JIS", "shift_jis"), (JAPANESE, "euc-jp", "euc_jp"), (JAPANESE, "iso-2022-jp", "iso2022_jp"),
+    ("中文文本", "GBK", "gbk"), ("中文", "big5", "big5"), ("한국어", "EUC-KR", "euc_kr"), ("plain é", "utf-8", "utf-8"), ("é", "nonsense", "latin-1"),
+]
+
+
+def test_declared_charsets_of_texts(spark):
+    df = spark.createDataFrame([(i, t.encode(c), n) for i, (t, n, c) in enumerate(CHARSETS)], "i int, content binary, charset string")
+    rows = P.parse_text(df, charset="charset").orderBy("i").collect()
+    assert [r["text"] for r in rows] == [t for t, _, _ in CHARSETS]
+    assert [r["encoding"] for r in rows][:6] == ["WINDOWS-1251", "KOI8-R", "ISO-8859-5", "IBM866", "WINDOWS-1252", "ISO-8859-2"]
+    # A mark beats what is declared, and bytes that the charset does not have become a mark.
+    marked = spark.createDataFrame([(b"\xef\xbb\xbf\xc3\xa9", "cp1251"), (b"a\xffb", "Shift_JIS")], "content binary, charset string")
+    assert [r["text"][:1] for r in P.parse_text(marked, charset="charset").collect()] == ["é", "a"]
+
+
+def test_declared_charsets_of_pages(spark):
+    pages = [(i, f'<html><head><meta http-equiv="Content-Type" content="text/html; charset={n}"><title>{t}</title></head><p>{t}</p>'.encode(c), t)
+             for i, (t, n, c) in enumerate(CHARSETS)]
+    pages += [(100 + i, f"<?xml version='1.0' encoding='{n}'?><html xmlns='http://www.w3.org/1999/xhtml'><title>{t}</title><p>{t}</p></html>".encode(c), t)
+              for i, (t, n, c) in enumerate(CHARSETS) if n != "nonsense"]
+    df = spark.createDataFrame([(i, p) for i, p, _ in pages], "i int, content binary")
+    rows = parse_documents(df, name=None, output_format="txt").orderBy("i").collect()
+    assert [(r["content"], r["metadata"]["title"]) for r in rows] == [(t, t) for _, _, t in pages]
+    texts = P.parse_html_text(df, "content").orderBy("i").collect()
+    assert [r["text"] for r in texts] == [t for _, _, t in pages]
+
+
+def test_declared_charsets_of_messages(spark):
+    import base64
+
+    mails = []
+    for i, (text, name, codec) in enumerate(CHARSETS[:14]):
+        word = f"=?{name}?B?{base64.b64encode(text.encode(codec)).decode()}?="
+        head = f"From: a@example.com\nSubject: {word}\nContent-Type: text/{'html' if i % 2 else 'plain'}; charset=\"{name}\"\n"
+        body = (f"<p>{text}</p>" if i % 2 else text).encode(codec)
+        mails.append(head.encode() + (b"Content-Transfer-Encoding: base64\n\n" + base64.b64encode(body) if i % 3 else b"\n" + body))
+    df = spark.createDataFrame(list(enumerate(mails)), "i int, content binary")
+    rows = P.parse_message(df, "content").orderBy("i").collect()
+    assert [(r["headers"]["Subject"], r["text"]) for r in rows] == [(t, t) for t, _, _ in CHARSETS[:14]]
+    parsed = parse_documents(df, name=None, output_format="txt").orderBy("i").collect()
+    assert [(r["metadata"]["title"], r["content"]) for r in parsed] == [(t, t) for t, _, _ in CHARSETS[:14]]
+
+
+MARKUP = [
+    ("<img alt='a > b'>x", "x"), ('<p title="<!-- no comment -->">a</p>b', "a\nb"), ("<a href=x?a=1&b='2'>t</a>", "t"),
+    ("<p class=it's>kept</p>", "kept"), ('<p title="open>text</p>more', "text\nmore"), ("a<!-- <p>x</p> -->b", "ab"),
+    ("<script>if (a<b) { '</p>' }</script>y", "y"), ("<a x=" + "=" * 5000 + ">z</a>", "z"), ("&#0000000065;&CounterClockwiseContourIntegral;&AMP;", "A∳&"),
+    ("<div data-x='</div><script>'>in</div>out", "in\nout"), ("&ampere; &am", "&ampere; &am"),
+]
+
+
+def test_quoted_values_and_long_references(spark):
+    rows = P.parse_html_text(text_frame(spark, [m for m, _ in MARKUP], "string", "html")).orderBy("i").collect()
+    assert [r["text"] for r in rows] == [t for _, t in MARKUP]
+
+
+def test_xml_text_of_sections_and_quoted_values(spark):
+    cases = [("<a><![CDATA[keep <!-- this --> too]]></a>", "keep <!-- this --> too"), ("<a x='1>2'>q</a>", "q"),
+             ("<!DOCTYPE x [<!ENTITY e 'y'>]><a>t</a>", "t"), ("<a><!-- <![CDATA[no]]> -->s</a>", "s"), ("<é>ü</é>", "ü")]
+    rows = P.parse_xml(text_frame(spark, [x for x, _ in cases], "string", "xml")).orderBy("i").collect()
+    assert [r["text"] for r in rows] == [t for _, t in cases]
+
+
+def test_cells_come_row_by_row_with_sheet_names(spark):
+    strings = "<sst><si><t>south</t></si><si><r><t>nor</t></r><r><t>th &amp; x</t></r><rPh><t>yomi</t></rPh></si><si/></sst>"
+    book = ('<workbook xmlns:r="r"><sheets><sheet name="Second &lt;1&gt;" sheetId="2" r:id="rId2"/>'
+            '<sheet name="First" sheetId="1" r:id="rId1"/></sheets></workbook>')
+    relations = ('<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/>'
+                 '<Relationship Target="/xl/worksheets/sheet2.xml" Id="rId2"/></Relationships>')
+    rows = "".join(f'<row r="{i}"><c r="A{i}" t="s"><v>{s}</v></c><c r="B{i}" s="1"><v>{n}</v></c></row>' for i, (s, n) in enumerate(
+        [(0, 4), (1, 5), (0, 6)], 1))
+    other = ('<row><c t="inlineStr"><is><t>in line</t></is></c><c t="b"><v>1</v></c><c r="C1"/><c t="str"><f>A1</f><v>made</v></c>'
+             '<c t="s"><v>99</v></c><c t="e"><v>#N/A</v></c></row>')
+    blob = package([("[Content_Types].xml", "<Types/>"), ("xl/workbook.xml", book), ("xl/_rels/workbook.xml.rels", relations),
+                    ("xl/sharedStrings.xml", strings), ("xl/worksheets/sheet1.xml", f"<worksheet><sheetData>{rows}</sheetData></worksheet>"),
+                    ("xl/worksheets/sheet2.xml", f"<worksheet><sheetData>{other}</sheetData></worksheet>")])
+    row = parse_documents(text_frame(spark, [blob]), name=None, output_format="txt").first()
+    assert row["content"].split("\n") == ["Second <1>", "in line", "TRUE", "made", "#N/A", "First", "south", "4", "north & x", "5", "south", "6"]
+
+
+def test_field_codes_deleted_and_doubled_text_is_left_out(spark):
+    inner = "<mc:AlternateContent><mc:Choice>c</mc:Choice><mc:Fallback>f</mc:Fallback></mc:AlternateContent>"
+    xml = ('<w:p><w:r><w:t>Page </w:t></w:r><w:r><w:instrText xml:space="preserve">HYPERLINK "http://x"</w:instrText></w:r><w:r><w:t>one</w:t></w:r>'
+           "<w:del><w:r><w:delText>gone</w:delText></w:r></w:del></w:p><w:p><mc:AlternateContent><mc:Choice>chosen</mc:Choice>"
+           f"<mc:Fallback>not {inner} this</mc:Fallback></mc:AlternateContent><mc:Fallback/> end</w:p>")
+    blob = package([("[Content_Types].xml", "<Types/>"), ("word/document.xml", xml)])
+    assert parse_documents(text_frame(spark, [blob]), name=None, output_format="txt").first()["content"] == "Page one\nchosen end"
+
+
+def test_books_are_read_along_their_spine(spark):
+    opf = ('<?xml version="1.0"?><package xmlns:dc="d" version="3.0"><metadata><dc:title>The &amp; Book</dc:title><dc:creator id="c">Ann</dc:creator>'
+           '<dc:language>en</dc:language></metadata><manifest><item id="a" href="text/one%20a.xhtml"/><item href="../two.xhtml" id="b"/>'
+           '<item id="n" href="nav.xhtml"/></manifest><spine><itemref idref="b"/><itemref idref="a" linear="yes"/><itemref idref="lost"/></spine></package>')
+    page = "<html><head><title>no</title></head><body><p>{}</p></body></html>"
+    blob = package([("mimetype", "application/epub+zip"), ("META-INF/container.xml", '<container><rootfiles><rootfile full-path="OEBPS/c.opf"/></rootfiles></container>'),
+                    ("other.opf", "<package/>"), ("OEBPS/c.opf", opf), ("OEBPS/text/one a.xhtml", page.format("first")), ("OEBPS/nav.xhtml", page.format("contents")),
+                    ("two.xhtml", page.format("second"))])
+    row = parse_documents(text_frame(spark, [blob]), name=None, output_format="txt").first()
+    assert row["media_type"] == "application/epub+zip" and row["content"] == "second\nfirst"
+    assert (row["metadata"]["title"], row["metadata"]["creator"], row["metadata"]["version"], row["metadata"]["language"]) == ("The & Book", "Ann", "3.0", "en")

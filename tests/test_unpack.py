@@ -125,3 +125,10 @@ def test_unpack_in_one_call(spark, tmp_path):
     assert [d["metadata"]["embedded_depth"] for d in rows[1]["embedded_documents"]] == [1, 2, 2, 1]
     assert rows[2]["root_metadata"]["resource_name"] == "b.txt" and rows[2]["embedded_documents"] == []
     assert write_embedded(embedded, f"{tmp_path}/out").count() == 4
+
+
+def test_data_uris_with_parameters_and_without_base64(spark):
+    page = (b"<html><img src='data:image/svg+xml;charset=utf-8,%3Csvg%20a=1+2%3E%ff'><img src=\"data:text/plain;charset=x;base64,aGk=\">"
+            b"<a href='data:text/html,a%zz'>z</a> see data:text/plain,not</html>")
+    assert [(r["media_type"], bytes(r["content"])) for r in children(spark, page)] == [
+        ("image/svg+xml", b"<svg a=1+2>\xff"), ("text/plain", b"hi"), ("text/html", b"a%zz")]
