@@ -31,15 +31,23 @@ def parse_text(df: DataFrame, content: str = "content", output: str = "text", ch
     """Decode text and add its ``encoding``: by its mark, else the declared ``charset`` column, else by detection."""
     if charset is None:
         return df.withColumn("encoding", text_encoding(F.col(content))).withColumn(output, decode_text(F.col(content)))
-    name = charset_name(F.col(charset))
-    return df.withColumn("encoding", text_encoding(F.col(content), name)).withColumn(
-        output, let(declared_text(F.col(content), name), lambda known: decode_text(F.col(content), known)))
+    return df.withColumn("encoding", text_encoding(F.col(content), charset_name(F.col(charset)))).withColumn(
+        output, plain_text(F.col(content), F.col(charset)))
 
 
-def markup_text(content: Column) -> Column:
-    """Text of a page or XML document by the charset that it declares itself."""
-    return let(let(charset_name(markup_charset(content)), lambda name: declared_text(content, name)),
-               lambda known: decode_text(content, known))
+def markup_text(content: Column, charset: Column | None = None) -> Column:
+    """Text of a page or XML document by the charset that it declares itself, else by one given with it."""
+    name = charset_name(markup_charset(content))
+    return _by_charset(content, name if charset is None else F.coalesce(name, charset_name(charset)))
+
+
+def plain_text(content: Column, charset: Column | None = None) -> Column:
+    """Text of bytes by a charset given with them, else by detection."""
+    return decode_text(content) if charset is None else _by_charset(content, charset_name(charset))
+
+
+def _by_charset(content: Column, name: Column) -> Column:
+    return let(let(name, lambda n: declared_text(content, n)), lambda known: decode_text(content, known))
 
 
 def parse_html_text(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from docspark.plans.documents import analyze_documents, parse_documents, parse_t
 from docspark.session import configure, fresh_path, materialize
 from docspark.sources.files import documents_from_table, read_files
 from docspark.sources.sinks import chunk_content, write_embedded, write_extracted
-from docspark.streaming.ingest import parse_stream, read_table_stream, write_stream
+from docspark.streaming.ingest import parse_stream, read_split, read_table_stream, write_stream, write_stream_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,21 @@ def parse_stream_query(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(out)
 
 
+@query
+def parse_stream_split(spark, sf_dir):
+    """Files of documents in two deliveries, read by one stream that is started twice from its checkpoint."""
+    files = inputs.files(spark, sf_dir).select("doc_id", "path", "content")
+    folder, out, checkpoint = (fresh_path(spark, n) for n in ("delivered", "split-stream", "split-checkpoint"))
+    for turn in (0, 1):
+        files.where(F.col("doc_id") % 2 == turn).write.mode("append").parquet(folder)
+        parsed = parse_stream(read_table_stream(spark, folder, files.schema, max_files_per_trigger=5), output_format="txt")
+        stream = parsed.select("doc_id", "media_type", "error")
+        write_stream_split(stream, out, checkpoint).awaitTermination()
+    good, bad = read_split(spark, out, stream.schema)
+    return good.select("doc_id", "media_type", F.lit("good").alias("state"), F.lit(None).cast("string").alias("error_class")) \
+        .unionByName(bad.select("doc_id", "media_type", F.lit("bad").alias("state"), "error.error_class"))
+
+
 # Media types
 
 
@@ -261,6 +276,15 @@ def parse_strict(spark, sf_dir):
     return _page_columns(parse_documents(_page_files(spark, sf_dir), strict=True))
 
 
+@query
+def parse_embedded(spark, sf_dir):
+    """Archives of pages and messages with attachments, with the text of what is embedded in them."""
+    archives = inputs.archives(spark, sf_dir).select(F.col("page_id").cast("string").alias("doc_id"), "content")
+    mails = inputs.messages(spark, sf_dir).select(F.col("msg_id").alias("doc_id"), F.encode("eml", "UTF-8").alias("content"))
+    parsed = parse_documents(archives.unionByName(mails), name=None, output_format="txt", embedded_depth=3)
+    return parsed.select("doc_id", "media_type", "text")
+
+
 # Metadata
 
 

@@ -11,15 +11,15 @@ from docspark import fixed_values as V
 from docspark.functions import metadata as M
 from docspark.functions.html import html_to_text, xml_to_text
 from docspark.functions.mail import mail_parts_with_body, mail_text
-from docspark.functions.text import decode_text
 from docspark.functions.xhtml import to_xhtml
 from docspark.operators.errors import ERROR_TYPE, input_error, make_error, raise_on_error
 from docspark.operators.language import with_language
 from docspark.operators.media_types import Detector, media_type_column
 from docspark.operators.metadata import raw_metadata_column
-from docspark.operators.unpack import describe_embedded, embedded_name, unpack_documents, unpack_result
+from docspark.operators.unpack import (describe_embedded, embedded_name, is_container, rolled_up_text, unpack_documents,
+                                       unpack_result)
 from docspark.operators.parsing import (ColumnParser, PACKAGE_TYPES, apply_custom_parsers, markup_text, package_parts,
-                                        package_text, xml_is_malformed)
+                                        package_text, plain_text, xml_is_malformed)
 from docspark.session import materialize
 
 HTML_TYPES = (V.TEXT_HTML, V.XHTML)
@@ -33,9 +33,13 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
                     hint: str | None = None, output_format: str = "xhtml", mode: str = "string",
                     custom_detectors: Sequence[Detector] = (),
                     custom_parsers: Mapping[str, ColumnParser] | None = None,
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = False, charset: str | None = None, embedded_depth: int = 0) -> DataFrame:
     """Add ``media_type, text, content, raw_metadata, metadata, error`` to documents.
 
+    ``charset`` names a column with declared charsets, for documents that declare none themselves. With
+    ``embedded_depth`` the text goes on with that of the documents embedded in it, down to that depth and in their
+    order; the parsed rows are then written once, and only the contents of containers beside them.
+
     One narrow pass: detect, dispatch by type, describe, render. The source bytes are
     replaced by the extracted content. Packages are opened in Python, which gets no bytes of
     other documents.
@@ -44,7 +48,10 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
         raise ValueError(f"{V.INVALID_ARGUMENT}: output mode {mode}")
     if mode != "string" and output_format not in V.OUTPUT_FORMATS:
         raise ValueError(f"{V.INVALID_OUTPUT_FORMAT}: {output_format}")
-    keep = [c for c in df.columns if c not in {content, name, hint}]
+    if embedded_depth:
+        out = _parse_with_embedded(df, embedded_depth, content, name, hint, output_format, custom_detectors, custom_parsers, charset)
+        return raise_on_error(out) if strict else out
+    keep = [c for c in df.columns if c not in {content, name, hint, charset}]
     missing = F.lit(None).cast("string")
     given = F.nullif(F.trim(F.col(hint)), F.lit("")) if hint else missing
     path = F.col(name) if name else missing
@@ -53,11 +60,13 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     docs = df.select(
         *keep, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"),
         detected.alias("media_type"), input_error(F.col(content), path if name else None).alias("_input_error"),
+        (F.col(charset) if charset else missing).alias("_charset"),
     )
     kind = F.col("media_type")
     parsed_as_text = _is_textual(kind) | kind.isin(V.XML, V.XHTML) | F.endswith(kind, F.lit("+xml"))
     marked_up = kind.isin(V.XML, *HTML_TYPES) | F.endswith(kind, F.lit("+xml"))
-    decoded = F.when(marked_up, markup_text(F.col("_bytes"))).otherwise(decode_text(F.col("_bytes")))
+    declared = F.col("_charset") if charset else None
+    decoded = F.when(marked_up, markup_text(F.col("_bytes"), declared)).otherwise(plain_text(F.col("_bytes"), declared))
     docs = docs.withColumn("_text", F.when(parsed_as_text, decoded))
     docs = docs.withColumn("_mail", F.when(kind == V.MESSAGE, mail_parts_with_body(F.col("_bytes"))))
     docs = docs.withColumn("_parts", package_parts(F.col("_bytes"), kind))
@@ -101,6 +110,31 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     return raise_on_error(out) if strict else out
 
 
+def _parse_with_embedded(df: DataFrame, depth: int, content: str, name: str | None, hint: str | None, output_format: str,
+                         custom_detectors: Sequence[Detector], custom_parsers: Mapping[str, ColumnParser] | None,
+                         charset: str | None) -> DataFrame:
+    numbered = df.withColumn("_root", F.monotonically_increasing_id()).withColumn("_source", F.col(content))
+    parsed = parse_documents(numbered, content, name, hint, "txt", "string", custom_detectors, custom_parsers, charset=charset)
+    opened = is_container(F.col("media_type")) & F.col("error").isNull()
+    parsed = materialize(parsed.withColumn("_source", F.when(opened, F.col("_source"))), "parsed")
+    children = unpack_documents(parsed.where("_source IS NOT NULL"), depth, "_root", "_source", name, "media_type", "_root")
+    # A body that stands for its message, what a page runs, and a book's chapters are in their parent's text already.
+    in_mail = F.col("parent_type").rlike("^message/rfc822$|^multipart/")
+    body = in_mail & F.col("name").isNull() & F.col("media_type").rlike("^text/(?:plain|html)$|^multipart/")
+    within = body | F.col("parent_type").isin(*HTML_TYPES, V.EPUB)
+    texts = parse_documents(
+        children.where(F.col("error").isNull() & ~within).select("root_no", "ord_path", "name", "media_type", "charset", "content"),
+        name="name", hint="media_type", output_format="txt", custom_parsers=custom_parsers, charset="charset")
+    rolled = rolled_up_text(texts).select(F.col("root_no").alias("_root"), F.col("text").alias("_embedded"))
+    joined = parsed.drop("_source").join(rolled, "_root", "left").drop("_root")
+    whole = F.when(F.col("text").isNull(), None).otherwise(F.concat_ws("\n", F.nullif("text", F.lit("")), F.col("_embedded")))
+    joined = joined.withColumn("text", whole).drop("_embedded")
+    rendered = F.col("text")
+    if output_format == "xhtml":
+        rendered = to_xhtml(F.col("text"), F.col("metadata.title"), F.col("raw_metadata"))
+    return joined.withColumn("content", rendered)
+
+
 def parse_to_string(df: DataFrame, output_format: str = "txt", **options) -> DataFrame:
     """Default output mode: the content in a column beside the metadata."""
     return parse_documents(df, output_format=output_format, mode="string", **options)
@@ -121,7 +155,8 @@ def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: s
     """(result, children): root metadata with lists of children, and the children's content.
 
     The children are the flat table to write out; the result lists them by name and
-    metadata, without content. A root without content has an empty list.
+    metadata, without content. A root without content has an empty list and a ``root_error``; roots of equal or
+    no id keep their own children.
     """
     missing = F.lit(None).cast("string")
     path = F.col(name) if name else missing
@@ -129,10 +164,16 @@ def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: s
     kind = media_type_column(F.col(content), path, given if hint else None)
     typed = df.select(
         id_col, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"), kind.alias("_kind"))
-    text = F.when(F.col("_kind").isin(*HTML_TYPES), decode_text(F.col("_bytes")))
-    raw = raw_metadata_column(F.col("_kind"), F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"))
-    roots = typed.withColumn("_text", text).select(id_col, raw.alias("raw_metadata"))
-    roots = roots.withColumn("metadata", M.normalized("raw_metadata"))
-    children = unpack_documents(df, max_depth, id_col, content, name, hint)
+    text = F.when(F.col("_kind").isin(*HTML_TYPES), markup_text(F.col("_bytes")))
+    parts = package_parts(F.col("_bytes"), F.col("_kind"))
+    typed = typed.withColumn("_text", text).withColumn("_parts", parts)
+    raw = raw_metadata_column(F.col("_kind"), F.col("_bytes"), F.col("_text"), F.col("_name"), F.col("_override"), F.col("_parts"))
+    # Written once: the numbers that tell roots apart hold for both results, and only containers keep their bytes.
+    roots = materialize(typed.select(
+        id_col, F.monotonically_increasing_id().alias("root_no"), "_name", "_kind", raw.alias("raw_metadata"),
+        F.when(is_container(F.col("_kind")), F.col("_bytes")).alias("_bytes"),
+        input_error(F.col("_bytes"), F.col("_name") if name else None).alias("root_error")), "roots")
+    children = unpack_documents(roots, max_depth, id_col, "_bytes", "_name", "_kind", "root_no")
     children = describe_embedded(embedded_name(children, max_depth))
-    return unpack_result(roots, children, id_col), children
+    described = roots.withColumn("metadata", M.normalized("raw_metadata"))
+    return unpack_result(described, children, id_col), children

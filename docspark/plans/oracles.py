@@ -276,6 +276,11 @@ SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><html xmlns="http://www.w
   CASE WHEN doc_id % 2 = 1 THEN '_bracket' ELSE 'DefaultParser' END AS parsed_by FROM documents""",
     "parse_documents": PARSED_PAGES,
     "parse_strict": PARSED_PAGES,
+    "parse_embedded": rf"""SELECT CAST(page_id AS VARCHAR) AS doc_id, 'application/zip' AS media_type,
+  concat_ws(chr(10), nullif({_html_text(HTML)}, ''), CASE WHEN page_id % 2 = 0 THEN 'url ' || url END,
+    CASE WHEN page_id % 4 = 0 THEN 'page ' || page_id END) AS text FROM pages
+UNION ALL SELECT {MSG_ID}, 'message/rfc822', concat_ws(chr(10), nullif(regexp_replace({NEWLINES.format("coalesce(text, '')")}, '\n+\z', ''), ''),
+  'copy,' || {NEWLINES.format("coalesce(text, '')")}) FROM conversations""",
     "read_files": "SELECT name || '.parquet' AS name, true AS has_content FROM (VALUES " + ", ".join(
         f"('{t}')" for t in TABLES) + ") AS t(name)",
     "raw_metadata": f"""WITH {DECLARED_PAGES}, lengths AS (
@@ -331,6 +336,9 @@ UNION ALL SELECT page_id, 1, 'embed1.zip', NULL FROM pages WHERE page_id % 2 = 0
   FROM named JOIN pages ON page_id = root_id GROUP BY root_id""",
     "write_embedded": f"""WITH {CHILDREN} SELECT root_id, depth, child_name AS rel_path,
   octet_length(content) AS content_length FROM named""",
+    "parse_stream_split": f"""SELECT doc_id, {TYPE_BY_KIND} AS media_type,
+  CASE WHEN doc_id % 20 = 15 THEN 'bad' ELSE 'good' END AS state,
+  CASE WHEN doc_id % 20 = 15 THEN 'PARSE_ERROR' END AS error_class FROM documents""",
     "split_errors": f"""SELECT doc_id, {TYPE_BY_KIND} AS media_type,
   CASE WHEN doc_id % 20 = 15 THEN 'bad' ELSE 'good' END AS state,
   CASE WHEN doc_id % 20 = 15 THEN 'PARSE_ERROR' END AS error_class FROM documents""",

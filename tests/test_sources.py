@@ -97,3 +97,25 @@ def test_errors_are_routed(spark):
     assert classes == {1: "INVALID_INPUT", 2: "INPUT_NOT_FOUND", 3: "INVALID_OUTPUT_FORMAT"}
     with pytest.raises(TypeError):
         E.validate_input(df, "i")
+
+
+def test_file_stream_keeps_bad_rows_apart_and_restarts(spark, tmp_path):
+    from docspark import parse_stream, read_files_stream, read_split, write_stream_split
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+
+    def run():
+        parsed = parse_stream(read_files_stream(spark, str(folder), max_files_per_trigger=2), output_format="txt")
+        write_stream_split(parsed, out, checkpoint).awaitTermination()
+        good, bad = read_split(spark, out, parsed.schema)
+        return sorted(r["content"] for r in good.collect()), [r["error"]["error_class"] for r in bad.collect()]
+
+    for i in range(3):
+        (folder / f"{i}.txt").write_text(f"text {i}")
+    (folder / "bad.xml").write_text("<?xml version='1.0'?><a>")
+    assert run() == (["text 0", "text 1", "text 2"], ["PARSE_ERROR"])
+    (folder / "late.txt").write_text("late")
+    assert run() == (["late", "text 0", "text 1", "text 2"], ["PARSE_ERROR"])
+    assert run() == (["late", "text 0", "text 1", "text 2"], ["PARSE_ERROR"])

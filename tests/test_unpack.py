@@ -132,3 +132,77 @@ def test_data_uris_with_parameters_and_without_base64(spark):
             b"<a href='data:text/html,a%zz'>z</a> see data:text/plain,not</html>")
     assert [(r["media_type"], bytes(r["content"])) for r in children(spark, page)] == [
         ("image/svg+xml", b"<svg a=1+2>\xff"), ("text/plain", b"hi"), ("text/html", b"a%zz")]
+
+
+def test_roots_of_equal_or_no_id_keep_their_own_children(spark):
+    from docspark import unpack
+
+    rows = [(1, "a.zip", archive(("a.txt", b"a"), ("b.txt", b"b"))), (1, "c.zip", archive(("c.txt", b"c"))), (None, "d.zip", archive(("d.txt", b"d"))),
+            (None, "e.txt", b"leaf"), (2, "n.zip", None), (3, "x.zip", b"PK\x03\x04broken")]
+    df = spark.createDataFrame(rows, "doc_id int, path string, content binary")
+    result, _ = unpack(df, max_depth=2, name="path")
+    found = {r["root_metadata"]["resource_name"]: (r["root_id"], [d["child_name"] for d in r["embedded_documents"]], len(r["embedded_errors"]),
+                                                   r["root_error"] and r["root_error"]["error_class"]) for r in result.collect()}
+    assert found == {"a.zip": (1, ["a.txt", "b.txt"], 0, None), "c.zip": (1, ["c.txt"], 0, None), "d.zip": (None, ["d.txt"], 0, None),
+                     "e.txt": (None, [], 0, None), "n.zip": (2, [], 0, "INVALID_INPUT"), "x.zip": (3, [], 1, None)}
+
+
+def test_package_metadata_of_roots(spark):
+    from docspark import unpack
+
+    blob = archive(("[Content_Types].xml", b"<Types/>"), ("word/document.xml", b"<w:p/>"), ("docProps/core.xml", b"<dc:title>T</dc:title>"),
+                   ("word/vbaProject.bin", b"\x00"), ("word/theme/theme1.xml", b"<a/>"))
+    result, embedded = unpack(spark.createDataFrame([(1, blob)], "doc_id int, content binary"))
+    assert result.first()["root_metadata"]["title"] == "T"
+    assert [r["child_name"] for r in embedded.collect()] == ["vbaProject.bin"]
+
+
+def test_many_children_deep_in_one_root_are_listed_over_tasks(spark):
+    from docspark import unpack
+
+    inner = archive(*[(f"m{i}.txt", b"%d" % i) for i in range(5000)])
+    df = spark.createDataFrame([(1, archive(("first.txt", b"1"), ("in.zip", inner), ("last.txt", b"2")))], "doc_id int, content binary")
+    result, children_ = unpack(df, max_depth=2)
+    rows = result.orderBy("block_no").collect()
+    assert [len(r["embedded_documents"]) for r in rows] == [1000] * 5 + [3]
+    names = [d["child_name"] for r in rows for d in r["embedded_documents"]]
+    assert names == ["first.txt", "in.zip", *[f"m{i}.txt" for i in range(5000)], "last.txt"]
+    ranks = U.ordinals(children_.select("root_no", "ord_path"))
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    # The only window over a root alone counts its ranges.
+    assert "range" in plan and {r["n"] for r in ranks.collect()} == set(range(5003))
+
+
+def test_text_of_embedded_documents(spark):
+    from docspark import parse_documents
+
+    mail = (b"From: a@example.com\nSubject: s\nContent-Type: multipart/mixed; boundary=b\n\n--b\nContent-Type: text/plain\n\nbody\n--b\n"
+            b"Content-Type: text/plain; charset=windows-1251; name=n.txt\nContent-Transfer-Encoding: base64\n\nz/Do4uXy\n--b\n"
+            b"Content-Type: application/zip; name=z.zip\nContent-Transfer-Encoding: base64\n\n" +
+            __import__("base64").b64encode(archive(("deep.txt", b"deep"))) + b"\n--b--\n")
+    docx = archive(("[Content_Types].xml", b"<Types/>"), ("word/document.xml", b"<w:p>own</w:p>"), ("word/embeddings/e.zip", archive(("x.txt", b"inside"))),
+                   ("word/media/i.png", b"\x89PNG\r\n\x1a\n"))
+    rows = [("a.zip", archive(("a.txt", b"one\r\ntwo"), ("dir/", b""), ("p.html", b"<html><script>no()</script><p>page</p></html>"), ("m.eml", mail), ("bad.xml", b"<?xml version='1.0'?><a>"))),
+            ("m.eml", mail), ("d.docx", docx), ("t.txt", b"plain"), ("n", None), ("broken.zip", b"PK\x03\x04x")]
+    df = spark.createDataFrame(rows, "path string, content binary")
+
+    def texts(depth):
+        parsed = parse_documents(df, output_format="txt", embedded_depth=depth)
+        return {r["path"]: r["content"] for r in parsed.collect()}
+
+    wanted = {"a.zip": "one\ntwo\npage\nbody\nПривет\ndeep", "m.eml": "body\nПривет\ndeep", "d.docx": "own\ninside", "t.txt": "plain", "n": None, "broken.zip": ""}
+    assert texts(9) == wanted
+    assert texts(1) == wanted | {"a.zip": "one\ntwo\npage\nbody", "m.eml": "body\nПривет", "d.docx": "own"}
+    assert texts(0)["a.zip"] == ""
+
+
+def test_rolled_up_texts_come_in_order_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(U, "BLOCK_SIZE", 3)
+    rows = [(1, [i], f"t{i}") for i in range(20)] + [(1, [4, j], f"u{j}") for j in range(11)] + [(1, [4, 2, 0], "v"), (2, [0, 0], "w"), (2, [0], None), (3, [1], "")]
+    df = spark.createDataFrame(rows, "root_no long, ord_path array<int>, text string").repartition(5)
+    got = {r["root_no"]: r["text"] for r in U.rolled_up_text(df).collect()}
+    under = [f"u{j}" for j in range(11)]
+    under.insert(3, "v")
+    wanted = [f"t{i}" for i in range(20)]
+    wanted[5:5] = under
+    assert got == {1: "\n".join(wanted), 2: "w"}
