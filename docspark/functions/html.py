@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docspark.functions.text import collapse_blank, let, unescape_entities
+from docspark.functions.text import ALL_NAMES, XML_NAMES, collapse_blank, let, unescape_entities
 
 # The rest of a tag behind its name. A quoted value may hold any character; where a quote stays open, or beyond
 # 256 values, the tag ends at the next '>'. Bounded and without backtracking, so odd input costs no stack.
@@ -44,7 +44,7 @@ def html_to_text(html: Column) -> Column:
     text = F.regexp_replace(html, INVISIBLE, "$1")
     text = F.regexp_replace(text, BLOCK_TAGS, "\n")
     text = F.regexp_replace(text, ANY_TAG, "")
-    return collapse_blank(unescape_entities(text))
+    return collapse_blank(unescape_entities(text, ALL_NAMES))
 
 
 def html_title(html: Column) -> Column:
@@ -124,7 +124,7 @@ def xml_to_text(xml: Column) -> Column:
     # A CDATA section is literal text: escape its markup so that the steps below keep it.
     text = let(text, lambda t: F.when(F.contains(t, F.lit("<![CDATA[")), _open_cdata(t)).otherwise(t))
     text = F.regexp_replace(text, XML_TAG, "\n")
-    return collapse_blank(unescape_entities(text))
+    return collapse_blank(unescape_entities(text, XML_NAMES))
 
 
 def _open_cdata(text: Column) -> Column:

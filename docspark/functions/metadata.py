@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docspark import fixed_values as V
 from docspark.functions.html import html_attribute, html_charset, html_language, html_meta, html_title
 from docspark.functions.mail import ENTRIES, first_entries, message_fields
-from docspark.functions.text import let, unescape_entities
+from docspark.functions.text import XML_NAMES, let, unescape_entities
 
 EMPTY_MAP = "map<string,string>"
 
@@ -56,7 +56,7 @@ def package_fields(core_xml: Column, app_xml: Column) -> Column:
             F.arrays_zip(F.lit([key for _, key in table]).alias("key"),
                          F.array(*[F.trim(F.regexp_extract(xml, p, 1)) for p in patterns]).alias("value")),
             lambda e: F.struct(e["key"].alias("key"),
-                               F.nullif(unescape_entities(e["value"]), F.lit("")).alias("value")))
+                               F.nullif(unescape_entities(e["value"], XML_NAMES), F.lit("")).alias("value")))
 
     empty = F.array().cast(ENTRIES)
     both = F.concat(F.coalesce(let(core_xml, fields(V.CORE_PROPERTIES)), empty),

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from docspark import fixed_values as V
 from docspark.functions.charsets import charset_name, declared_text, markup_charset
-from docspark.functions.html import html_attribute, html_to_text, xml_to_text
+from docspark.functions.html import html_to_text, xml_to_text
 from docspark.functions.mail import header_map, mail_parts_with_body, mail_text
-from docspark.functions.text import collapse_blank, decode_text, let, text_encoding, unescape_entities
+from docspark.functions.text import (UTF16_BE_BOM, UTF16_LE_BOM, XML_NAMES, collapse_blank, decode_bytes, decode_text, let, normalize_newlines,
+                                    text_encoding, unescape_entities)
 from docspark.functions.xhtml import to_xhtml
 from docspark.operators.errors import ERROR_TYPE, make_error
 
@@ -35,19 +36,16 @@ def parse_text(df: DataFrame, content: str = "content", output: str = "text", ch
         output, plain_text(F.col(content), F.col(charset)))
 
 
-def markup_text(content: Column, charset: Column | None = None) -> Column:
-    """Text of a page or XML document by the charset that it declares itself, else by one given with it."""
-    name = charset_name(markup_charset(content))
-    return _by_charset(content, name if charset is None else F.coalesce(name, charset_name(charset)))
+def markup_text(content: Column) -> Column:
+    """Text of a page or XML document by the charset that it declares itself."""
+    return plain_text(content, markup_charset(content))
 
 
 def plain_text(content: Column, charset: Column | None = None) -> Column:
     """Text of bytes by a charset given with them, else by detection."""
-    return decode_text(content) if charset is None else _by_charset(content, charset_name(charset))
-
-
-def _by_charset(content: Column, name: Column) -> Column:
-    return let(let(name, lambda n: declared_text(content, n)), lambda known: decode_text(content, known))
+    if charset is None:
+        return decode_text(content)
+    return let(let(charset_name(charset), lambda name: declared_text(content, name)), lambda known: decode_text(content, known))
 
 
 def parse_html_text(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:
@@ -103,13 +101,17 @@ def _read_parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def wanted(name: str) -> bool:
         return name.lower().endswith((".xml", ".xhtml", ".html", ".htm", ".opf")) or name == WORKBOOK_RELATIONS
 
+    def plain(data: bytes) -> bytes:
+        # Of the charsets that XML parts may be in, all but UTF-16 keep ASCII as it is.
+        return data.decode("utf-16", "replace").encode() if data[:2] in (UTF16_LE_BOM, UTF16_BE_BOM) else data
+
     def read(blob: bytes | None) -> list[dict] | None:
         if blob is None:
             return None
         try:
             with zipfile.ZipFile(io.BytesIO(blob)) as package:
                 return [
-                    {"ord": i, "name": info.filename, "content": package.read(info)}
+                    {"ord": i, "name": info.filename, "content": plain(package.read(info))}
                     for i, info in enumerate(package.infolist()) if wanted(info.filename)
                 ]
         except (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError, EOFError, ValueError, zlib.error):
@@ -144,7 +146,16 @@ def _part_order(name: Column, position: Column) -> Column:
 def part_named(parts: Column, name: Column | str) -> Column:
     """Text of one part, NULL where the package has none of that name."""
     match = F.filter(parts, lambda p: p["name"] == name)
-    return let(F.try_element_at(match, F.lit(1))["content"], decode_text)
+    return let(F.try_element_at(match, F.lit(1))["content"], _part_text)
+
+
+def _part_text(content: Column) -> Column:
+    return F.regexp_replace(normalize_newlines(decode_bytes(content)), "^\uFEFF", "")
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of an XML tag, NULL where it is absent or empty."""
+    return F.nullif(F.regexp_extract(tag, rf"""\s{name}\s*=\s*["']([^"']*)""", 1), F.lit(""))
 
 
 def _tags(xml: Column, name: str) -> Column:
@@ -167,25 +178,25 @@ NAMED_PARTS = "array<struct<title:string,name:string>>"
 
 
 def _sheets(parts: Column) -> Column:
-    """(title, member) of the sheets in the order of the workbook; without one, the sheets by number."""
+    """(title, member) of the sheets in the order of the workbook; none without one."""
     def listed(book: Column, relations: Column) -> Column:
         targets = F.transform(_tags(relations, "Relationship"), lambda t: F.struct(
-            html_attribute(t, "Id").alias("id"), html_attribute(t, "Target").alias("target")))
+            _attribute(t, "Id").alias("id"), _attribute(t, "Target").alias("target")))
 
         def member(tag: Column) -> Column:
-            key = html_attribute(tag, r"\w+:id")
+            key = _attribute(tag, r"\w+:id")
             found = F.try_element_at(F.filter(targets, lambda r: r["id"] == key), F.lit(1))["target"]
-            return F.struct(html_attribute(tag, "name").alias("title"), _path(F.lit("xl/"), found).alias("name"))
+            return F.struct(unescape_entities(_attribute(tag, "name"), XML_NAMES).alias("title"), _path(F.lit("xl/"), found).alias("name"))
 
         return F.filter(F.transform(_tags(book, "sheet"), member), lambda s: s["name"].isNotNull())
 
     found = let(F.struct(part_named(parts, "xl/workbook.xml").alias("b"), part_named(parts, WORKBOOK_RELATIONS).alias("r")),
                 lambda x: listed(x["b"], x["r"]))
-    return let(found.cast(NAMED_PARTS), lambda s: F.when(F.size(s) > 0, s).otherwise(_in_order(parts, F.lit(V.XLSX))))
+    return found.cast(NAMED_PARTS)
 
 
 def _in_order(parts: Column, media_type: Column) -> Column:
-    """(no title, member) of the parts that hold text, numbered ones by number."""
+    """(no title, member) of the parts that hold text, numbered ones by number, others as they stand in the archive."""
     chosen = F.filter(parts, lambda p: _is_text_part(media_type, p["name"]))
     ordered = F.array_sort(F.transform(chosen, lambda p: F.struct(
         _part_order(p["name"], p["ord"]).alias("key"), p["name"].alias("name"))))
@@ -193,28 +204,29 @@ def _in_order(parts: Column, media_type: Column) -> Column:
 
 
 def _spine(parts: Column) -> Column:
-    """(no title, member) of a book's chapters in reading order; without a package document, as they stand in the archive."""
+    """(no title, member) of a book's chapters in reading order; none without a package document."""
     def chapters(path: Column, opf: Column) -> Column:
         folder = F.regexp_replace(path, r"[^/]*$", "")
         items = F.transform(_tags(opf, "item"), lambda t: F.struct(
-            html_attribute(t, "id").alias("id"), _path(folder, F.try_url_decode(F.replace(html_attribute(t, "href"), F.lit("+"), F.lit("%2B")))).alias("name")))
+            _attribute(t, "id").alias("id"), _path(folder, F.try_url_decode(
+                F.replace(F.replace(_attribute(t, "href"), F.lit("&amp;"), F.lit("&")), F.lit("+"), F.lit("%2B")))).alias("name")))
 
         def member(tag: Column) -> Column:
-            key = html_attribute(tag, "idref")
+            key = _attribute(tag, "idref")
             found = F.try_element_at(F.filter(items, lambda i: i["id"] == key), F.lit(1))["name"]
             return F.struct(F.lit(None).cast("string").alias("title"), found.alias("name"))
 
         return F.filter(F.transform(_tags(opf, "itemref"), member), lambda s: s["name"].isNotNull())
 
     found = let(package_document_path(parts), lambda path: let(part_named(parts, path), lambda opf: chapters(path, opf)))
-    return let(found.cast(NAMED_PARTS), lambda s: F.when(F.size(s) > 0, s).otherwise(_in_order(parts, F.lit(V.EPUB))))
+    return found.cast(NAMED_PARTS)
 
 
 def package_document_path(parts: Column) -> Column:
     """Name of a book's package document: the one its container names, else the first."""
     first = F.try_element_at(F.filter(parts, lambda p: p["name"].rlike(r"(?i)\.opf$")), F.lit(1))["name"]
     named = F.try_element_at(_tags(part_named(parts, "META-INF/container.xml"), "rootfile"), F.lit(1))
-    return F.coalesce(let(named, lambda tag: html_attribute(tag, "full-path")), first)
+    return F.coalesce(_attribute(named, "full-path"), first)
 
 
 def _without(xml: Column, name: str) -> Column:
@@ -238,15 +250,15 @@ def package_text(parts: Column, media_type: Column) -> Column:
     def text_of(shared: Column, chosen: Column) -> Column:
         def part(p: Column) -> Column:
             content = F.try_element_at(F.filter(parts, lambda x: x["name"] == p["name"]), F.lit(1))["content"]
-            page = let(content, markup_text)
-            text = let(page, lambda x: F.when(media_type == V.XLSX, _sheet_text(x, shared)).when(
+            text = let(let(content, _part_text), lambda x: F.when(media_type == V.XLSX, _sheet_text(x, shared)).when(
                 media_type == V.EPUB, html_to_text(x)).otherwise(_office_text(x)))
             return F.concat_ws("\n", F.nullif(p["title"], F.lit("")), F.nullif(text, F.lit("")))
 
         return F.array_join(F.filter(F.transform(chosen, part), lambda t: t != ""), "\n")
 
     shared = F.when(media_type == V.XLSX, let(part_named(parts, "xl/sharedStrings.xml"), _shared_strings))
-    chosen = F.when(media_type == V.XLSX, _sheets(parts)).when(media_type == V.EPUB, _spine(parts)).otherwise(_in_order(parts, media_type))
+    listed = F.when(media_type == V.XLSX, _sheets(parts)).when(media_type == V.EPUB, _spine(parts))
+    chosen = let(listed, lambda s: F.when(F.size(s) > 0, s).otherwise(_in_order(parts, media_type)))
     # Both are bound once, however many parts read them.
     return F.when(parts.isNotNull(), let(F.struct(shared.alias("shared"), chosen.alias("chosen")), lambda x: text_of(x["shared"], x["chosen"])))
 
@@ -254,7 +266,7 @@ def package_text(parts: Column, media_type: Column) -> Column:
 def _runs_text(xml: Column) -> Column:
     """The ``t`` elements of a string item joined; what spells how it is read does not count."""
     runs = F.regexp_extract_all(F.regexp_replace(xml, r"(?s)<rPh\b.*?</rPh>", ""), F.lit(r"(?s)<(?:\w+:)?t(?:\s[^>]*)?>(.*?)</(?:\w+:)?t>"), F.lit(1))
-    return unescape_entities(F.array_join(runs, ""))
+    return unescape_entities(F.array_join(runs, ""), XML_NAMES)
 
 
 def _shared_strings(xml: Column) -> Column:
@@ -269,7 +281,7 @@ def _sheet_text(xml: Column, shared: Column) -> Column:
 
     def value(cell: Column) -> Column:
         kind = F.regexp_extract(cell, r"""^<(?:\w+:)?c\s[^>]*?\bt\s*=\s*["']([A-Za-z]+)""", 1)
-        raw = unescape_entities(F.regexp_extract(cell, r"(?s)<(?:\w+:)?v(?:\s[^>]*)?>(.*?)</(?:\w+:)?v>", 1))
+        raw = unescape_entities(F.regexp_extract(cell, r"(?s)<(?:\w+:)?v(?:\s[^>]*)?>(.*?)</(?:\w+:)?v>", 1), XML_NAMES)
         number = raw.try_cast("int")
         return (F.when(kind == "s", F.coalesce(F.get(shared, number), F.lit("")))
                 .when(kind == "inlineStr", _runs_text(cell))
@@ -286,7 +298,7 @@ def _office_text(xml: Column) -> Column:
     broken = F.regexp_replace(tidy, r"</(?:w:p|a:p)>|<(?:w:br|a:br|w:cr)\s*/>", "\n")
     broken = F.regexp_replace(broken, r"<w:tab\s*/>", "\t")
     office = F.regexp_replace(broken, r"(?s)<[a-zA-Z/!?][^>]*(?:>|\z)", "")
-    return collapse_blank(unescape_entities(office))
+    return collapse_blank(unescape_entities(office, XML_NAMES))
 
 
 def parse_package(df: DataFrame, content: str = "content", media_type: str = "media_type",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docspark import fixed_values as V
 from docspark.functions import metadata as M
 from docspark.functions.html import html_to_text, xml_to_text
+from docspark.functions.charsets import markup_charset
 from docspark.functions.mail import mail_parts_with_body, mail_text
 from docspark.functions.xhtml import to_xhtml
 from docspark.operators.errors import ERROR_TYPE, input_error, make_error, raise_on_error
@@ -65,8 +66,8 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     kind = F.col("media_type")
     parsed_as_text = _is_textual(kind) | kind.isin(V.XML, V.XHTML) | F.endswith(kind, F.lit("+xml"))
     marked_up = kind.isin(V.XML, *HTML_TYPES) | F.endswith(kind, F.lit("+xml"))
-    declared = F.col("_charset") if charset else None
-    decoded = F.when(marked_up, markup_text(F.col("_bytes"), declared)).otherwise(plain_text(F.col("_bytes"), declared))
+    own = F.when(marked_up, markup_charset(F.col("_bytes")))
+    decoded = plain_text(F.col("_bytes"), F.coalesce(own, F.col("_charset")))
     docs = docs.withColumn("_text", F.when(parsed_as_text, decoded))
     docs = docs.withColumn("_mail", F.when(kind == V.MESSAGE, mail_parts_with_body(F.col("_bytes"))))
     docs = docs.withColumn("_parts", package_parts(F.col("_bytes"), kind))
