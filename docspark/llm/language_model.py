@@ -16,7 +16,7 @@ most frequent at most are broadcast, and what is rarer is joined by its hash, so
 
 N-grams are 64-bit hashes. Cases: null and empty texts are the end mark alone; texts of any length are read whole;
 without training texts every word is unknown; rows that share an id, have none, or repeat are rows of their own;
-other columns pass, and those with the name of an output raise an error that says so.
+other columns pass, and where one has the name of an output, the output's name ends in an underscore.
 """
 
 from __future__ import annotations
@@ -235,48 +235,44 @@ def score_texts(df: DataFrame, model: dict, text: str = "text", keep: list[str]
                 filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """Columns ``keep`` (all by default) of the rows of ``df``, and ``n_tokens, n_known, base_score, score, train_tokens``."""
     kept = df.select(*(df.columns if keep is None else keep))
-    names = [n for n, _ in _OUT] + ["train_tokens"]
-    taken = {c.lower() for c in kept.columns} & set(names)
-    if taken:
-        raise ValueError(f"the table has columns {sorted(taken)} already: rename them")
+    out = {n: free_name(kept, n) for n in (*[n for n, _ in _OUT], "train_tokens")}
     rest = free_name(df, "rare_words")
-    schema = T.StructType([*kept.schema.fields, *[T.StructField(*x) for x in _OUT], T.StructField(rest, T.ArrayType(T.LongType()))])
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(out[n], kind) for n, kind in _OUT], T.StructField(rest, T.ArrayType(T.LongType()))])
     df = df.select(*kept.columns, *([] if text in kept.columns else [text]))
     small = model["blocks"] * BLOCK <= filter_bytes
-    scored = (_score_by_broadcast if small else _score_by_shuffle)(df, model, text, schema, rest)
+    scored = (_score_by_broadcast if small else _score_by_shuffle)(df, model, text, schema, rest, out)
+    trained = F.lit(model["total"]).cast("bigint").alias(out["train_tokens"])
     if not model["any_rare"]:
-        return _named(scored.drop(rest), model)
+        return scored.drop(rest).select("*", trained)
     # Rare words are joined by hash; the written rows keep their numbers.
     number, extra = free_name(df, "row_no"), free_name(df, "rare_sum")
     scored = materialize(scored.withColumn(number, F.monotonically_increasing_id()), "scored")
     rare = scored.select(number, F.explode(rest).alias("h")).join(model["rare"], "h")
     sums = rare.groupBy(number).agg(F.struct(F.count("*").alias("words"), F.sum(F.log10(F.col("n") + 1.0)).alias("logs")).alias(extra))
     joined = scored.drop(rest).join(sums, number, "left").withColumn(
-        "n_known", F.col("n_known") + F.coalesce(F.col(extra)["words"], F.lit(0))).withColumn(
-        "base_score", F.col("base_score") + F.coalesce(F.col(extra)["logs"], F.lit(0.0)))
-    return _named(joined.drop(number, extra), model)
+        out["n_known"], F.col(out["n_known"]) + F.coalesce(F.col(extra)["words"], F.lit(0))).withColumn(
+        out["base_score"], F.col(out["base_score"]) + F.coalesce(F.col(extra)["logs"], F.lit(0.0)))
+    return joined.drop(number, extra).select("*", trained)
 
 
-def _named(scored: DataFrame, model: dict) -> DataFrame:
-    return scored.withColumn("train_tokens", F.lit(model["total"]).cast("bigint"))
-
-
-def _rows(batch: pa.RecordBatch, model: dict, arrow: pa.Schema, rest: str, words: np.ndarray, starts: np.ndarray,
+def _rows(batch: pa.RecordBatch, model: dict, arrow: pa.Schema, rest: str, out: dict[str, str], words: np.ndarray, starts: np.ndarray,
           levels: list[np.ndarray], distinct: np.ndarray, where: np.ndarray) -> pa.RecordBatch:
     logs = probabilities(levels, starts, model["total"], model["distinct"])
     known, base, others = _facts(model, words, starts, distinct, where)
     size = np.diff(starts) - 1
     base = base - size * np.log10(model["total"] + model["distinct"] + 1.0)
-    return put(batch, arrow, n_tokens=pa.array(size, pa.int64()), n_known=pa.array(known), base_score=pa.array(base),
-               score=pa.array(np.add.reduceat(logs, starts[:-1])), **{rest: list_array(
-                   np.concatenate(others).view(np.int64) if others else np.zeros(0, np.int64), [len(x) for x in others], pa.int64())})
+    rare = np.concatenate(others).view(np.int64) if others else np.zeros(0, np.int64)
+    return put(batch, arrow, **{
+        out["n_tokens"]: pa.array(size, pa.int64()), out["n_known"]: pa.array(known), out["base_score"]: pa.array(base),
+        out["score"]: pa.array(np.add.reduceat(logs, starts[:-1])), rest: list_array(rare, [len(x) for x in others], pa.int64())})
 
 
 def _light(model: dict) -> dict:
     return {k: model[k] for k in ("order", "blocks", "total", "distinct", "any_rare", "known", "n")}
 
 
-def _score_by_broadcast(df: DataFrame, model: dict, text: str, schema: T.StructType, rest: str) -> DataFrame:
+def _score_by_broadcast(df: DataFrame, model: dict, text: str, schema: T.StructType, rest: str,
+                        out: dict[str, str]) -> DataFrame:
     spark = df.sparkSession
     cells = np.zeros(model["blocks"] * BLOCK, np.uint8)
     for row in model["filter"].toLocalIterator():
@@ -293,12 +289,13 @@ def _score_by_broadcast(df: DataFrame, model: dict, text: str, schema: T.StructT
             for grams in (distinct, *ngrams(words, starts, model["order"])[1:]):
                 levels.append(levels_in(model["cells"], grams, block_of(grams, model["blocks"]) * BLOCK))
             levels[0] = levels[0][where]
-            yield _rows(batch, model, arrow, rest, words, starts, levels, distinct, where)
+            yield _rows(batch, model, arrow, rest, out, words, starts, levels, distinct, where)
 
     return df.mapInArrow(run, schema)
 
 
-def _score_by_shuffle(df: DataFrame, model: dict, text: str, schema: T.StructType, rest: str) -> DataFrame:
+def _score_by_shuffle(df: DataFrame, model: dict, text: str, schema: T.StructType, rest: str,
+                      out: dict[str, str]) -> DataFrame:
     """The same scores without the filter in one place: each portion asks the blocks for its distinct n-grams."""
     spark = df.sparkSession
     portion = free_name(df, "portion")
@@ -357,6 +354,6 @@ def _score_by_shuffle(df: DataFrame, model: dict, text: str, schema: T.StructTyp
         levels = [found[np.searchsorted(h, g)] for g in grams]
         batch = rows.drop_columns([portion]).combine_chunks().to_batches()[0]
         return pa.Table.from_batches([
-            _rows(batch, light.value, arrow, rest, words, starts, levels, *np.unique(words, return_inverse=True))])
+            _rows(batch, light.value, arrow, rest, out, words, starts, levels, *np.unique(words, return_inverse=True))])
 
     return cut.groupBy(portion).cogroup(answered.groupBy("portion")).applyInArrow(finish, schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from docspark.llm.batches import put, steps
+from docspark.llm.batches import free_name, put, steps
 
 MAX_LABELLED = 4096
 MAX_FITTED = 2048
@@ -215,9 +215,8 @@ def vote(model: dict, texts: list[str | None]) -> np.ndarray:
 
 
 def score_quality(df: DataFrame, model: dict, text: str = "text", score: str = "score") -> DataFrame:
-    """Append ``score``; one narrow pass, the model is a broadcast of bounded size."""
-    if score.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"the table has a column {score} already: name another for the output")
+    """Append ``score``, with underscores behind it while the table has such a column; one narrow pass."""
+    score = free_name(df, score)
     schema = T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())])
     arrow = to_arrow_schema(schema)
     shared = df.sparkSession.sparkContext.broadcast(model)

@@ -126,5 +126,5 @@ def test_odd_rows_no_rows_and_no_training(spark, odd, nothing):
     empty = lm.train(nothing)
     rows = lm.score_texts(odd, empty).collect()
     assert all(r.n_known == 0 and r.base_score == 0 and r.train_tokens == 0 for r in rows)
-    with pytest.raises(ValueError, match="score"):
-        lm.score_texts(odd.withColumn("Score", F.lit(1)), model)
+    clashing = lm.score_texts(odd.withColumn("Score", F.lit(1)).withColumn("rare_words", F.lit("r")), model)
+    assert {(r.Score, r.rare_words, r.score_ <= 0) for r in clashing.collect()} == {(1, "r", True)}
