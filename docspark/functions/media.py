@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -142,9 +142,9 @@ def container_type(content: Column) -> Column:
             .otherwise(let(zip_directory(content), lambda d: F.when(d.isNull(), cut).otherwise(office(d)))))
 
 
-def supertype(media_type: Column) -> Column:
-    """Next broader type."""
-    listed = lookup(dict(V.SUPERTYPES), media_type)
+def supertype(media_type: Column, supertypes: Mapping[str, str] | None = None) -> Column:
+    """Next broader type; ``supertypes`` adds types of the user to the known ones."""
+    listed = lookup(dict(V.SUPERTYPES) | dict(supertypes or {}), media_type)
     return (
         F.when(media_type == V.OCTET_STREAM, None)
         .when(listed.isNotNull(), listed)
@@ -154,32 +154,44 @@ def supertype(media_type: Column) -> Column:
     )
 
 
-def _ancestor_pairs() -> list[str]:
-    """Transitive closure of the listed hierarchy as ``child>ancestor`` strings."""
-    parents = dict(V.SUPERTYPES)
-    pairs = []
-    for child in parents:
-        ancestor = parents.get(child)
-        while ancestor and ancestor != V.OCTET_STREAM:
-            pairs.append(f"{child}>{ancestor}")
-            ancestor = parents.get(ancestor)
-    return pairs
+def _parent(name: str, parents: Mapping[str, str]) -> str | None:
+    """The rules of :func:`supertype` for one name."""
+    if name == V.OCTET_STREAM or name in parents:
+        return parents.get(name)
+    return V.XML if name.endswith("+xml") else V.TEXT_PLAIN if name.startswith("text/") else V.OCTET_STREAM
 
 
-def specializes(media_type: Column, current: Column) -> Column:
+def ancestors(supertypes: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Transitive closure of the listed hierarchy: for each type its ancestors, each between spaces."""
+    parents = dict(V.SUPERTYPES) | dict(supertypes or {})
+    closed = {}
+    for child in parents:
+        found, above = [], _parent(child, parents)
+        while above and above != V.OCTET_STREAM:
+            if above == child or above in found:
+                raise ValueError(f"{V.INVALID_MEDIA_TYPE}: {child} is among its own supertypes")
+            found.append(above)
+            above = _parent(above, parents)
+        if found:
+            closed[child] = f" {' '.join(found)} "
+    return closed
+
+
+def specializes(media_type: Column, current: Column, supertypes: Mapping[str, str] | None = None) -> Column:
     """Whether ``media_type`` is a proper descendant of ``current``."""
-    pairs = F.split(F.lit(",".join(_ancestor_pairs())), ",")
-    listed = F.array_contains(pairs, F.concat(media_type, F.lit(">"), current))
-    any_xml = F.endswith(media_type, F.lit("+xml")) & current.isin(V.XML, V.TEXT_PLAIN)
-    any_text = F.startswith(media_type, F.lit("text/")) & (current == V.TEXT_PLAIN)
+    above = lookup(ancestors(supertypes), media_type)
+    listed = F.coalesce(F.contains(above, F.concat(F.lit(" "), current, F.lit(" "))), F.lit(False))
+    # Types outside the list follow their name.
+    any_xml = above.isNull() & F.endswith(media_type, F.lit("+xml")) & current.isin(V.XML, V.TEXT_PLAIN)
+    any_text = above.isNull() & F.startswith(media_type, F.lit("text/")) & (current == V.TEXT_PLAIN)
     return (media_type != current) & ((current == V.OCTET_STREAM) | listed | any_xml | any_text)
 
 
-def fold_types(*candidates: Column) -> Column:
+def fold_types(*candidates: Column, supertypes: Mapping[str, str] | None = None) -> Column:
     """Fold candidates from the left: a later one wins only if it specialises the current one."""
 
     def step(current: Column, candidate: Column) -> Column:
-        return F.when(specializes(candidate, current), candidate).otherwise(current)
+        return F.when(specializes(candidate, current, supertypes), candidate).otherwise(current)
 
     # Each step reads its accumulator several times. aggregate() evaluates the step once
     # per candidate, where nested CASEs would double the expression at every level.

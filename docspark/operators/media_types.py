@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +80,16 @@ def refine_container(df: DataFrame, content: str = "content", output: str = "con
     return df.withColumn(output, media.container_type(F.col(content)))
 
 
-def resolve_media_type(df: DataFrame, candidates: Sequence[str], output: str = "media_type") -> DataFrame:
-    return df.withColumn(output, media.fold_types(*[F.col(c) for c in candidates]))
+def resolve_media_type(df: DataFrame, candidates: Sequence[str], output: str = "media_type",
+                       supertypes: Mapping[str, str] | None = None) -> DataFrame:
+    return df.withColumn(output, media.fold_types(*[F.col(c) for c in candidates], supertypes=supertypes))
+
+
+def with_magic(df: DataFrame, content: str, rules: Sequence[media.MagicRule] | None) -> tuple[DataFrame, Column | None]:
+    """``df`` with the column ``_magic`` where the rules are too many for one CASE, and that column."""
+    if rules is None or len(rules) <= CASE_RULE_LIMIT:
+        return df, None
+    return detect_magic(df, content, rules, "_magic"), F.col("_magic")
 
 
 def override_media_type(df: DataFrame, hint: str, detected: str = "media_type",
@@ -93,35 +101,42 @@ def override_media_type(df: DataFrame, hint: str, detected: str = "media_type",
 
 def media_type_column(content: Column, name: Column | None = None, hint: Column | None = None,
                       custom_detectors: Sequence[Detector] = (),
-                      rules: Sequence[media.MagicRule] | None = None) -> Column:
+                      rules: Sequence[media.MagicRule] | None = None,
+                      globs: Sequence[tuple[str, Sequence[str]]] | None = None,
+                      supertypes: Mapping[str, str] | None = None, magic: Column | None = None) -> Column:
     """Detected media type as one column: hint, else the fold of all detectors in order.
 
     Custom detectors come first. Content is sniffed where no signature matched, and the
     name comes last, so that it can specialise what the content says but not contradict it.
+    ``supertypes`` places types of the user in the hierarchy; ``magic`` is the column of :func:`with_magic`.
     """
     no_name = F.lit(None).cast("string")
     name = no_name if name is None else name
-    magic = media.magic_type(content, V.MAGIC if rules is None else rules)
+    if magic is None:
+        magic = media.magic_type(content, V.MAGIC if rules is None else rules)
     content_types = F.coalesce(magic, media.sniff_type(content))
     custom = [detector(content, name) for detector in custom_detectors]
     # ZIP members are searched only behind a ZIP signature.
     container = F.when(magic == V.ZIP, media.container_type(content))
-    detected = media.fold_types(*custom, content_types, container, media.glob_type(name))
+    by_name = media.glob_type(name, V.GLOBS if globs is None else globs)
+    detected = media.fold_types(*custom, content_types, container, by_name, supertypes=supertypes)
     return detected if hint is None else F.coalesce(F.nullif(F.trim(hint), F.lit("")), detected)
 
 
 def detect_media_type(df: DataFrame, content: str = "content", name: str | None = None,
                       hint: str | None = None, custom_detectors: Sequence[Detector] = (),
                       rules: Sequence[media.MagicRule] | None = None,
-                      output: str = "media_type") -> DataFrame:
+                      output: str = "media_type", globs: Sequence[tuple[str, Sequence[str]]] | None = None,
+                      supertypes: Mapping[str, str] | None = None) -> DataFrame:
     """Media type from custom detectors, content and name; a hint overrides them all."""
+    df, magic = with_magic(df, content, rules)
     return df.withColumn(output, media_type_column(
         F.col(content), F.col(name) if name else None, F.col(hint) if hint else None,
-        custom_detectors, rules,
-    ))
+        custom_detectors, rules, globs, supertypes, magic,
+    )).drop("_magic")
 
 
-def describe_media_types(df: DataFrame, media_type: str = "media_type") -> DataFrame:
+def describe_media_types(df: DataFrame, media_type: str = "media_type", supertypes: Mapping[str, str] | None = None) -> DataFrame:
     """Split each type and add its supertype; a name without exactly one ``/`` is an error."""
     value = F.col(media_type)
     parts = F.split(value, "/")
@@ -131,16 +146,21 @@ def describe_media_types(df: DataFrame, media_type: str = "media_type") -> DataF
         "*",
         F.when(valid, parts[0]).alias("top_type"),
         F.when(valid, F.element_at(parts, -1)).alias("sub_type"),
-        F.when(valid, media.supertype(value)).alias("supertype"),
+        F.when(valid, media.supertype(value, supertypes)).alias("supertype"),
         F.when(~valid, make_error(V.INVALID_MEDIA_TYPE, message)).alias("error"),
     )
 
 
-def media_type_registry(spark: SparkSession, custom: Sequence[str] = (), strict: bool = True) -> DataFrame:
-    """Dimension of the known and custom types with their split names and supertype."""
+def media_type_registry(spark: SparkSession, custom: Sequence[str] = (), strict: bool = True,
+                        supertypes: Mapping[str, str] | None = None) -> DataFrame:
+    """Dimension of the known and custom types with their split names and supertype.
+
+    ``supertypes`` is the hierarchy of custom types that detection takes too; its types belong to the custom ones.
+    """
+    custom = [*custom, *(supertypes or {})]
     names = [V.OCTET_STREAM, *[child for child, _ in V.SUPERTYPES]]
     invalid = [c for c in custom if len(c.split("/")) != 2 or not all(c.split("/"))]
     if strict and invalid:
         raise ValueError(f"{V.INVALID_MEDIA_TYPE}: expected type/subtype, got {invalid}")
     names += [c for c in dict.fromkeys(custom) if c not in names]
-    return describe_media_types(spark.createDataFrame([(n,) for n in names], "media_type string"))
+    return describe_media_types(spark.createDataFrame([(n,) for n in names], "media_type string"), supertypes=supertypes)

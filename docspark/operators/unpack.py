@@ -10,7 +10,7 @@ from __future__ import annotations
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,9 +20,10 @@ from docspark import fixed_values as V
 from docspark.functions import metadata as M
 from docspark.functions.html import html_embedded
 from docspark.functions.mail import mime_parts
+from docspark.functions.media import MagicRule
 from docspark.functions.text import decode_text, lookup
 from docspark.operators.errors import ERROR_TYPE
-from docspark.operators.media_types import media_type_column
+from docspark.operators.media_types import Detector, media_type_column, with_magic
 from docspark.session import materialize
 
 # A BINARY cell must stay below 2 GiB; a member past this size becomes an error row.
@@ -132,17 +133,19 @@ def is_container(media_type: Column) -> Column:
     return _container_kind(media_type).isNotNull()
 
 
-def _level_columns() -> tuple[Column, Column]:
+def _level_columns(custom_detectors: Sequence[Detector] = (), rules: Sequence[MagicRule] | None = None,
+                   globs: Sequence[tuple[str, Sequence[str]]] | None = None, supertypes: Mapping[str, str] | None = None,
+                   magic: Column | None = None) -> tuple[Column, Column]:
     """(parts of a message or page, media type of a child): the same for every level."""
     is_mail = F.col("_kind") == "mail"
     # One explode serves both kinds that are opened by expressions.
     parts = F.when(is_mail, mime_parts(F.col("content"))).otherwise(html_embedded(decode_text(F.col("content"))))
     # A declared multipart type must survive: its own lines do not look like a message.
     declared = F.when(F.col("media_type").rlike("^multipart/|^text/html$|^message/rfc822$"), F.col("media_type"))
-    return parts, media_type_column(F.col("content"), F.col("name"), declared)
+    return parts, media_type_column(F.col("content"), F.col("name"), declared, custom_detectors, rules, globs, supertypes, magic)
 
 
-def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFrame:
+def _next_level(frontier: DataFrame, parts: Column, detected: Column, rules: Sequence[MagicRule] | None = None) -> DataFrame:
     """Children of one level. Each branch filters on the type before it opens the content."""
     # One column tells how to open a row. Catalyst copies it into each filter, so the
     # filters read it once instead of naming the detected type several times.
@@ -160,7 +163,7 @@ def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFra
     members = archived.withColumn(
         "name", F.when(in_office, F.regexp_extract("name", r"([^/]+)$", 1)).otherwise(F.col("name"))
     )
-    children = marked_up.unionByName(members).select(
+    children = with_magic(marked_up.unionByName(members), "content", rules)[0].select(
         "root_id", "root_no",
         (F.col("_depth") + 1).alias("depth"),
         F.concat("_path", F.array("ord")).alias("ord_path"),
@@ -175,7 +178,9 @@ def _next_level(frontier: DataFrame, parts: Column, detected: Column) -> DataFra
 
 
 def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: str = "content",
-                     name: str | None = None, hint: str | None = None, root_no: str | None = None) -> DataFrame:
+                     name: str | None = None, hint: str | None = None, root_no: str | None = None, custom_detectors: Sequence[Detector] = (),
+                     rules: Sequence[MagicRule] | None = None, globs: Sequence[tuple[str, Sequence[str]]] | None = None,
+                     supertypes: Mapping[str, str] | None = None) -> DataFrame:
     """All embedded documents down to ``max_depth``; depth 1 is the top-level children.
 
     Level by level: each level is written once and read back with its columns pruned, so a
@@ -185,7 +190,9 @@ def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id",
     if max_depth < 0:
         raise ValueError(f"{V.INVALID_ARGUMENT}: max_depth must not be negative")
     missing = F.lit(None).cast("string")
-    media_type = media_type_column(F.col(content), F.col(name) if name else None, F.col(hint) if hint else None)
+    df, magic = with_magic(df, content, rules)
+    detection = (custom_detectors, rules, globs, supertypes)
+    media_type = media_type_column(F.col(content), F.col(name) if name else None, F.col(hint) if hint else None, *detection, magic)
     frontier = df.filter(F.col(content).isNotNull()).select(
         F.col(id_col).alias("root_id"),
         (F.col(root_no) if root_no else F.monotonically_increasing_id()).alias("root_no"),
@@ -202,10 +209,11 @@ def unpack_documents(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id",
     )
     if max_depth == 0:
         return frontier.limit(0)
-    parts, detected = _level_columns()
+    # Children get the column of long rule lists level by level.
+    parts, detected = _level_columns(*detection, None if magic is None else F.col("_magic"))
     levels: list[DataFrame] = []
     for depth in range(1, max_depth + 1):
-        level = _next_level(frontier, parts, detected)
+        level = _next_level(frontier, parts, detected, rules)
         if max_depth > 1:
             level = materialize(level, f"unpack-level-{depth}")
             if depth > 1 and level.isEmpty():

@@ -15,7 +15,8 @@ from docspark.functions.mail import mail_parts_with_body, mail_text
 from docspark.functions.xhtml import to_xhtml
 from docspark.operators.errors import ERROR_TYPE, input_error, make_error, raise_on_error
 from docspark.operators.language import with_language
-from docspark.operators.media_types import Detector, media_type_column
+from docspark.functions.media import MagicRule
+from docspark.operators.media_types import Detector, media_type_column, with_magic
 from docspark.operators.metadata import raw_metadata_column
 from docspark.operators.unpack import (describe_embedded, embedded_name, is_container, rolled_up_text, unpack_documents,
                                        unpack_result)
@@ -34,12 +35,15 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
                     hint: str | None = None, output_format: str = "xhtml", mode: str = "string",
                     custom_detectors: Sequence[Detector] = (),
                     custom_parsers: Mapping[str, ColumnParser] | None = None,
-                    strict: bool = False, charset: str | None = None, embedded_depth: int = 0) -> DataFrame:
+                    strict: bool = False, charset: str | None = None, embedded_depth: int = 0,
+                    rules: Sequence[MagicRule] | None = None, globs: Sequence[tuple[str, Sequence[str]]] | None = None,
+                    supertypes: Mapping[str, str] | None = None) -> DataFrame:
     """Add ``media_type, text, content, raw_metadata, metadata, error`` to documents.
 
     ``charset`` names a column with declared charsets, for documents that declare none themselves. With
     ``embedded_depth`` the text goes on with that of the documents embedded in it, down to that depth and in their
-    order; the parsed rows are then written once, and only the contents of containers beside them.
+    order; the parsed rows are then written once, and only the contents of containers beside them. Detectors, ``rules``,
+    ``globs`` and ``supertypes`` are those of :func:`detect_media_type`; they hold for embedded documents too.
 
     One narrow pass: detect, dispatch by type, describe, render. The source bytes are
     replaced by the extracted content. Packages are opened in Python, which gets no bytes of
@@ -50,13 +54,15 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
     if mode != "string" and output_format not in V.OUTPUT_FORMATS:
         raise ValueError(f"{V.INVALID_OUTPUT_FORMAT}: {output_format}")
     if embedded_depth:
-        out = _parse_with_embedded(df, embedded_depth, content, name, hint, output_format, custom_detectors, custom_parsers, charset)
+        out = _parse_with_embedded(df, embedded_depth, content, name, hint, output_format, custom_parsers, charset,
+                                   custom_detectors=custom_detectors, rules=rules, globs=globs, supertypes=supertypes)
         return raise_on_error(out) if strict else out
     keep = [c for c in df.columns if c not in {content, name, hint, charset}]
     missing = F.lit(None).cast("string")
     given = F.nullif(F.trim(F.col(hint)), F.lit("")) if hint else missing
     path = F.col(name) if name else missing
-    detected = media_type_column(F.col(content), path, given if hint else None, custom_detectors)
+    df, magic = with_magic(df, content, rules)
+    detected = media_type_column(F.col(content), path, given if hint else None, custom_detectors, rules, globs, supertypes, magic)
 
     docs = df.select(
         *keep, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"),
@@ -112,13 +118,12 @@ def parse_documents(df: DataFrame, content: str = "content", name: str | None =
 
 
 def _parse_with_embedded(df: DataFrame, depth: int, content: str, name: str | None, hint: str | None, output_format: str,
-                         custom_detectors: Sequence[Detector], custom_parsers: Mapping[str, ColumnParser] | None,
-                         charset: str | None) -> DataFrame:
+                         custom_parsers: Mapping[str, ColumnParser] | None, charset: str | None, **detection) -> DataFrame:
     numbered = df.withColumn("_root", F.monotonically_increasing_id()).withColumn("_source", F.col(content))
-    parsed = parse_documents(numbered, content, name, hint, "txt", "string", custom_detectors, custom_parsers, charset=charset)
+    parsed = parse_documents(numbered, content, name, hint, "txt", custom_parsers=custom_parsers, charset=charset, **detection)
     opened = is_container(F.col("media_type")) & F.col("error").isNull()
     parsed = materialize(parsed.withColumn("_source", F.when(opened, F.col("_source"))), "parsed")
-    children = unpack_documents(parsed.where("_source IS NOT NULL"), depth, "_root", "_source", name, "media_type", "_root")
+    children = unpack_documents(parsed.where("_source IS NOT NULL"), depth, "_root", "_source", name, "media_type", "_root", **detection)
     # A body that stands for its message, what a page runs, and a book's chapters are in their parent's text already.
     in_mail = F.col("parent_type").rlike("^message/rfc822$|^multipart/")
     body = in_mail & F.col("name").isNull() & F.col("media_type").rlike("^text/(?:plain|html)$|^multipart/")
@@ -152,7 +157,9 @@ def analyze_documents(df: DataFrame, profiles: DataFrame, id_cols: list[str], **
 
 
 def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: str = "content",
-           name: str | None = None, hint: str | None = None) -> tuple[DataFrame, DataFrame]:
+           name: str | None = None, hint: str | None = None, custom_detectors: Sequence[Detector] = (),
+           rules: Sequence[MagicRule] | None = None, globs: Sequence[tuple[str, Sequence[str]]] | None = None,
+           supertypes: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(result, children): root metadata with lists of children, and the children's content.
 
     The children are the flat table to write out; the result lists them by name and
@@ -162,7 +169,8 @@ def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: s
     missing = F.lit(None).cast("string")
     path = F.col(name) if name else missing
     given = F.nullif(F.trim(F.col(hint)), F.lit("")) if hint else missing
-    kind = media_type_column(F.col(content), path, given if hint else None)
+    df, magic = with_magic(df, content, rules)
+    kind = media_type_column(F.col(content), path, given if hint else None, custom_detectors, rules, globs, supertypes, magic)
     typed = df.select(
         id_col, path.alias("_name"), given.alias("_override"), F.col(content).alias("_bytes"), kind.alias("_kind"))
     text = F.when(F.col("_kind").isin(*HTML_TYPES), markup_text(F.col("_bytes")))
@@ -174,7 +182,8 @@ def unpack(df: DataFrame, max_depth: int = 1, id_col: str = "doc_id", content: s
         id_col, F.monotonically_increasing_id().alias("root_no"), "_name", "_kind", raw.alias("raw_metadata"),
         F.when(is_container(F.col("_kind")), F.col("_bytes")).alias("_bytes"),
         input_error(F.col("_bytes"), F.col("_name") if name else None).alias("root_error")), "roots")
-    children = unpack_documents(roots, max_depth, id_col, "_bytes", "_name", "_kind", "root_no")
+    children = unpack_documents(roots, max_depth, id_col, "_bytes", "_name", "_kind", "root_no",
+                                custom_detectors=custom_detectors, rules=rules, globs=globs, supertypes=supertypes)
     children = describe_embedded(embedded_name(children, max_depth))
     described = roots.withColumn("metadata", M.normalized("raw_metadata"))
     return unpack_result(described, children, id_col), children

@@ -126,3 +126,47 @@ OOXML = "application/vnd.openxmlformats-officedocument."
 def test_container_type_comes_from_the_outer_directory(spark, content, expected):
     df = spark.createDataFrame([(content,)], "content binary")
     assert M.refine_container(df).first()["container_type"] == expected
+
+
+def test_types_of_the_user_take_part_in_the_hierarchy(spark):
+    from docspark import detect_media_type, media_type_registry, parse_documents, unpack
+
+    supertypes = {"application/x-note": "application/x-memo", "application/x-memo": "text/plain", "image/x-tile": "image/png"}
+    globs = [("application/x-note", ["note"]), ("application/x-memo", ["memo"]), ("image/x-tile", ["tile"]), ("application/pdf", ["pdf"])]
+    rows = [("a.note", b"plain text"), ("b.tile", b"\x89PNG\r\n\x1a\n"), ("c.tile", b"plain text"), ("d.memo", b"\x89PNG\r\n\x1a\n"), ("e.txt", b"text")]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    found = detect_media_type(df, name="path", globs=globs, supertypes=supertypes).orderBy("path").collect()
+    wanted = ["application/x-note", "image/x-tile", "text/plain", "image/png", "text/plain"]
+    assert [r["media_type"] for r in found] == wanted
+    # A custom type wins over its ancestor from a detector, and not over a stranger.
+    memo = lambda content, name: F.when(name.endswith("note"), "application/x-memo")
+    assert detect_media_type(df, name="path", custom_detectors=[memo], globs=globs, supertypes=supertypes).orderBy("path").first()["media_type"] == wanted[0]
+    assert [r["media_type"] for r in parse_documents(df, globs=globs, supertypes=supertypes).orderBy("path").collect()] == wanted
+    registry = {r["media_type"]: r["supertype"] for r in media_type_registry(spark, supertypes=supertypes).collect()}
+    assert {t: registry[t] for t in supertypes} == supertypes
+    with pytest.raises(ValueError, match="INVALID_MEDIA_TYPE"):
+        detect_media_type(df, supertypes={"a/x": "a/y", "a/y": "a/x"})
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for name, content in rows:
+            z.writestr(name, content)
+    packed = spark.createDataFrame([(1, buffer.getvalue())], "doc_id int, content binary")
+    _, children = unpack(packed, 2, globs=globs, supertypes=supertypes)
+    assert [r["media_type"] for r in children.orderBy("ord_path").collect()] == wanted
+
+
+def test_thousands_of_rules_through_the_public_calls(spark):
+    from docspark import fixed_values, parse_documents, unpack
+
+    rules = [*fixed_values.MAGIC, *[("0:" + (b"RULE%05d" % i).hex(), f"application/x-rule-{i}", 60) for i in range(5000)]]
+    rows = [(i, b"RULE%05d and more" % i) for i in (0, 17, 4999)] + [(5, b"%PDF-1.4"), (6, b"text")]
+    df = spark.createDataFrame(rows, "doc_id int, content binary")
+    wanted = ["application/x-rule-0", "application/pdf", "text/plain", "application/x-rule-17", "application/x-rule-4999"]
+    assert [r["media_type"] for r in parse_documents(df, name=None, rules=rules).orderBy("doc_id").collect()] == wanted
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for i, content in sorted(rows):
+            z.writestr(f"m{i}", content)
+    packed = spark.createDataFrame([(1, buffer.getvalue())], "doc_id int, content binary")
+    _, children = unpack(packed, 2, rules=rules)
+    assert [r["media_type"] for r in children.orderBy("ord_path").collect()] == wanted
