@@ -109,17 +109,6 @@ def first_entries(pairs: Column) -> Column:
         F.filter(pairs, lambda p, i: F.array_position(names, p["key"]) == i + 1)))
 
 
-def _split_parts(body: Column, boundary: Column) -> Column:
-    """Entities between boundary lines, without preamble and epilogue."""
-    line = F.concat(F.lit(r"\n--\Q"), boundary, F.lit(r"\E"))
-    end = F.lit(r"[ \t]*(?=\n|\z)")
-    opened = F.element_at(F.split(F.concat(F.lit("\n"), body), F.concat(line, F.lit("--"), end), 2), 1)
-    pieces = F.split(opened, F.concat(line, end))
-    # The first piece is the preamble; each later one starts with the line end of its boundary.
-    numbered = F.filter(pieces, lambda p, i: i > 0)
-    return F.transform(numbered, lambda p: F.substring(p, F.lit(2), F.length(p)))
-
-
 def _boundary(head: Column) -> Column:
     content_type = F.regexp_extract(head, r"(?im)^content-type:[ \t]*(.*)$", 1)
     is_multipart = F.startswith(F.lower(content_type), F.lit("multipart/"))
@@ -128,15 +117,53 @@ def _boundary(head: Column) -> Column:
 
 def _entities(message: Column) -> Column:
     """Leaf entities of a message: a multipart one opens to its parts, any other is itself."""
-
-    def open_entity(entity: Column) -> Column:
-        return let(_boundary(_head(entity)), lambda boundary: F.when(boundary.isNull(), F.array(entity)).otherwise(
-            _split_parts(_body(entity), boundary)))
-
-    # No nesting is deeper than the message has multipart headers.
-    levels = F.greatest(F.regexp_count(message, F.lit(r"(?im)^content-type:\s*multipart/")), F.lit(1))
-    return F.aggregate(F.sequence(F.lit(1), levels), F.array(message),
-                       lambda entities, _: F.flatten(F.transform(entities, open_entity)))
+    return let(_boundary(_head(message)), lambda outer: F.when(outer.isNull(), F.array(message)).otherwise(_opened(message, outer)))
+
+
+def _opened(message: Column, outer: Column) -> Column:
+    """Leaf entities of a multipart message, in one pass over its boundary lines with a stack of open boundaries.
+
+    The message is cut at the lines that any boundary named in it would make. A line of an open boundary ends the entity
+    before it and all boundaries inside that one; it opens the next entity, or closes its level. Any other line is text.
+    """
+    said = F.regexp_extract_all(message, F.lit(r'(?i)boundary\s*=\s*("[^"\n]*"|[^\s;"]+)'), F.lit(1))
+    names = F.filter(F.array_distinct(F.transform(said, lambda x: F.replace(x, F.lit('"'), F.lit("")))), lambda x: x != "")
+    quoted = F.array_join(F.transform(names, lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E"))), "|")
+    line = F.concat(F.lit(r"\n(?=--(?:"), quoted, F.lit(r")(?:--)?[ \t]*(?:\n|\z))"))
+    # The first piece stands before all boundaries.
+    pieces = F.split(F.concat(F.lit("\n"), _body(message)), line)
+    nothing = F.lit(None).cast("string")
+    start = F.struct(F.array(outer).alias("open"), F.array().cast("array<string>").alias("done"), nothing.alias("now"))
+
+    def finished(held: Column) -> Column:
+        return F.when(held["now"].isNull(), held["done"]).otherwise(F.concat(held["done"], F.array(held["now"])))
+
+    def entered(held: Column, level: Column, entity: Column) -> Column:
+        # A multipart entity has no text of its own; its boundary is open from here on.
+        opened = F.slice(held["open"], 1, level)
+        return let(_boundary(_head(entity)), lambda inner: F.struct(
+            F.when(inner.isNull(), opened).otherwise(F.concat(opened, F.array(inner))).alias("open"),
+            finished(held).alias("done"), F.when(inner.isNull(), entity).otherwise(nothing).alias("now")))
+
+    def closed(held: Column, level: Column) -> Column:
+        return F.struct(F.slice(held["open"], 1, level - 1).alias("open"), finished(held).alias("done"), nothing.alias("now"))
+
+    def step(held: Column, piece: Column) -> Column:
+        def by(mark: Column) -> Column:
+            # The innermost boundary counts; a name that ends in dashes may look like the end of a shorter one.
+            last = F.size(held["open"]) + 1
+            starts = last - F.array_position(F.reverse(held["open"]), mark)
+            ends = last - F.array_position(F.reverse(held["open"]), F.regexp_replace(mark, "--$", ""))
+            rest = F.substring(piece, F.length(F.substring_index(piece, "\n", 1)) + 2, F.length(piece))
+            more = F.struct(held["open"].alias("open"), held["done"].alias("done"),
+                            F.concat(held["now"], F.lit("\n"), piece).alias("now"))
+            closes = mark.endswith("--") & (ends < last)
+            return F.when((starts < last) & ~(closes & (ends > starts)), entered(held, starts.cast("int"), rest)).when(
+                closes, closed(held, ends.cast("int"))).otherwise(more)
+
+        return let(F.regexp_replace(F.substring_index(piece, "\n", 1), r"^--|[ \t]+$", ""), by)
+
+    return F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), start, step, finished)
 
 
 def _part(entity: Column) -> Column:

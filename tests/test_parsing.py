@@ -338,3 +338,37 @@ def test_books_are_read_along_their_spine(spark):
     row = parse_documents(text_frame(spark, [blob]), name=None, output_format="txt").first()
     assert row["media_type"] == "application/epub+zip" and row["content"] == "second\nfirst"
     assert (row["metadata"]["title"], row["metadata"]["creator"], row["metadata"]["version"], row["metadata"]["language"]) == ("The & Book", "Ann", "3.0", "en")
+
+
+def test_boundary_lines_are_read_in_one_pass(spark):
+    def mail(body):
+        return f"From: a@example.com\n{body}".encode()
+
+    def multi(name, *parts, end=True):
+        lines = "".join(f"--{name}\n{p}\n" for p in parts)
+        return f'Content-Type: multipart/mixed;\n boundary="{name}"\n\nbefore\n{lines}' + (f"--{name}--\nafter" if end else "")
+
+    text = "Content-Type: text/plain\n\n{}".format
+    deep = text("leaf")
+    for i in range(50):
+        deep = multi(f"b{i}", deep)
+    # A body may speak of boundaries and hold lines of dashes; only those of open multiparts cut it.
+    speaking = text("Content-Type: multipart/mixed; boundary=x\n--x\n--\n---\n--b-\nkept")
+    cases = [
+        (mail(deep), ["leaf"]),
+        (mail(multi("b", speaking, text("two"))), ["Content-Type: multipart/mixed; boundary=x\n--x\n--\n---\n--b-\nkept", "two"]),
+        # The outer boundary closes an inner multipart that stays open; boundaries that begin alike are told apart.
+        (mail(multi("b", multi("bb", text("in"), end=False), text("out"))), ["in\n", "out"]),
+        (mail(multi("a--", multi("a", text("x")), text("y"))), ["x", "y"]),
+        (mail(multi("b", text("cut"), end=False)), ["cut\n"]),
+        (mail(multi("b")), []),
+        (mail("Content-Type: multipart/mixed\n\nno boundary"), ["no boundary"]),
+        (mail(multi("q+.*[", text("x"))), ["x"]),
+        (mail(multi("b", *[text(str(i)) for i in range(300)])), [str(i) for i in range(300)]),
+    ]
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(cases)], "i int, eml binary")
+    rows = P.parse_message(df).orderBy("i").collect()
+    got = [[bytes(p["content"]).decode() for p in r["parts"]] for r in rows]
+    assert got[6][0].endswith("no boundary")
+    got[6] = ["no boundary"]
+    assert got == [parts for _, parts in cases]
