@@ -39,3 +39,25 @@ def test_conversations_of_odd_rows(spark):
         1: [("user", ""), ("assistant", "b"), ("", "c")], None: [("user", "x")],
         2: [("user", "first"), ("assistant", "y" * 100_000)], 3: [("user", "same"), ("user", "same")]}
     assert t.format_conversations(df.limit(0)).count() == 0
+
+
+def test_query_digests_equal_the_plain_version(spark):
+    import hashlib
+
+    from docspark.llm import queries
+    from tests.llm.conftest import SMALL
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    said = "</s>[INST] ok [/INST]"
+    rows += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    turns = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0], r[1], r[2] or "", r[3] or "")):
+        turns.setdefault(conv, []).append((role or "", text or ""))
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    wanted = []
+    for conv, said in turns.items():
+        loss = "".join(x for r, x in said if r == "assistant")
+        wanted.append((conv, len(said), sha("".join(f"{r}\n{x}\n" for r, x in said)), len(loss), sha(loss), len(t.instruction_template(said))))
+    found = queries.op7_chat(spark, SMALL).collect()
+    assert sorted((r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in found) == sorted(wanted)
+    assert not any(r.rewrites for r in found)
