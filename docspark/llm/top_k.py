@@ -14,7 +14,8 @@ Queries start with the k-th best of a bounded sample (``SAMPLE`` rows, by the ha
 
 Cases: as in the approximate search, but zero vectors take part: vectors that are null, empty, or
 hold null or non-finite components do not, nor rows without vec_id, nor vectors of another length than
-most have; a query's own row is the one that shares its vec_id; ties go to the smaller vec_id; repeated
+most have; where components are so large that a score could pass 2 ** 53, beyond which doubles are not exact, a ValueError says so before
+the search; a query's own row is the one that shares its vec_id; ties go to the smaller vec_id; repeated
 candidates count one by one, repeated query rows are one query; with fewer candidates all of them come.
 """
 
@@ -166,6 +167,9 @@ def search(df: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", vect
     if not width:
         return merged_ranks(spark.createDataFrame([], schema), k)
     rows = rows.where(F.size("vector") == width)
+    largest = rows.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0] or 0.0
+    if width * largest * largest >= 2.0 ** 53:
+        raise ValueError(f"components up to {largest / SCALE:g} make scores beyond 2**53, which are not exact")
     data_blocks = max(1, -(-rows.count() // BLOCK_ROWS))
     asked = rows.where("is_query").select("vec_id", "vector").dropDuplicates()
     query_blocks = max(1, -(-asked.count() // QUERY_ROWS))

@@ -95,3 +95,9 @@ def test_odd_vectors(spark, module):
     assert zero == ({30: [(0, 0), (1, 0), (2, 0)]} if module is top_k else {})
     twice = results(module.search(table(spark, [*good, good[0]]), F.col("vec_id") == 0, 3))
     assert twice == {0: brute(good, 100, 3, whole=module is top_k)[0]}
+
+
+def test_scores_that_cannot_be_exact_are_refused(spark):
+    rows = [(i, [1e13, 1.0]) for i in range(0, 300, 100)]
+    with pytest.raises(ValueError, match="not exact"):
+        top_k.search(table(spark, rows), F.col("vec_id") % 100 == 0, 2)
