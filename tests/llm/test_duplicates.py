@@ -156,7 +156,8 @@ def deduped(texts):
     links = []
     for a, b in combinations(sims, 2):
         longest = max(len(a), len(b))
-        if ((sims[a] ^ sims[b]).bit_count() <= line_dedup.DISTANCE
+        few = max(len(a.split()), len(b.split())) <= line_dedup.SHORT
+        if ((few or (sims[a] ^ sims[b]).bit_count() <= line_dedup.DISTANCE)
                 and min(len(a), len(b)) >= line_dedup.SIMILARITY * longest
                 and edit_distance(a, b) <= int((1 - line_dedup.SIMILARITY) * longest + 1e-9)):
             links.append((a, b))
@@ -191,13 +192,25 @@ def test_line_dedup_equals_brute_force(spark):
 def test_long_lines_count_all_words(spark):
     long = " ".join(f"w{i}" for i in range(1000))
     df = spark.createDataFrame([(1, long), (2, "a b c")], "doc_id bigint, text string")
-    rows = line_dedup.norms_of(df).select("doc_id", line_dedup.simhash(F.split("norm", " ")).alias("sim"))
-    found = {r.doc_id: r.sim for r in rows.collect()}
+    norms = line_dedup.norms_of(df).select(F.col("doc_id").alias("v"), "norm")
+    found = {r.v: r.sim for r in line_dedup.simhashes(norms).collect()}
     for doc, text in ((1, long), (2, "a b c")):
         sim = line_facts(text)[1]
         assert found[doc] == (sim - (1 << 64) if sim >> 63 else sim)
 
 
+def test_pairs_of_lines_that_must_meet(spark):
+    lines = [
+        "the quick brown fox jumps over the lazy dog while the old grey cat sleeps under the big oak tree near the river bank today",
+        "the quick brown fox jumps over the lazy dog while the old grey cat sleeps under the big oak tree near the river bank tonight",
+        "the quick brown bear jumps over the lazy dog while the young grey cat sleeps under the big oak tree near the river bank today",
+        "short line number one", "short line numbr one", "internationalisation", "internationalization",
+        "a wholly different line about nothing that any of the others says"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id bigint, text string")
+    kept = {r.doc_id for r in line_dedup.dedup_lines(df).collect() if r.text}
+    assert kept == {0, 3, 5, 7}
+
+
 def test_line_dedup_odd_rows(odd, nothing):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == odd.count()
