@@ -62,15 +62,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the work folder and read it back.
 
     This cuts the lineage, survives lost executors, and unlike ``checkpoint()`` keeps
-    column pruning and filter pushdown for the readers.
+    column pruning and filter pushdown for the readers. ``codec`` names another compression
+    than the session's, for tables of texts.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
