@@ -28,7 +28,8 @@ def test_short_words_are_in_the_simhash(spark):
     df = spark.createDataFrame([(1, "we sat by the old mill")], "doc_id bigint, text string")
     hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in ("we", "sat", "by", "the", "old", "mill")]
     wanted = sum(1 << i for i in range(64) if sum(h >> i & 1 for h in hashes) > 3)
-    assert line_dedup.lines_of(df).first().sim % (1 << 64) == wanted
+    norms = line_dedup.norms_of(df).select(F.col("doc_id").alias("v"), "norm")
+    assert line_dedup.simhashes(norms).first().sim % (1 << 64) == wanted
 
 
 def test_nine_of_ten_lines_with_one_word_changed_are_linked(spark):
