@@ -10,8 +10,7 @@ from docspark.functions.text import after
 
 def fold_letters(text: Column) -> Column:
     """Lower case, with every run of characters other than letters as one ``_``."""
-    folded = F.regexp_replace(F.lower(text), r"[^\p{L}]+", "_")
-    return F.regexp_replace(F.concat(F.lit("_"), folded, F.lit("_")), "__+", "_")
+    return F.regexp_replace(F.concat(F.lit("_"), F.lower(text), F.lit("_")), r"\P{L}++", "_")
 
 
 def ngrams(text: Column, n: int = 3) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ WEIGHT_SCALE = 1_000_000
 MAX_LANGUAGES = 1000
 
 
+# A task counts the grams of so many characters at once, and passes on its counts when it holds so many.
+COUNTED_CHARS, HELD_GRAMS = 4_000_000, 1_000_000
+
 # Gram of the row that carries a language's weight for grams it was never seen with.
 UNSEEN = ""
 
@@ -35,9 +39,8 @@ def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang
     """
     labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = materialize(
-        labelled
-        .select(F.col(lang).alias("lang"), F.explode(ngrams(F.col(text), n)).alias("gram"))
-        .groupBy("gram", "lang").agg(F.count("*").alias("n")),
+        _partial_counts(labelled.select(F.col(lang).alias("lang"), fold_letters(F.col(text)).alias("text")), n)
+        .groupBy("gram", "lang").agg(F.sum("n").alias("n")),
         "gram-counts",
     )
     vocabulary = counts.groupBy("gram").agg(F.lit(1)).agg(F.count("*").alias("vocabulary"))
@@ -51,6 +54,81 @@ def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang
     )
 
 
+def _partial_counts(folded: DataFrame, n: int) -> DataFrame:
+    """(lang, gram, n) of folded texts (lang, text): grams of many texts are counted at once, in each task for itself."""
+    kind = folded.schema["lang"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[object, list[str]] = {}
+        found: dict[object, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = size = 0
+
+        def count() -> int:
+            for lang, own in texts.items():
+                found[lang] = [_summed([*found.get(lang, []), _gram_counts(own, n)])]
+            texts.clear()
+            return sum(len(keys) for [(keys, _)] in found.values())
+
+        def counted(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+            for lang, [(keys, counts)] in found.items():
+                grams = pa.array(_gram_texts(keys, n), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), schema.field(0).type), grams, pa.array(counts)], names=["lang", "gram", "n"])
+            found.clear()
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts.setdefault(lang, []).append(text)
+                held += len(text)
+                if held >= COUNTED_CHARS:
+                    held, size = 0, count()
+                if size >= HELD_GRAMS:
+                    yield from counted(schema)
+                    size = 0
+        if schema is not None:
+            count()
+            yield from counted(schema)
+
+    return folded.mapInArrow(run, f"lang {kind}, gram string, n bigint")
+
+
+def _gram_counts(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the texts, as numbers or, beyond 3 code points, as texts, and their counts."""
+    # Folded texts hold letters and ``_`` alone, so a zero parts them.
+    chars = np.frombuffer("\0".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(chars) < n:
+        return np.zeros(0, np.uint64 if n <= 3 else f"<U{n}"), np.zeros(0, np.int64)
+    letter = chars != 0
+    whole = np.logical_and.reduce([letter[i:len(chars) - n + 1 + i] for i in range(n)])
+    if n <= 3:
+        keys = _codes(chars.astype(np.uint64), n)[whole]
+    else:
+        keys = np.lib.stride_tricks.sliding_window_view(chars, n)[whole].view(f"<U{n}").ravel()
+    return np.unique(keys, return_counts=True)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal grams added up."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    keys, at = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, at, counts)
+    return keys, sums
+
+
+def _gram_texts(keys: np.ndarray, n: int) -> list[str]:
+    """The grams that :func:`_gram_counts` numbered."""
+    if n > 3:
+        return keys.tolist()
+    chars = np.stack([(keys >> np.uint64(21 * i)) & np.uint64(0x1FFFFF) for i in range(n - 1, -1, -1)], axis=1)
+    text = chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return [text[i:i + n] for i in range(0, len(text), n)]
+
+
 def _unseen_weights(profiles: DataFrame) -> dict[str, int]:
     """Languages of the profiles in code order, with their weight for unseen grams."""
     rows = profiles.filter(F.col("gram") == UNSEEN).select("lang", "weight").limit(MAX_LANGUAGES + 1).collect()

@@ -78,3 +78,21 @@ def test_both_plans_agree_on_equal_and_missing_ids(spark, n):
     inline, joined = (sorted(map(tuple, L.with_language(df, trained, ["doc_id"], limit=limit).select(columns).collect()), key=repr)
                       for limit in (1_000_000, 5))
     assert inline == joined and len(inline) == df.count()
+
+
+def test_grams_are_counted_before_rows_are_made_of_them(spark):
+    """One row per gram, language and task, for grams of any length and letters beyond the 16-bit plane."""
+    rows = [("en", "Aa\U00010400b aab"), ("en", "aab"), ("de", ""), (None, "abc"), ("de", None), ("el", "\u039f\u03a3 7")]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    for n in (1, 2, 3, 4):
+        expected = {}
+        for lang, text in rows:
+            if lang and text:
+                folded = {"Aa\U00010400b aab": "_aa\U00010428b_aab_", "aab": "_aab_", "\u039f\u03a3 7": "_\u03bf\u03c2_"}[text]
+                for i in range(len(folded) - n + 1):
+                    key = (lang, folded[i:i + n])
+                    expected[key] = expected.get(key, 0) + 1
+        folded = df.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", L.fold_letters(F.col("text")).alias("text"))
+        found = L._partial_counts(folded, n).collect()
+        expected |= {("de", "_"): 1} if n == 1 else {}
+        assert {(r.lang, r.gram): r.n for r in found} == expected and len(found) == len(expected)
