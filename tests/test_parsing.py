@@ -372,3 +372,15 @@ def test_boundary_lines_are_read_in_one_pass(spark):
     assert got[6][0].endswith("no boundary")
     got[6] = ["no boundary"]
     assert got == [parts for _, parts in cases]
+
+
+def test_base64_is_read_by_runs_and_codes_by_runs(spark):
+    """No pattern that tries every character between the letters of base64, and one piece for neighbouring codes."""
+    from docspark.functions.mail import base64_bytes, quoted_printable
+
+    df = spark.createDataFrame([("YW\n Jj\n", "=41=42\n=4=\n3==zz=e9"), ("", ""), (None, None), ("YQ==\u00e4", "=")], "b string, q string")
+    out = df.select(base64_bytes(F.col("b")).alias("b"), quoted_printable(F.col("q")).alias("q"))
+    assert [(r.b and bytes(r.b), r.q and bytes(r.q)) for r in out.collect()] == [
+        (b"abc", b"AB\nC==zz\xe9"), (bytearray(), bytearray()), (None, None), (b"a", b"=")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^A-Za-z0-9+/=]" not in plan and "split(" not in plan
