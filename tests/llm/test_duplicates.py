@@ -221,3 +221,22 @@ def test_line_dedup_odd_rows(odd, nothing):
     assert [r.text for r in rows if r.doc_id is None] == [""]
     assert {"lang", "source", "row_hash", "n_lines", "n_dropped"} <= set(rows[0].asDict())
     assert line_dedup.dedup_lines(nothing).count() == 0
+
+
+def test_no_pair_is_tested_twice(spark):
+    """Lists of two name the same pair in every round, and lists that two vertices share name it again."""
+    from docspark.llm.linking import link_lists
+
+    lists = spark.createDataFrame([(k, v) for k in range(6) for v in (k // 2 * 10, k // 2 * 10 + 1)] + [(9, 0), (9, 10), (9, 20), (9, 21)],
+                                  "key bigint, v bigint")
+    vertices = lists.select("v").distinct().withColumn("n", F.lit(1))
+    for parts in (None, lambda opened: opened.select("v", F.lit(1).cast("bigint").alias("size"), F.lit(7).cast("bigint").alias("value"))):
+        seen = []
+
+        def verify(pairs):
+            seen.extend(tuple(r) for r in pairs.collect())
+            return pairs.where("a = 20 AND b = 21")
+
+        groups = link_lists(lists, vertices, lambda x, y: F.col(f"{x}n") == F.col(f"{y}n"), verify, parts=parts, share=75)
+        assert {tuple(r) for r in groups.collect()} == {(20, 20), (21, 20)}
+        assert len(seen) == len(set(seen)) and {(0, 1), (10, 11), (20, 21)} <= set(seen)
