@@ -23,6 +23,7 @@ last; rows that share a ``doc_id`` are all kept, ordered by their text; an empty
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import uuid
 from collections.abc import Iterator
@@ -52,7 +53,9 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "i1"), ("offset", "<u8"), ("n",
 class LibraryEncoder(WordEncoder):
     """New words get their ids from the tokenizers library, some hundred of them in one call.
 
-    A word's ids end with the only one that stands for a word's end, which parts the words again.
+    Chunks go to it whole, many in one call: a special token between them, which no id crosses, parts their ids again.
+    Those that may hold a special token themselves are split here; a word's ids end with the only one that stands for
+    a word's end, which parts the words.
     """
 
     def __init__(self, definition: bytes) -> None:
@@ -60,13 +63,36 @@ class LibraryEncoder(WordEncoder):
         self.tokenizer = Tokenizer.from_str(definition.decode())
         self.ends = np.zeros(max(self.tokens) + 1, bool)
         self.ends[[i for t, i in self.ids.items() if t.endswith(self.end)]] = True
+        plain = [t["content"] for t in json.loads(definition)["added_tokens"] if t["content"].startswith("<") and t["special"]
+                 and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])]
+        self.between = plain[0] if plain else None
 
     def learn(self, unknown: list[str]) -> None:
         # Marks that join the letters before them are left to the library, chunk by chunk.
         odd = [c for c in unknown if not c.isascii() and max(c) >= "\u0300"]
         for chunk, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             self.chunks.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        super().learn(list(set(unknown).difference(odd)) if odd else unknown)
+        rest = list(set(unknown).difference(odd)) if odd else unknown
+        if self.between:
+            whole = [c for c in rest if "<" not in c]
+            self.chunks.known.update(zip(whole, self.ids_of(whole)))
+            rest = [c for c in rest if "<" in c]
+        super().learn(rest)
+
+    def ids_of(self, plain: list[str]) -> list[bytes]:
+        """Ids of each chunk, of those that hold no special token."""
+        out: list[bytes] = []
+        for start in range(0, len(plain), GROUP * 64):
+            part = plain[start:start + GROUP * 64]
+            calls = [self.between.join([*part[i:i + GROUP], ""]) for i in range(0, len(part), GROUP)]
+            found = self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)
+            flat = np.concatenate([np.array(x.ids, "<u4") for x in found])
+            marks = np.flatnonzero(flat == self.special[self.between])
+            if len(marks) != len(part):
+                raise ValueError("the library splits chunks in another way")
+            data, ends = flat.tobytes(), (4 * marks).tolist()
+            out += [data[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
+        return out
 
     def merge(self, words: list[str]) -> list[bytes]:
         out: list[bytes] = []
