@@ -240,3 +240,38 @@ def test_no_pair_is_tested_twice(spark):
         groups = link_lists(lists, vertices, lambda x, y: F.col(f"{x}n") == F.col(f"{y}n"), verify, parts=parts, share=75)
         assert {tuple(r) for r in groups.collect()} == {(20, 20), (21, 20)}
         assert len(seen) == len(set(seen)) and {(0, 1), (10, 11), (20, 21)} <= set(seen)
+
+
+def test_one_list_for_each_set_of_members(spark):
+    """Copies share all their keys: of lists with the same members one is looked at."""
+    rows = [(k, v) for k in range(8) for v in (1, 2, 3)] + [(k, v) for k in (10, 11) for v in (1, 2)] + [(20, 4), (30, 5), (30, 5), (31, 6), (31, 6)]
+    lists = linking.shared_lists(spark.createDataFrame(rows, "key bigint, v bigint"))
+    members = defaultdict(list)
+    for r in lists.collect():
+        members[r.key].append(r.v)
+    assert sorted(sorted(m) for m in members.values()) == [[1, 2], [1, 2, 3], [5, 5], [6, 6]]
+
+
+def test_each_vertex_meets_one_star_first(spark):
+    """A copy whose lists have several smallest members met each of them."""
+    rows = [(k, v) for k, least in enumerate((0, 0, 0, 1, 1, 2)) for v in (least, *range(10, 40))]
+    lists = spark.createDataFrame(rows, "key bigint, v bigint")
+    vertices = lists.select("v").distinct().withColumn("n", F.lit(1))
+    seen = []
+
+    def verify(pairs):
+        seen.append(sorted(tuple(r) for r in pairs.collect()))
+        return pairs
+
+    groups = linking.link_lists(lists, vertices, lambda x, y: F.col(f"{x}n") == F.col(f"{y}n"), verify)
+    assert {tuple(r) for r in groups.collect()} == {(v, 0) for v in (0, 1, 2, *range(10, 40))}
+    assert seen[0] == [(0, v) for v in range(10, 40)] and sum(map(len, seen)) < 40
+
+
+def test_groups_joined_by_more_links(spark):
+    links = [(i, i + 1) for i in range(0, 60, 3)] + [(i + 1, i + 2) for i in range(0, 60, 3)]
+    more = [(2, 3), (5, 30), (31, 58), (100, 101), (7, 200), (6, 8)]
+    groups = connected_groups(spark.createDataFrame(links, "a bigint, b bigint"))
+    found = linking.joined_groups(groups, spark.createDataFrame(more, "a bigint, b bigint"))
+    wanted = groups_of({x for link in links + more for x in link}, links + more)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted.items())
