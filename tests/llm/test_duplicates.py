@@ -275,3 +275,22 @@ def test_groups_joined_by_more_links(spark):
     found = linking.joined_groups(groups, spark.createDataFrame(more, "a bigint, b bigint"))
     wanted = groups_of({x for link in links + more for x in link}, links + more)
     assert sorted(tuple(r) for r in found.collect()) == sorted(wanted.items())
+
+
+def test_edit_distance_without_common_ends(spark, monkeypatch):
+    """Common ends are left out, a missing blank counts, and the short cuts accept nothing beyond the bound."""
+    monkeypatch.setattr(line_dedup, "PIECES", (2, 5))
+    random = np.random.default_rng(4)
+    words = ["a", "bb", "ccc", "dddd", "ab", "b", "word", "longerword", "\u00e9"]
+    pairs = [("ab longerword ab longerword longerword bb", "ab ab longerword longerword bb"), ("a", "a a"), ("a b", "b")]
+    for _ in range(600):
+        x = list(random.choice(words, random.integers(1, 15)))
+        y = list(x)
+        for _ in range(random.integers(0, 4)):
+            at, kind = random.integers(len(y)), random.integers(3)
+            y[at:at + (kind != 1)] = [random.choice(words)] if kind or len(y) == 1 else []
+        pairs.append((" ".join(x), " ".join(y)))
+    rows = [(x, y, bound) for x, y in pairs for bound in (edit_distance(x, y) - 1, edit_distance(x, y)) if bound >= 0]
+    df = spark.createDataFrame(rows, "x string, y string, bound int")
+    found = df.withColumn("near", line_dedup.edits_within(F.col("x"), F.col("y"), F.col("bound"))).collect()
+    assert all(r.near == (edit_distance(r.x, r.y) <= r.bound) for r in found)
