@@ -1,5 +1,6 @@
 """Near-duplicates and line deduplication against brute force."""
 
+import time
 from collections import defaultdict
 from functools import partial
 from itertools import combinations
@@ -294,3 +295,23 @@ def test_edit_distance_without_common_ends(spark, monkeypatch):
     df = spark.createDataFrame(rows, "x string, y string, bound int")
     found = df.withColumn("near", line_dedup.edits_within(F.col("x"), F.col("y"), F.col("bound"))).collect()
     assert all(r.near == (edit_distance(r.x, r.y) <= r.bound) for r in found)
+
+
+def test_sums_of_pieces_end_at_the_bound(spark):
+    """Unlike lines are far beyond the bound after a few pieces; all others were compared as well."""
+    random = np.random.default_rng(6)
+    line = lambda: " ".join("".join(chr(97 + c) for c in random.integers(0, 26, 7)) for _ in range(2500))
+    df = spark.createDataFrame([(line(), line()) for _ in range(24)], "x string, y string").repartition(1).cache()
+    at = F.sequence(F.lit(1), F.length("x"), F.lit(1024))
+    pieces = F.aggregate(at, F.lit(0), lambda total, i: total + F.levenshtein(F.substring("x", i, F.lit(1024)), F.substring("y", i, F.lit(1024))))
+
+    def seconds(value):
+        took = []
+        for _ in range(2):
+            start = time.perf_counter()
+            assert df.where(value).count() == 0
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(line_dedup.edits_within(F.col("x"), F.col("y"), F.lit(100))) < seconds(pieces <= 100) / 2
+    df.unpersist()
